@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["interval_plans"]
+MODULES = ["interval_plans", "sequence_plans", "link_plans"]
 
 
 def _load() -> None:

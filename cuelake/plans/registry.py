@@ -19,7 +19,9 @@ def plan(name: str, sql: str | None = None):
             raise ValueError(f"Query {name} is registered twice")
         PLANS[name] = build
         if sql is not None:
-            CHECKS[name] = f"WITH RECURSIVE {VIEWS}\n{sql.strip()}" if "/*recursive*/" in sql else f"WITH {VIEWS}\n{sql.strip()}"
+            # Text that opens with a comma adds views of its own.
+            kind = "WITH RECURSIVE" if "/*recursive*/" in sql else "WITH"
+            CHECKS[name] = f"{kind} {VIEWS}\n{sql.replace('/*recursive*/', '').strip()}"
         return build
 
     return keep

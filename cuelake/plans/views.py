@@ -56,6 +56,9 @@ edited AS (
          end_ms + CASE WHEN contains(text, 'w') THEN 250 ELSE 0 END AS end_ms,
          CASE WHEN contains(text, 'q') THEN text || ' !' ELSE text END AS text
   FROM cues WHERE length(text) >= 16),
+renumbered AS (
+  SELECT track_id, row_number() OVER (PARTITION BY track_id ORDER BY cue_id) AS cue_id, start_ms, end_ms, text
+  FROM edited),
 word_lists AS (
   SELECT track_id, cue_id, start_ms AS s, end_ms AS e, {tokens()} AS w FROM cues),
 word_rows AS (

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cuelake.functions import letter_tokens, midpoint
 from cuelake.functions.base import idiv
+from cuelake.operators.ordered import id_chunk, scan
 
 
 class Tables:
@@ -109,6 +110,12 @@ class Tables:
         return self.cues.where(~gone).select(
             "track_id", "cue_id", "start_ms", new_end.alias("end_ms"), new_text.alias("text"))
 
+    @cached_property
+    def renumbered(self) -> DataFrame:
+        """The edited version with dense ids again."""
+        numbered = scan(self.edited, ["track_id"], ["cue_id"], id_chunk("cue_id"), number="new_id")
+        return numbered.select("track_id", F.col("new_id").alias("cue_id"), "start_ms", "end_ms", "text")
+
     @cached_property
     def words(self) -> DataFrame:
         """Letter tokens spread evenly over their cue; every token of one letter is untimed."""
