@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cuelake.functions.base import C, as_col
+from cuelake.functions.base import C, as_col, let
 
 __all__ = [
     "norm_text", "letter_tokens", "norm_turkish", "tr_lower", "tr_key", "align_text", "is_label",
@@ -59,8 +59,10 @@ def has_loop(tokens: C, widest: int = 4, repeats: int = 4) -> Column:
     A width-w loop is a stretch of (repeats-1)*w positions at which the token equals the one
     w places on, so one pass per width over the array finds it.
     """
-    tokens = as_col(tokens)
+    return let(as_col(tokens), lambda words: _looped(words, widest, repeats))
 
+
+def _looped(tokens: Column, widest: int, repeats: int) -> Column:
     def looped(width: int) -> Column:
         need = (repeats - 1) * width
         ahead = F.slice(tokens, F.lit(width + 1), F.greatest(F.size(tokens) - width, F.lit(0)))
@@ -100,15 +102,21 @@ def top_count(tokens: C) -> Column:
 
 def is_degenerate(tokens: C, longest: int = 40, share: float = 0.45) -> Column:
     """An over-long word, a phrase loop, or one word taking most of eight or more."""
-    tokens = as_col(tokens)
-    over_long = F.exists(tokens, lambda word: F.length(word) > longest)
-    dominated = (F.size(tokens) >= 8) & (top_count(tokens) > F.size(tokens) * F.lit(share))
-    return over_long | has_loop(tokens) | dominated
+    def judged(words: Column) -> Column:
+        over_long = F.exists(words, lambda word: F.length(word) > longest)
+        dominated = (F.size(words) >= 8) & (top_count(words) > F.size(words) * F.lit(share))
+        return over_long | _looped(words, 4, 4) | dominated
+
+    return let(as_col(tokens), judged)
 
 
 def bag_agreement(heard: C, written: C) -> Column:
     """Shared words counted with multiplicity, over heard words; NULL when nothing was heard."""
-    heard, written = as_col(heard), as_col(written)
+    both = F.struct(as_col(heard).alias("h"), as_col(written).alias("w"))
+    return let(both, lambda pair: _bag(pair["h"], pair["w"]))
+
+
+def _bag(heard: Column, written: Column) -> Column:
     left = F.size(heard)
     counts = F.aggregate(
         F.array_sort(heard),
