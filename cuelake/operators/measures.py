@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cuelake.functions import cps, letter_tokens, norm_text, overlap_ms
 from cuelake.functions.base import idiv, let
 from cuelake.operators.intervals import covers, interval_join
 from cuelake.operators.ordered import id_chunk, scan
+from cuelake.session import spread
 
 TRACK = ["track_id"]
 
@@ -134,28 +137,37 @@ def window_text(windows: DataFrame, cues: DataFrame) -> DataFrame:
         "cue_text", F.coalesce("cue_text", F.lit("")))
 
 
+CODED = T.StructType([T.StructField("h", T.StringType()), T.StructField("w", T.StringType())])
+
+
+@F.pandas_udf(CODED)
+def _coded(heard: pd.Series, written: pd.Series) -> pd.DataFrame:
+    """Give each distinct word of a pair one code point of its own."""
+    rows = []
+    for a, b in zip(heard, written):
+        codes: dict[str, str] = {}
+        rows.append(tuple("".join(codes.setdefault(word, chr(0x10000 + len(codes))) for word in side) for side in (a, b)))
+    return pd.DataFrame(rows, columns=["h", "w"])
+
+
 def word_edits(heard: Column, written: Column) -> Column:
-    """Word edit distance of two token arrays.
+    """Word edit distance of two token arrays: words become characters, then the built-in distance.
 
-    Each distinct word becomes one code point, and the built-in character distance does the rest.
+    Near pairs finish inside a narrow band (the bounded form gives -1 beyond it); only far ones
+    pay for the whole table. The result is exact either way.
     """
-    def coded(tokens: Column, vocabulary: Column) -> Column:
-        points = F.transform(tokens, lambda word: F.decode(F.unhex(F.lpad(
-            F.hex(F.array_position(vocabulary, word) + 0x10000), 8, "0")), "UTF-32"))
-        return F.array_join(points, "")
-
     def distance(pair: Column) -> Column:
-        words = F.array_distinct(F.concat(pair["h"], pair["w"]))
-        return let(words, lambda known: F.levenshtein(coded(pair["h"], known), coded(pair["w"], known)))
+        banded = [F.nullif(F.levenshtein(pair["h"], pair["w"], band), F.lit(-1)) for band in (32, 512)]
+        return F.coalesce(*banded, F.levenshtein(pair["h"], pair["w"]))
 
-    return let(F.struct(heard.alias("h"), written.alias("w")), distance)
+    return let(_coded(heard, written), distance)
 
 
 def word_disagreement(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
     """Word edits over reference words; `pairs` has hypothesis and reference texts per window."""
     hyp = F.filter(F.split(norm_text("hypothesis"), " "), lambda w: w != "")
     ref = F.filter(F.split(norm_text("reference"), " "), lambda w: w != "")
-    scored = pairs.withColumn("_h", hyp).withColumn("_r", ref).select(
+    scored = spread(pairs, *pairs.columns).withColumn("_h", hyp).withColumn("_r", ref).select(
         *by, word_edits(F.col("_h"), F.col("_r")).cast("bigint").alias("edits"),
         F.size("_r").cast("bigint").alias("words"))
     return scored.groupBy(*by).agg(F.sum("edits").alias("edits"), F.sum("words").alias("words")).withColumn(

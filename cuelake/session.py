@@ -41,3 +41,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Hash rows over all shuffle partitions ahead of work that is heavy per byte.
+
+    Adaptive coalescing sizes tasks by bytes, which would leave costly text comparison to a few
+    tasks; a fixed partition count is not coalesced.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
