@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["interval_plans", "sequence_plans", "link_plans", "measure_plans", "scalar_plans", "rule_plans"]
+MODULES = [
+    "interval_plans", "sequence_plans", "link_plans", "measure_plans", "scalar_plans", "rule_plans", "version_plans", "flow_plans",
+]
 
 
 def _load() -> None:

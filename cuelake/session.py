@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording a Python call site for every column costs more than planning the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -50,3 +53,23 @@ def spread(df: DataFrame, *key: str) -> DataFrame:
     tasks; a fixed partition count is not coalesced.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once per application as a table in the shared folder and read it back.
+
+    For a derived table that many queries read: later scans prune columns instead of deriving
+    every row again, and a lost executor only rereads files. Few input splits are spread first.
+    """
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _STAGED:
+        path = f"{checkpoint_dir(spark)}/cuelake-{uuid.uuid4().hex}"
+        if df.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = spread(df, df.columns[0])
+        df.write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.schema(df.schema).parquet(_STAGED[key])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cuelake.functions import letter_tokens, midpoint
 from cuelake.functions.base import idiv
 from cuelake.operators.ordered import id_chunk, scan
+from cuelake.session import staged
 
 
 class Tables:
@@ -26,6 +27,10 @@ class Tables:
 
     @cached_property
     def cues(self) -> DataFrame:
+        """The cue table, written once to the shared folder: timing queries then read no text."""
+        return staged(self.parsed_cues(), f"cues of {self.folder}")
+
+    def parsed_cues(self) -> DataFrame:
         """One cue per non-empty document line, numbered and timed inside its own row.
 
         Map-only: a track is one input row, so running totals are array work and nothing shuffles.
