@@ -1,0 +1,135 @@
+"""Readers over text that Spark builds from the tables, and the capped ledger."""
+
+from pyspark.sql import functions as F
+
+from cuelake.functions.base import idiv
+from cuelake.operators.ledger import decide_reservations
+from cuelake.plans.measure_plans import has, limits
+from cuelake.plans.registry import plan
+from cuelake.sources import records as rc
+from cuelake.sources import srt as sr
+
+T = ["track_id"]
+
+
+@plan("capped_ledger_r2", """
+/*recursive*/, o AS (SELECT *, row_number() OVER (PARTITION BY auth_id ORDER BY event_id) AS rn, CAST(charge * 100000000 AS BIGINT) AS c8 FROM ledger),
+x AS (SELECT auth_id, event_id, rn, CASE WHEN kind='upload' THEN 1 ELSE 0 END AS u, CASE WHEN kind='call' THEN 1 ELSE 0 END AS c, CASE WHEN kind='upload' THEN duration_ms ELSE 0 END AS um, CASE WHEN kind='call' THEN duration_ms ELSE 0 END AS cm,
+ CASE WHEN kind='call' THEN prompt_bytes ELSE 0 END AS pb, CASE WHEN kind='call' THEN c8 ELSE 0 END AS ch FROM o),
+w AS (SELECT auth_id, 0::BIGINT AS event_id, 0::BIGINT AS rn, false AS ok, 0::BIGINT AS u, 0::BIGINT AS c, 0::BIGINT AS um, 0::BIGINT AS cm, 0::BIGINT AS pb, 0::BIGINT AS ch FROM (SELECT DISTINCT auth_id FROM ledger)
+ UNION ALL SELECT y.auth_id, y.event_id, y.rn, y.ok, CASE WHEN ok THEN y.u2 ELSE y.u END, CASE WHEN ok THEN y.c2 ELSE y.c END, CASE WHEN ok THEN y.um2 ELSE y.um END, CASE WHEN ok THEN y.cm2 ELSE y.cm END, CASE WHEN ok THEN y.pb2 ELSE y.pb END, CASE WHEN ok THEN y.ch2 ELSE y.ch END
+ FROM (SELECT x.auth_id, x.event_id, x.rn, w.u, w.c, w.um, w.cm, w.pb, w.ch, w.u+x.u AS u2, w.c+x.c AS c2, w.um+x.um AS um2, w.cm+x.cm AS cm2, w.pb+x.pb AS pb2, w.ch+x.ch AS ch2,
+   w.u+x.u <= 10 AND w.c+x.c <= 12 AND w.um+x.um <= 600000 AND w.cm+x.cm <= 700000 AND w.pb+x.pb <= 20000 AND w.ch+x.ch <= 3000000 AS ok FROM w JOIN x ON x.auth_id=w.auth_id AND x.rn=w.rn+1) y)
+SELECT auth_id, event_id, ok AS accepted FROM w WHERE rn > 0""")
+def capped_ledger_r2(t):
+    return decide_reservations(t.ledger, limits(t))
+
+
+def srt_files(t, tail=""):
+    """One subtitle text per track, built from its cues."""
+    blocks = sr.srt_blocks(t.cues)
+    joined = blocks.groupBy("track_id").agg(F.array_sort(F.collect_list(F.struct("cue_id", "block")))["block"].alias("_b"))
+    return joined.select("track_id", F.concat(F.array_join("_b", "\n\n"), F.lit(tail)).alias("content"))
+
+
+@plan("srt_scan_s1", """SELECT track_id, cue_id, start_ms, end_ms, length(text) AS n, CASE WHEN trim(text)='' THEN 'blank_text' END AS error FROM cues
+UNION ALL SELECT track_id, max(cue_id) + 1, 1000, 500, 4, 'bad_id' FROM cues GROUP BY 1""")
+def srt_scan_s1(t):
+    rows = sr.parse_srt(srt_files(t, "\n\n7000000\n00:00:01,000 --> 00:00:00,500\nlast"))
+    return rows.select("track_id", "cue_id", "start_ms", "end_ms", F.length("text").cast("bigint").alias("n"), "error")
+
+
+@plan("srt_scan_s2", """SELECT track_id, cue_id, start_ms, end_ms, NULL AS error FROM cues UNION ALL SELECT track_id, max(cue_id) + 1, 1000, 500, 'no_duration' FROM cues GROUP BY 1""")
+def srt_scan_s2(t):
+    return sr.parse_srt(srt_files(t, "\n\n7000000\n00:00:01,000 --> 00:00:00,500\nlast"), renumber=True).drop("text")
+
+
+@plan("decode_tracks_s3", """SELECT doc_id, sha256(text) AS utf8_sha, length(text) AS n FROM documents""")
+def decode_tracks_s3(t):
+    raw = t.raw("documents").select(F.col("doc_id").alias("path"), F.encode("text", "utf-16le").alias("content"))
+    return sr.decode_tracks(raw, "utf-16le").select(F.col("path").alias("doc_id"), "utf8_sha", F.length("text").cast("bigint").alias("n"))
+
+
+@plan("srt_blocks_s4", """SELECT track_id, cue_id, sha256(cue_id || chr(10) || printf('%02d:%02d:%02d,%03d', start_ms//3600000, start_ms//60000%60, start_ms//1000%60, start_ms%1000) || ' --> ' ||
+ printf('%02d:%02d:%02d,%03d', end_ms//3600000, end_ms//60000%60, end_ms//1000%60, end_ms%1000) || chr(10) || text) AS sha FROM cues""")
+def srt_blocks_s4(t):
+    return sr.srt_blocks(t.cues).select("track_id", "cue_id", F.sha2("block", 256).alias("sha"))
+
+
+@plan("alignment_scan_s5", """SELECT c.track_id, c.cue_id AS unit_id, w.pos, w.text, w.start_ms, w.end_ms FROM cues c LEFT JOIN words w ON w.track_id=c.track_id AND w.cue_id=c.cue_id""")
+def alignment_scan_s5(t):
+    """Nested reports, one per track, written as JSON and read back with the fixed schema."""
+    timed = t.words.groupBy("track_id", "cue_id").agg(F.array_sort(F.collect_list(F.struct("pos", "text", "start_ms", "end_ms"))).alias("_w"))
+    unit = F.struct(F.col("cue_id").cast("string").alias("id"), F.transform("_w", lambda w: F.struct(
+        w["text"].alias("text"), w["start_ms"].alias("start_ms"), w["end_ms"].alias("end_ms"))).alias("word_timings"))
+    reports = t.cues.select("track_id", "cue_id").join(timed, ["track_id", "cue_id"], "left").groupBy("track_id").agg(F.collect_list(unit).alias("utterances"))
+    text = reports.select(F.to_json(F.struct(F.col("track_id").cast("string").alias("video_sha256"), "utterances")).alias("j"))
+    parsed = text.select(F.from_json("j", rc.ALIGNMENT).alias("r")).select("r.*")
+    return rc.explode_alignment(parsed).select(F.col("video_sha256").cast("bigint").alias("track_id"), F.col("unit_id").cast("bigint").alias("unit_id"), "pos", "text", "start_ms", "end_ms")
+
+
+@plan("clip_manifest_s9", """
+, k AS (SELECT track_id, s // 60000 + 1 AS clip_no, greatest(0, s-5000) + CASE WHEN s // 60000 % 3 = 2 THEN 5000 ELSE 0 END AS offset_ms, s AS core_start_ms, least(duration_ms, s+60000) - CASE WHEN s // 60000 % 4 = 1 THEN 1 ELSE 0 END AS core_end_ms
+ FROM (SELECT *, unnest(range(0, duration_ms, 60000)) AS s FROM media)),
+p AS (SELECT *, lag(core_end_ms) OVER (PARTITION BY track_id ORDER BY clip_no) AS pe FROM k)
+SELECT track_id, clip_no, CASE WHEN NOT (offset_ms >= 0 AND offset_ms <= core_start_ms AND core_start_ms < core_end_ms) THEN 'bad_clip' WHEN pe <> core_start_ms THEN 'cores_do_not_meet' WHEN pe IS NOT NULL AND offset_ms >= core_start_ms THEN 'no_overlap' END AS error FROM p""")
+def clip_manifest_s9(t):
+    s = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("duration_ms") - 1, F.lit(60_000).cast("bigint"))).alias("s")
+    k = idiv(F.col("s"), 60_000)
+    rows = t.media.select("track_id", "duration_ms", s).select(
+        "track_id", F.col("s"), F.struct(
+            F.lit("x").alias("srt"), (F.greatest(F.lit(0), F.col("s") - 5000) + F.when(k % 3 == 2, 5000).otherwise(0)).alias("offset_ms"), F.col("s").alias("core_start_ms"),
+            (F.least("duration_ms", F.col("s") + 60_000) - F.when(k % 4 == 1, 1).otherwise(0)).alias("core_end_ms")).alias("c"))
+    manifests = rows.groupBy(F.col("track_id").alias("path")).agg(F.array_sort(F.collect_list(F.struct("s", "c")))["c"].alias("clips"))
+    return rc.clip_rows(manifests).select(F.col("path").alias("track_id"), "clip_no", "error")
+
+
+@plan("receipts_s10", """
+SELECT track_id AS receipt_id, 'asr' AS kind, start_ms, end_ms, text FROM words WHERE start_ms IS NOT NULL AND length(text) > 5 AND start_ms < 120000 AND end_ms > 20000
+UNION ALL SELECT track_id + 1000000, 'asr', start_ms, end_ms, text FROM cues WHERE start_ms < 100000 AND end_ms > 0
+UNION ALL SELECT track_id + 2000000, 'saved_review', 5000 + start_ms, 5000 + end_ms, 'differs' FROM cues WHERE contains(text, 'w') AND 5000 + start_ms < 90000 AND 5000 + end_ms > 0
+UNION ALL SELECT track_id + 3000000, 'audio_event', start_ms, end_ms, 'voice' FROM speech WHERE start_ms < 80000 AND end_ms > 0""")
+def receipts_s10(t):
+    sec = lambda name: (F.col(name) / F.lit(1000.0))
+    per = lambda df, item, name: df.groupBy("track_id").agg(F.to_json(F.struct(F.collect_list(item).alias(name))).alias("payload"))
+    words = per(t.words.where(F.col("start_ms").isNotNull() & (F.length("text") > 5)), F.struct(F.lit("word").alias("type"), "text", sec("start_ms").alias("start"), sec("end_ms").alias("end")), "words")
+    srt = srt_files(t).withColumnRenamed("content", "payload")
+    found = t.cues.where(has("text", "w")).groupBy("track_id").agg(F.to_json(F.struct(F.lit(5000).alias("start_ms"), F.collect_list(F.struct(
+        F.array(sec("start_ms"), sec("end_ms")).alias("interval"), F.lit("differs").alias("evidence_explanation"))).alias("findings"))).alias("payload"))
+    heard = per(t.speech, F.struct(F.lit("audio_event").alias("kind"), F.lit("voice").alias("text"), "start_ms", "end_ms"), "observations")
+    receipts = None
+    for at, (kind, df, lo, hi) in enumerate([("words", words, 20_000, 120_000), ("srt", srt, 0, 100_000), ("comparison", found, 0, 90_000), ("acoustic", heard, 0, 80_000)]):
+        part = df.select((F.col("track_id") + at * 1_000_000).alias("receipt_id"), F.col("track_id").alias("media_id"), F.lit(kind).alias("kind"), F.lit("m").alias("model"),
+                         F.lit("complete").alias("status"), F.lit(lo).cast("bigint").alias("start_ms"), F.lit(hi).cast("bigint").alias("end_ms"), "payload")
+        receipts = part if receipts is None else receipts.unionByName(part)
+    return rc.normalize_receipts(receipts).select("receipt_id", "kind", "start_ms", "end_ms", "text")
+
+
+@plan("transcripts_s12", r"""
+SELECT track_id, cue_id, start_ms, end_ms, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text, CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g'))='' THEN 'blank_text' WHEN end_ms > 200000 THEN 'outside_clip' END AS error FROM cues""")
+def transcripts_s12(t):
+    stamp = lambda ms: F.format_string("%02d:%02d.%03d", idiv(F.col(ms), 60_000), idiv(F.col(ms), 1000) % 60, F.col(ms) % 1000)
+    line = F.concat(stamp("start_ms"), F.lit(" --> "), stamp("end_ms"), F.lit(" | "), "text")
+    replies = t.cues.groupBy("track_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("cue_id", line.alias("l"))))["l"], "\n").alias("content"))
+    return sr.parse_transcripts(replies.withColumn("duration_ms", F.lit(200_000)))
+
+
+@plan("salvage_s13", """
+, n AS (SELECT track_id, cue_id, max(cue_id) OVER (PARTITION BY track_id) AS m, CASE WHEN contains(text,'q') THEN 'uncertain' ELSE 'correct' END AS verdict, bool_or(contains(text,'k')) OVER (PARTITION BY track_id) AS cut FROM cues)
+SELECT track_id AS response_id, cue_id - 1 AS pos, cut, cue_id::VARCHAR AS source_id, verdict FROM n WHERE NOT (cut AND cue_id = m)""")
+def salvage_s13(t):
+    item = F.to_json(F.struct(F.col("cue_id").cast("string").alias("source_id"), F.when(has("text", "q"), "uncertain").otherwise("correct").alias("verdict")))
+    body = t.cues.groupBy("track_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("cue_id", item.alias("j"))))["j"], ", ").alias("_b"), F.bool_or(has("text", "k")).alias("_cut"))
+    whole = F.concat(F.lit('{"assessments": ['), "_b", F.lit("]}"))
+    content = F.when(F.col("_cut"), F.substr(whole, F.lit(1), F.length(whole) - 6)).otherwise(whole)
+    return rc.salvage_assessments(body.select(F.col("track_id").alias("response_id"), content.alias("content"), F.lit("length").alias("done_reason"))).drop("severity", "explanation")
+
+
+@plan("fenced_json_s14", """
+SELECT event_id, CASE event_type WHEN 'error' THEN 'not_json' WHEN 'signup' THEN 'ambiguous_fences' WHEN 'view' THEN 'empty_or_scalar' END AS error, CASE WHEN event_type IN ('click','purchase') THEN props END AS payload FROM events""")
+def fenced_json_s14(t):
+    fence = lambda body: F.concat(F.lit("Here it is:\n```json\n"), body, F.lit("\n```\nDone."))
+    kind = F.col("event_type")
+    content = (F.when(kind == "click", fence(F.col("props"))).when(kind == "purchase", F.col("props")).when(kind == "view", fence(F.lit("[]")))
+               .when(kind == "signup", F.concat(fence(F.col("props")), fence(F.col("props")))).otherwise(F.concat(F.lit("sorry "), "props")))
+    return rc.fenced_json(t.raw("events").select("event_id", content.alias("content"))).select("event_id", "error", "payload")
