@@ -170,7 +170,7 @@ def greedy_batches(
         count = np.where(far >= n, max_rows, far - start - halo)
         return base, begin, stop, np.clip(np.minimum(count, n - start), 0, max_rows)
 
-    def exits(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def exits(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         chunk = int(key[-1])
         base, begin, stop, step = jumps(pdf, chunk)
         leave, made = {}, {}
@@ -195,7 +195,7 @@ def greedy_batches(
     packed = table.groupBy(*by, "_chunk").agg(
         F.map_from_entries(F.collect_list(F.struct("_entry", F.struct("_exit", "_made")))).alias("_map"))
 
-    def chain(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         entry, done, out = 0, 0, []
         for chunk, mapping in pdf.sort_values("_chunk")[["_chunk", "_map"]].itertuples(index=False):
             out.append((*key, chunk, entry, done))
@@ -210,7 +210,7 @@ def greedy_batches(
     starts = packed.groupBy(*by).applyInPandas(chain, f"{keys}, _chunk bigint, _start bigint, _done bigint")
     ready = rows.join(starts, [*by, "_chunk"])
 
-    def number(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def number(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         chunk = int(key[-1])
         entry, done = int(pdf["_start"].iloc[0]), int(pdf["_done"].iloc[0])
         base, begin, stop, step = jumps(pdf, chunk)
