@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cuelake.functions import is_label, norm_text
 from cuelake.functions.base import idiv
 from cuelake.operators.intervals import active_at, asof_last, interval_join, with_partner
-from cuelake.operators.ordered import id_chunk, scan
+from cuelake.operators.ordered import id_chunk, scan, time_chunk
 from cuelake.session import cut_lineage
 
 TRACK = ["track_id"]
@@ -335,7 +335,7 @@ def insert_pairs(cues: DataFrame, additions: DataFrame, gaps: DataFrame) -> Data
     named = gaps.select(*key, F.col("start_ms").alias("g_start"), F.col("end_ms").alias("g_end"),
                         "speech_start", "speech_end")
     inner = scan(additions.select(*key, "pos", "start_ms", "end_ms"), key, ["start_ms", "pos"],
-                 id_chunk("start_ms", 1 << 24), prev={"p_end": "end_ms"})
+                 time_chunk("start_ms"), prev={"p_end": "end_ms"})
     shape = inner.groupBy(*key).agg(
         F.min("start_ms").alias("first"), F.max("end_ms").alias("last"),
         F.max(F.col("start_ms") - F.col("p_end")).alias("widest"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cuelake.functions import midpoint, norm_text
 from cuelake.functions.base import idiv
 from cuelake.operators.intervals import interval_join
-from cuelake.operators.ordered import id_chunk, islands, scan
+from cuelake.operators.ordered import id_chunk, islands, scan, time_chunk
 
 TRACK = ["track_id"]
 
@@ -20,11 +20,12 @@ TRACK = ["track_id"]
 def runs(cues: DataFrame, at_least: int = 3, min_length: int = 8) -> DataFrame:
     """Adjacent cues with one normalised text; a run is named by its first and last cue."""
     slim = cues.select("track_id", "cue_id", "start_ms", "end_ms", norm_text("text").alias("norm"))
-    found = islands(slim, TRACK, ["cue_id"], id_chunk("cue_id"), "norm",
-                    first={"first_id": "cue_id", "start_ms": "start_ms"},
+    # Neighbours compare by hash, so no text travels in the edge rows of the scan.
+    found = islands(slim, TRACK, ["cue_id"], id_chunk("cue_id"), F.sha2("norm", 256),
+                    first={"first_id": "cue_id", "start_ms": "start_ms", "norm": "norm"},
                     last={"last_id": "cue_id", "end_ms": "end_ms"})
-    return found.where((F.col("n_rows") >= at_least) & (F.length("key") >= min_length)).select(
-        "track_id", "first_id", "last_id", "start_ms", "end_ms", "n_rows", F.col("key").alias("norm"))
+    return found.where((F.col("n_rows") >= at_least) & (F.length("norm") >= min_length)).select(
+        "track_id", "first_id", "last_id", "start_ms", "end_ms", "n_rows", "norm")
 
 
 def longest_run(cues: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def layout_check(items: DataFrame) -> DataFrame:
     ids break ties.
     """
     slim = items.select("track_id", "cue_id", "start_ms", "end_ms")
-    ranked = scan(slim, TRACK, ["start_ms", "end_ms", "cue_id"], id_chunk("start_ms", 1 << 20),
+    ranked = scan(slim, TRACK, ["start_ms", "end_ms", "cue_id"], time_chunk("start_ms"),
                   prev={"p_id": "cue_id", "p_end": "end_ms"})
     return ranked.where(F.col("start_ms") < F.col("p_end")).select(
         "track_id", F.col("p_id").alias("left_id"), F.col("cue_id").alias("right_id"))
@@ -70,7 +71,7 @@ def scan_gaps(windows: DataFrame, media: DataFrame) -> DataFrame:
     # A text is blank or not; only that reaches the shuffle.
     slim = bounded.select("track_id", "start_ms", "end_ms", "duration_ms", "status", "issue",
                           (F.trim("text") == "").alias("blank"))
-    ranked = scan(slim, TRACK, ["start_ms", "end_ms"], id_chunk("start_ms", 1 << 24),
+    ranked = scan(slim, TRACK, ["start_ms", "end_ms"], time_chunk("start_ms"),
                   prev={"p_end": "end_ms"}, nxt={"n_start": "start_ms"})
     status = F.col("status")
     broken = (
@@ -100,9 +101,10 @@ def inner_gap(links: DataFrame, over_ms: int = 1000) -> DataFrame:
 
     `links`: track_id, translation_id, unit_id, start_ms, end_ms (times of the unit).
     """
-    ranked = scan(links.select("track_id", "translation_id", "start_ms", "end_ms"),
-                  ["track_id", "translation_id"], ["start_ms", "end_ms"],
-                  id_chunk("start_ms", 1 << 24), prev={"p_end": "end_ms"})
+    # Copies of one interval cannot widen a gap, so they collapse first.
+    slim = links.select("track_id", "translation_id", "start_ms", "end_ms").distinct()
+    ranked = scan(slim, ["track_id", "translation_id"], ["start_ms", "end_ms"],
+                  time_chunk("start_ms"), prev={"p_end": "end_ms"})
     gap = ranked.groupBy("track_id", "translation_id").agg(
         F.max(F.col("start_ms") - F.col("p_end")).alias("gap_ms"))
     return gap.where(F.col("gap_ms") > over_ms)
@@ -123,6 +125,44 @@ def batches(units: DataFrame, size: int, context: int) -> DataFrame:
     return spread.select("track_id", (F.col("_b") + 1).alias("batch_no"), "cue_id", place.alias("role"))
 
 
+def _groups(batches: Iterator[pd.DataFrame], keys: Sequence[str]):
+    """Split sorted Arrow batches into (key, columns) groups; a group may span batches."""
+    held, held_key = [], None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        changed = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+        starts = np.flatnonzero(changed)
+        columns = {name: pdf[name].to_numpy() for name in pdf.columns}
+        for begin, stop in zip(starts, [*starts[1:], len(pdf)]):
+            key = tuple(columns[name][begin] for name in keys)
+            part = {name: values[begin:stop] for name, values in columns.items()}
+            if held and key != held_key:
+                yield held_key, _joined(held)
+                held = []
+            held.append(part)
+            held_key = key
+    if held:
+        yield held_key, _joined(held)
+
+
+def _joined(parts: list[dict]) -> dict:
+    return parts[0] if len(parts) == 1 else {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _frames(rows: Iterator[dict], columns: Sequence[str], at_least: int = 10_000) -> Iterator[pd.DataFrame]:
+    """Gather small column groups into frames worth sending."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[columns[0]])
+        if size >= at_least:
+            yield pd.DataFrame(_joined(held))[list(columns)]
+            held, size = [], 0
+    if held:
+        yield pd.DataFrame(_joined(held))[list(columns)]
+
+
 def greedy_batches(
     units: DataFrame,
     by: Sequence[str],
@@ -139,28 +179,28 @@ def greedy_batches(
     `units`: by, row_no (1..n dense), weight (bigint). The next start depends on the previous
     one, which looks sequential, but a jump is at most `max_rows` long. So every chunk works out,
     in parallel and for each of its possible entry rows, where a walk would leave it and how many
-    batches it makes; the small entry tables are chained per group; then chunks number their rows
-    in parallel. With `context_weight` a batch also pays for `context` rows before and after it.
-    A row that cannot fit alone gets batch_no NULL, as does everything after it.
+    batches it makes; the small entry tables are chained per group as a stream; then chunks number
+    their rows in parallel. With `context_weight` a batch also pays for `context` rows before and
+    after it. A row that cannot fit alone gets batch_no NULL, as does everything after it.
     """
     by = list(by)
+    keys = [*by, "_chunk"]
     reach = max_rows + context
     size = max(chunk_rows, reach)
     at = F.col("row_no") - 1
-    home = F.floor(at / size).cast("bigint")
     # Rows near a border are also sent to the neighbouring chunk as halo.
     low = F.greatest(F.lit(0), F.floor((at - reach) / size)).cast("bigint")
     high = F.floor((at + context) / size).cast("bigint")
-    rows = units.select(*by, "row_no", "weight", home.alias("_home"),
-                        F.explode(F.sequence(low, high)).alias("_chunk"))
+    rows = units.select(*by, F.explode(F.sequence(low, high)).alias("_chunk"), "row_no", "weight")
     kinds = dict(units.dtypes)
-    keys = ", ".join(f"`{name}` {kinds[name]}" for name in by)
+    types = ", ".join(f"`{name}` {kinds[name]}" for name in by)
+
+    def in_order(df: DataFrame, part: Sequence[str], *then: str) -> DataFrame:
+        return df.repartition(*part).sortWithinPartitions(*part, *then)
 
-    def jumps(pdf: pd.DataFrame, chunk: int):
-        pdf = pdf.sort_values("row_no")
-        numbers = pdf["row_no"].to_numpy() - 1
-        total = np.concatenate([[0], np.cumsum(pdf["weight"].to_numpy(dtype=np.int64))])
-        base, n = int(numbers[0]), len(numbers)
+    def jumps(group: dict, chunk: int):
+        total = np.concatenate([[0], np.cumsum(group["weight"].astype(np.int64))])
+        base, n = int(group["row_no"][0]) - 1, len(group["row_no"])
         begin, stop = chunk * size - base, min((chunk + 1) * size - base, n)
         start = np.arange(begin, max(begin, stop))
         halo = context if context_weight else 0
@@ -168,72 +208,69 @@ def greedy_batches(
         # Furthest row boundary the budget reaches; past the end nothing more is paid for.
         far = np.searchsorted(total, budget - fixed + paid, side="right") - 1
         count = np.where(far >= n, max_rows, far - start - halo)
-        return base, begin, stop, np.clip(np.minimum(count, n - start), 0, max_rows)
-
-    def exits(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(key[-1])
-        base, begin, stop, step = jumps(pdf, chunk)
-        leave, made = {}, {}
-        for start in range(stop - 1, begin - 1, -1):
-            count = int(step[start - begin])
-            after = start + count
-            if count == 0:
-                leave[start], made[start] = -1, 0
-            elif after >= stop:
-                leave[start], made[start] = after - stop, 1
-            else:
-                leave[start], made[start] = leave[after], made[after] + 1
-        entries = [at for at in range(begin, min(begin + max_rows, stop))]
-        return pd.DataFrame({
-            **{name: [key[i]] * len(entries) for i, name in enumerate(by)},
-            "_chunk": chunk, "_entry": [at - begin for at in entries],
-            "_exit": [leave[at] for at in entries], "_made": [made[at] for at in entries],
-        })
-
-    table = rows.groupBy(*by, "_chunk").applyInPandas(
-        exits, f"{keys}, _chunk bigint, _entry bigint, _exit bigint, _made bigint")
-    packed = table.groupBy(*by, "_chunk").agg(
-        F.map_from_entries(F.collect_list(F.struct("_entry", F.struct("_exit", "_made")))).alias("_map"))
-
-    def chain(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        entry, done, out = 0, 0, []
-        for chunk, mapping in pdf.sort_values("_chunk")[["_chunk", "_map"]].itertuples(index=False):
-            out.append((*key, chunk, entry, done))
-            found = dict(mapping).get(entry) if entry >= 0 else None
-            if found is None:
-                entry = -1
-                continue
-            entry, made = int(found["_exit"]), int(found["_made"])
-            done += made
-        return pd.DataFrame(out, columns=[*by, "_chunk", "_start", "_done"])
-
-    starts = packed.groupBy(*by).applyInPandas(chain, f"{keys}, _chunk bigint, _start bigint, _done bigint")
-    ready = rows.join(starts, [*by, "_chunk"])
-
-    def number(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        chunk = int(key[-1])
-        entry, done = int(pdf["_start"].iloc[0]), int(pdf["_done"].iloc[0])
-        base, begin, stop, step = jumps(pdf, chunk)
-        label = [None] * (stop - begin)
-        for at in range(begin, begin + max(entry, 0)):
-            if entry >= 0 and at < stop:
-                label[at - begin] = done
-        at = begin + entry if entry >= 0 else stop
-        while at < stop:
-            count = int(step[at - begin])
-            if count == 0:
-                break
-            done += 1
-            for inner in range(at, min(at + count, stop)):
-                label[inner - begin] = done
-            at += count
-        return pd.DataFrame({
-            **{name: [key[i]] * len(label) for i, name in enumerate(by)},
-            "row_no": [base + begin + i + 1 for i in range(len(label))],
-            "batch_no": pd.array(label, dtype="Int64"),
-        })
-
-    return ready.groupBy(*by, "_chunk").applyInPandas(number, f"{keys}, row_no bigint, batch_no bigint")
+        return base, begin, stop, np.clip(np.minimum(count, n - start), 0, max_rows).tolist()
+
+    def exits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def tables():
+            for key, group in _groups(frames, keys):
+                _, begin, stop, step = jumps(group, int(key[-1]))
+                n = stop - begin
+                leave, made = [0] * max(n, 0), [0] * max(n, 0)
+                for i in range(n - 1, -1, -1):
+                    after = i + step[i]
+                    if step[i] == 0:
+                        leave[i] = -1
+                    elif after >= n:
+                        leave[i], made[i] = after - n, 1
+                    else:
+                        leave[i], made[i] = leave[after], made[after] + 1
+                # A group is entered at its first row; later chunks at any of the first max_rows.
+                m = max(0, min(1 if key[-1] == 0 else max_rows, n))
+                yield {**{name: np.repeat(np.array([key[i]]), m) for i, name in enumerate(keys)},
+                       "_entry": np.arange(m), "_exit": np.array(leave[:m], dtype=np.int64), "_made": np.array(made[:m], dtype=np.int64)}
+
+        yield from _frames(tables(), [*keys, "_entry", "_exit", "_made"])
+
+    def chain(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # One pass over sorted entry rows; memory is one row of state, whatever a group's length.
+        group, chunk, entry, done, after = None, None, 0, 0, (0, 0)
+        for pdf in frames:
+            out = []
+            for row in pdf[[*keys, "_entry", "_exit", "_made"]].itertuples(index=False, name=None):
+                if row[:len(by)] != group:
+                    group, chunk, after = row[:len(by)], None, (0, 0)
+                if row[len(by)] != chunk:
+                    chunk = row[len(by)]
+                    entry, done = after
+                    after = (-1, done)
+                    out.append((*group, chunk, entry, done))
+                if row[-3] == entry and row[-2] >= 0:
+                    after = (row[-2], done + row[-1])
+            yield pd.DataFrame(out, columns=[*keys, "_start", "_done"])
+
+    def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def numbered():
+            for key, group in _groups(frames, keys):
+                base, begin, stop, step = jumps(group, int(key[-1]))
+                entry, done = int(group["_start"][0]), int(group["_done"][0])
+                n = max(0, stop - begin)
+                label = np.zeros(n, dtype=np.int64)
+                i = n if entry < 0 else min(entry, n)
+                label[:i] = done if entry >= 0 else 0
+                while i < n and step[i]:
+                    done += 1
+                    label[i:i + step[i]] = done
+                    i += step[i]
+                yield {**{name: np.repeat(np.array([key[k]]), n) for k, name in enumerate(by)},
+                       "row_no": np.arange(base + begin + 1, base + begin + 1 + n), "batch_no": label}
+
+        yield from _frames(numbered(), [*by, "row_no", "batch_no"])
+
+    table = in_order(rows, keys, "row_no").mapInPandas(exits, f"{types}, _chunk bigint, _entry bigint, _exit bigint, _made bigint")
+    starts = in_order(table, by, "_chunk", "_entry").mapInPandas(chain, f"{types}, _chunk bigint, _start bigint, _done bigint")
+    ready = rows.join(starts, keys)
+    out = in_order(ready, keys, "row_no").mapInPandas(number, f"{types}, row_no bigint, batch_no bigint")
+    return out.withColumn("batch_no", F.nullif("batch_no", F.lit(0)))
 
 
 def samples(cues: DataFrame, fractions: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
@@ -258,10 +295,11 @@ def link_order(items: DataFrame, by: Sequence[str] = ("track_id",)) -> DataFrame
 
 def same_scene(flags: DataFrame, by: Sequence[str], slack_ms: int = 2000) -> DataFrame:
     """Per group: do its intervals, sorted by time, follow one another within the slack?"""
-    ranked = scan(flags.select(*by, "start_ms", "end_ms"), by, ["start_ms", "end_ms"],
-                  id_chunk("start_ms", 1 << 24), prev={"p_end": "end_ms"})
+    # Copies of one interval always follow each other, so they collapse to a count first.
+    slim = flags.groupBy(*by, "start_ms", "end_ms").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = scan(slim, by, ["start_ms", "end_ms"], time_chunk("start_ms"), prev={"p_end": "end_ms"})
     near = F.col("p_end").isNull() | (F.col("start_ms") <= F.col("p_end") + slack_ms)
-    return ranked.groupBy(*by).agg(F.bool_and(near).alias("one_scene"), F.count(F.lit(1)).alias("n_flags"))
+    return ranked.groupBy(*by).agg(F.bool_and(near).alias("one_scene"), F.sum("_n").alias("n_flags"))
 
 
 def retime_ok(cues: DataFrame, proposals: DataFrame) -> DataFrame:
