@@ -154,3 +154,16 @@ def test_one_edit_leaves_other_windows_cached(spark):
     assert work(rows) == ["cached"] * 10
     assert work(changed) == ["cached"] * 9 + ["missing"]
     assert work(moved) == ["remapped"] * 10
+
+
+def test_reference_disagreement_equals_difflib(spark):
+    from difflib import SequenceMatcher
+
+    cues = [(1, 1, 0, 2000, "where did you go last night"), (1, 2, 2000, 4000, "I was at home"), (1, 3, 9000, 9900, "nothing alike here at all")]
+    ref = [(1, 7, 100, 2400, "where did you go last night"), (1, 8, 9100, 9800, "zzz qqq www vvv kkk jjj xxx"), (1, 9, 100, 900, "too short")]
+    shifted = spark.createDataFrame(ref, "track_id long, ref_id long, start_ms long, end_ms long, text string")
+    got = {r.ref_id: r.similarity for r in sc.reference_disagreement(spark.createDataFrame(cues, CUE), shifted, below=1.1).collect()}
+    near = {7: "where did you go last night i was at home", 8: "nothing alike here at all"}
+    assert got == {k: round(SequenceMatcher(None, dict((r[1], r[4]) for r in ref)[k], text).ratio(), 3) for k, text in near.items()}
+    low = sc.reference_disagreement(spark.createDataFrame(cues, CUE), shifted).collect()
+    assert [r.ref_id for r in low] == [8]
