@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cuelake.functions import cps, letter_tokens, norm_text, overlap_ms
+from cuelake.functions import cps, letter_tokens, norm_text
 from cuelake.functions.base import idiv, let
 from cuelake.operators.intervals import covers, interval_join
 from cuelake.operators.ordered import id_chunk, scan
@@ -434,7 +434,3 @@ def mapped_events(events: DataFrame, frames: DataFrame, clips: DataFrame, per_se
     return placed.where(F.col("begin_ms") < F.col("stop_ms")).join(means, ["clip_id", "event_id"], "left").select(
         "track_id", "clip_id", "event_id", "label", F.col("begin_ms").alias("start_ms"),
         F.col("stop_ms").alias("end_ms"), "confidence")
-
-
-def overlap_share(a: Column, b: Column, c: Column, d: Column) -> Column:
-    return F.greatest(F.lit(0), overlap_ms(a, b, c, d))

@@ -6,7 +6,7 @@ from cuelake.functions import midpoint
 from cuelake.operators import intervals as iv
 from cuelake.operators import linking as lk
 from cuelake.operators import sequences as sq
-from cuelake.plans.interval_plans import GAPS, MEANINGFUL, STRICT, shown  # noqa: F401
+from cuelake.plans.interval_plans import GAPS, STRICT
 from cuelake.plans.registry import plan
 from cuelake.plans.views import norm
 

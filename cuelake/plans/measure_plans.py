@@ -8,11 +8,11 @@ from cuelake.operators import linking as lk
 from cuelake.operators import measures as ms
 from cuelake.operators import sequences as sq
 from cuelake.operators.ordered import id_chunk
-from cuelake.plans.interval_plans import GAPS, MERGE, STRICT
+from cuelake.plans.interval_plans import GAPS, MERGE
 from cuelake.plans.link_plans import LINKS_SQL, translated, units
 from cuelake.plans.registry import plan
 from cuelake.plans.sequence_plans import CLIPS, short_clips
-from cuelake.plans.views import norm, tokens
+from cuelake.plans.views import tokens
 
 T = ["track_id"]
 
