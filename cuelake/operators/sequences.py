@@ -196,7 +196,9 @@ def greedy_batches(
     types = ", ".join(f"`{name}` {kinds[name]}" for name in by)
 
     def in_order(df: DataFrame, part: Sequence[str], *then: str) -> DataFrame:
-        return df.repartition(*part).sortWithinPartitions(*part, *then)
+        # Hashing an expression of the keys keeps this shuffle: one that repeats a join's own
+        # partitioning is dropped as redundant, and a skew-split join would then cut groups apart.
+        return df.repartition(F.xxhash64(*part)).sortWithinPartitions(*part, *then)
 
     def jumps(group: dict, chunk: int):
         total = np.concatenate([[0], np.cumsum(group["weight"].astype(np.int64))])

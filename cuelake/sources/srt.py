@@ -76,7 +76,8 @@ def srt_blocks(cues: DataFrame) -> DataFrame:
 
 def write_srt(cues: DataFrame, path: str) -> None:
     """One folder per track with one file in it. Rows stream to the file in order; none is collected."""
-    rows = srt_blocks(cues).repartition("track_id").sortWithinPartitions("track_id", "cue_id")
+    # An expression of the key, so that a join before this cannot make the shuffle redundant.
+    rows = srt_blocks(cues).repartition(F.xxhash64("track_id")).sortWithinPartitions("track_id", "cue_id")
     rows.select("track_id", "block").write.mode("overwrite").option("lineSep", "\n\n").partitionBy("track_id").text(path)
 
 

@@ -133,3 +133,9 @@ def test_scan_gaps(spark):
     df = spark.createDataFrame(rows, "track_id long, start_ms long, end_ms long, text string, status string, issue string")
     got = {(r.track_id, r.start_ms): r.error for r in sq.scan_gaps(df, media).collect()}
     assert got == {(2, 31_000): "missing_or_malformed_interval", (3, None): "no_windows"}
+
+
+def test_grouping_shuffles_are_kept(spark):
+    df = spark.createDataFrame([(1, i, 10) for i in range(1, 102)], "track_id long, row_no long, weight long")
+    text = sq.greedy_batches(df, ["track_id"], 100, 5000)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("hashpartitioning(xxhash64(") >= 3
