@@ -24,6 +24,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cuelake.llm.common import read
 
@@ -163,13 +164,14 @@ def infer(lists: list[list[str]], table, penalty: float = PENALTY):
     return out
 
 
-def identify(docs: DataFrame, labels: list[str], table, penalty: float = PENALTY) -> DataFrame:
-    """`docs` with lang_pred, score and langs (label:share of each language held) added.
+def identify(docs: DataFrame, labels: list[str], table, penalty: float = PENALTY, names=("lang_pred", "score", "langs")) -> DataFrame:
+    """`docs` with the predicted label, its share and all languages held (label:share,...) added.
 
-    Columns of these names that `docs` has already are replaced.
+    Columns that have one of these `names` already are replaced.
     """
-    kept = docs.drop("lang_pred", "score", "langs").withColumn("_text", F.col("text"))
-    schema = kept.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("langs", "string")
+    old = docs.drop(*names)
+    kept = old.select("*", F.col("text").alias("_text of the prediction"))
+    schema = T.StructType([*old.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType()), T.StructField(names[2], T.StringType())])
 
     def batches(parts):
         for part in parts:
@@ -190,7 +192,7 @@ def identify(docs: DataFrame, labels: list[str], table, penalty: float = PENALTY
                 scores.append(min(1.0, float(top)))
                 langs.append(",".join(f"{labels[k]}:{x:.4f}" for k, x in sorted(enumerate(share), key=lambda p: (-p[1], p[0])) if x > 0))
             columns = [*part.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(langs, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names[:-1], "lang_pred", "score", "langs"])
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return kept.mapInArrow(batches, schema)
 

@@ -131,5 +131,15 @@ def taken(spark: SparkSession, docs: DataFrame, block: int = BLOCK) -> DataFrame
     return each.union(none).join(plans.select("rank", "source_size", "target"), "rank").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixture(spark: SparkSession, docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix as word ranges: (shard, slot, source, doc_id, first_word, n_words), words from 0.
+
+    A slot's ranges, in the order of `first_word` within its documents, make one block.
+    """
+    _, plans, mix = mixed(spark, docs, block)
+    first = F.greatest(F.col("index") * block - F.col("start"), F.lit(0))
+    return mix.select("shard", "slot", "rank", "doc_id", first.alias("first_word"), F.col("n").alias("n_words")).join(plans.select("rank", "source"), "rank").select("shard", "slot", "source", "doc_id", "first_word", "n_words")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(spark, read(spark, sf_dir, "documents"))

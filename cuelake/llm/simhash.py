@@ -16,7 +16,7 @@ other columns of the input are ignored.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cuelake.llm.common import components, read, stage
@@ -96,6 +96,18 @@ def near_groups(docs: DataFrame, width: int = 3, seed: int = 42, max_distance: i
     return fps.join(named, "fp")
 
 
+def first_of_groups(docs: DataFrame, width: int = 3, max_distance: int = 3) -> DataFrame:
+    """`docs` with one row for each near-duplicate group: that of its smallest doc_id.
+
+    Of rows that repeat that id the one with the smallest text stays; rows without an id all stay.
+    """
+    first = near_groups(docs, width, max_distance=max_distance).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_kept"), "left_semi")
+    once = Window.partitionBy("doc_id").orderBy("text")
+    kept = kept.withColumn("_nth of its id", F.row_number().over(once)).where(F.col("_nth of its id") == 1).drop("_nth of its id")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_groups(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
