@@ -63,6 +63,8 @@ def compressed(codes, rounds: int = ROUNDS):
 
 
 class Words:
+    split = b"\n"  # no word has one
+
     @staticmethod
     def units(text: str) -> list[bytes]:
         return text.encode("utf-8", "surrogatepass").split()
@@ -87,8 +89,7 @@ class Words:
 
     @classmethod
     def anchors(cls, lists: list[list[bytes]], length: int):
-        """(key, anchor) of the window from each place; anchors differ where keys come from
-        other places or levels."""
+        """(key, route, anchor, part) of the anchor of the window from each place."""
         import numpy as np
 
         codes = cls.codes(lists)
@@ -114,7 +115,7 @@ class Words:
         sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(codes * power[:-1]))) if len(codes) else np.zeros(1, np.uint64)
         content = (sums[end] - sums[begin]) * back[begin]
         key = repeats.mix(content, (chosen * 64 + end - begin).astype(np.uint64))
-        return key, begin * 64 + chosen
+        return key, key, begin * 64 + chosen, np.zeros_like(chosen)
 
     @classmethod
     def resolve(cls, bodies: list[bytes], docs, length: int):
@@ -124,7 +125,7 @@ class Words:
         lists = [b.split(b" ") for b in bodies]
         sizes = np.array([len(x) for x in lists])
         words = pa.array([w for ws in lists for w in (*ws, b"")], pa.large_binary()).dictionary_encode()
-        rank = repeats.ranks(words.indices.to_numpy(zero_copy_only=False), length)
+        rank, _ = repeats.ranks(words.indices.to_numpy(zero_copy_only=False), length)
         owner = np.repeat(np.arange(len(lists)), sizes + 1)
         starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
         real = np.flatnonzero(np.arange(len(rank)) - starts[owner] + length <= sizes[owner])
@@ -136,7 +137,7 @@ class Words:
 def dedup_words(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row."""
     words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(0))
-    base = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), words.alias("w"))
+    base = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), words.alias("w"))
     base = base.select("doc_id", "mark", F.size("w").cast("long").alias("n_words"), F.sha2(F.array_join("w", " ").cast("binary"), 256).alias("whole"))
     lost = repeats.removals(docs, Words, length)
     return base.join(lost, ["doc_id", "mark"], "left").select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept", "whole").alias("kept_sha256"))

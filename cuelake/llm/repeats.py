@@ -1,19 +1,19 @@
 """Repeats of a fixed length across documents: the passes that both substring operators share.
 
 A method names, for every window of `length` units (bytes or words), an anchor: a part of the
-window chosen and keyed by the window's content alone, so that equal windows have equal anchors
-wherever they stand. Then:
+window chosen by the window's content alone, so that equal windows have equal anchors wherever
+they stand. An anchor has a route, by which its windows meet, and a key, which may take in more of
+the window, for the filter. Then:
 
 1. every document's anchors, with the smallest and largest document per key already taken in each
    task, meet by hash range; keys of two documents or more set bits of a filter of fixed size;
 2. texts are read again; runs of windows with one anchor in the filter become segments;
-3. distinct segments meet by anchor; the method finds, for every window in them, the smallest
+3. distinct segments meet by route; the method finds, for every window in them, the smallest
    document that holds it (`resolve`), on exact content;
 4. answers join the segments' places; windows held by a smaller document mark their units.
 
 A hot passage is one segment in step 3 (each task sends it once), and a skewed key of the inner join in
-step 4, which adaptive execution splits. Texts move only for documents with candidate segments. The
-filter costs 2^FILTER_BITS bits (32 MB) at any scale; where a corpus overfills it, it lets more
+step 4, which adaptive execution splits. Texts move once, compressed. The filter costs 2^FILTER_BITS bits (32 MB) at any scale; where a corpus overfills it, it lets more
 segments pass and results stay the same.
 """
 
@@ -32,6 +32,8 @@ BLOCK_BITS = 9  # a key sets three bits in one block of 512
 KEY_BITS = 46
 AT_ONCE = 1 << 20  # units worked on together
 FLUSH = 1 << 21  # keys sent together
+FLUSH_BYTES = 1 << 26  # of segments sent together
+MARK_BITS = 24
 
 
 def mix(x, y):
@@ -101,25 +103,23 @@ def _groups(batch, method, length):
 
 
 def _runs(group, method, length):
-    """(keys, item of the group, first window, windows) of the runs of windows with one anchor."""
+    """Runs of windows with one key: (key, route, base, item of the group, first window, windows)."""
     import numpy as np
 
     sizes = np.array([len(g[4]) for g in group])
     starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    key, anchor = method.anchors([g[4] for g in group], length)  # over the group, units parted by one
+    key, route, base, part = method.anchors([g[4] for g in group], length)  # over the group, units parted by one
     n = len(key)
     item = np.repeat(np.arange(len(group)), sizes + 1)[:n]
-    inside = np.arange(n) - starts[item] + length <= sizes[item]
-    new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (item[1:] != item[:-1]))) if n else np.zeros(0, bool)
-    where = np.flatnonzero(inside)
+    where = np.flatnonzero(np.arange(n) - starts[item] + length <= sizes[item])
     if not len(where):
-        return np.zeros(0, np.uint64), where, where, where
+        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4)
+    new = np.concatenate(([True], (base[1:] != base[:-1]) | (part[1:] != part[:-1]) | (item[1:] != item[:-1])))
     opens = new[where]
     opens[0] = True
     first = np.flatnonzero(opens)
-    count = np.diff(np.append(first, len(where)))
     head = where[first]
-    return key[head], item[head], head - starts[item[head]], count
+    return key[head], route[head], base[head], item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
 
 
 def shared_filter(rows: DataFrame, method, length: int):
@@ -145,7 +145,7 @@ def shared_filter(rows: DataFrame, method, length: int):
 
         for part in parts:
             for group in _groups(part, method, length):
-                keys, item, _, _ = _runs(group, method, length)
+                keys, _, _, item, _, _ = _runs(group, method, length)
                 docs = np.array([g[0] for g in group], np.int64)[item]
                 held.append(_per_key(keys >> np.uint64(64 - KEY_BITS), docs, docs))
                 n += len(held[-1][0])
@@ -179,49 +179,76 @@ def shared_filter(rows: DataFrame, method, length: int):
     return whole
 
 
-SEGMENTS = "part int, hi long, lo long, doc_id long, mark long, start long, body binary, low long, high long"
+#: Of a text for the shuffle, and back.
+def packed(text: str) -> bytes:
+    import zstandard
+
+    return zstandard.compress(text.encode("utf-8", "surrogatepass"), 1)
+
+
+SEGMENTS = "part int, id long, doc_id long, mark int, start long, bodies binary, ids binary, low binary, more binary"
 
 
 def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
-    """Places of candidate segments; `body` on one of each batch's equal ones. Start -1: a text."""
+    """Places of candidate segments, one a row, and their distinct contents, packed by part.
+
+    A segment is named by its part and a 64-bit hash of its content.
+    """
     spark = rows.sparkSession
     filled = spark.sparkContext.broadcast(bits)
     parts_n = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.int64(), pa.int64()]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
 
     def find(parts):
         import numpy as np
         import xxhash
+        import zstandard
+
+        full, held = filled.value, {}
+
+        def contents():
+            for part, bodies in held.items():
+                docs = np.array(list(bodies.values()), np.int64)
+                ids = np.array([xxhash.xxh3_64_intdigest(b) for b in bodies], np.uint64)
+                yield [part, None, None, None, None, zstandard.compress(method.split.join(bodies), 1), _squeezed(ids), _squeezed(np.ascontiguousarray(docs[:, 0]).view(np.uint64)), _squeezed((docs[:, 1] - docs[:, 0]).view(np.uint64))]
 
-        full = filled.value
+        def batch(out):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        room = FLUSH_BYTES
         for part in parts:
             for group in _groups(part, method, length):
-                keys, item, first, count = _runs(group, method, length)
-                short = keys >> np.uint64(64 - KEY_BITS)
+                keys, route, base_at, item, first, count = _runs(group, method, length)
                 hit = np.ones(len(keys), bool)
-                for word, mask in _bits(short):
+                for word, mask in _bits(keys >> np.uint64(64 - KEY_BITS)):
                     hit &= (full[word] & mask) != 0
+                # Neighbouring runs of one anchor make one segment.
                 at = np.flatnonzero(hit)
-                seen: dict[bytes, list] = {}
+                joins = np.concatenate(([False], (np.diff(at) == 1) & (base_at[at[1:]] == base_at[at[:-1]]) & (item[at[1:]] == item[at[:-1]]))) if len(at) else hit[:0]
+                head = np.flatnonzero(~joins)
+                total = np.add.reduceat(count[at], head) if len(at) else count[:0]
+                at = at[head]
                 out = []
-                for where, i, a, n in zip((short[at] % np.uint64(parts_n)).tolist(), item[at].tolist(), first[at].tolist(), count[at].tolist(), strict=True):
+                for where, i, a, n in zip((route[at] % np.uint64(parts_n)).tolist(), item[at].tolist(), first[at].tolist(), total.tolist(), strict=True):
                     doc, mark, _, base, units = group[i]
                     body = method.body(units[a : a + n + length - 1])
-                    row = seen.get(body)
-                    if row is None:
-                        digest = xxhash.xxh3_128_intdigest(body)
-                        row = [where, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63), doc, mark, base + a, body, doc, doc]
-                        seen[body] = row
-                        out.append(row)
+                    digest = xxhash.xxh3_64_intdigest(body)
+                    out.append((where, digest - (1 << 64) if digest >> 63 else digest, doc, mark, base + a, None, None, None, None))
+                    bodies = held.setdefault(where, {})
+                    seen = bodies.get(body)
+                    if seen is None:
+                        bodies[body] = (doc, doc)
+                        room -= len(body) + 100
                     else:
-                        row[7], row[8] = min(row[7], doc), max(row[8], doc)
-                        out.append([where, row[1], row[2], doc, mark, base + a, None, None, None])
-                for i in sorted(set(item[at].tolist())):
-                    doc, mark, text, base, _ = group[i]
-                    out.append([-1, 0, 0, doc, mark, -1, text.encode("utf-8", "surrogatepass"), None, None])
+                        bodies[body] = (min(seen[0], doc), max(seen[1], doc))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                    yield batch(out)
+                if room <= 0:
+                    yield batch(list(contents()))
+                    held, room = {}, FLUSH_BYTES
+        if held:
+            yield batch(list(contents()))
 
     return rows.mapInArrow(find, SEGMENTS)
 
@@ -242,40 +269,62 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
 
     docs: (doc_id, text); mark is a hash of the text, for rows that repeat an id.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
     found = stage(segments(rows, method, length, shared_filter(rows, method, length)), "segments")
 
     def resolve(table):
         import numpy as np
 
+        import zstandard
+
         bodies: dict[bytes, list] = {}
-        for hi, lo, body, low, high in zip(*(table.column(c).to_pylist() for c in ("hi", "lo", "body", "low", "high")), strict=True):
-            row = bodies.setdefault(body, [hi, lo, low, high])
-            row[2], row[3] = min(row[2], low), max(row[3], high)
-        his, los, lows, highs = zip(*bodies.values(), strict=True)
+        for packed_bodies, ids, low, more in zip(*(table.column(c).to_pylist() for c in ("bodies", "ids", "low", "more")), strict=True):
+            low = _widened(low).view(np.int64)
+            for body, name, a, d in zip(zstandard.decompress(packed_bodies).split(method.split), _widened(ids).view(np.int64).tolist(), low.tolist(), _widened(more).view(np.int64).tolist(), strict=True):
+                row = bodies.setdefault(body, [name, a, a + d])
+                row[1], row[2] = min(row[1], a), max(row[2], a + d)
+        names, lows, highs = zip(*bodies.values(), strict=True)
         answers = method.resolve(list(bodies), np.array(lows, np.int64), length)
         keep = [k for k, least in enumerate(answers) if least.min() < highs[k]]
-        return pa.table({"hi": pa.array([his[k] for k in keep], pa.int64()), "lo": pa.array([los[k] for k in keep], pa.int64()), "least": pa.array([answers[k] for k in keep], pa.list_(pa.int64()))})
+        part = table.column("part")[0].as_py()
+        return pa.table({"part": pa.array([part] * len(keep), pa.int32()), "id": pa.array([names[k] for k in keep], pa.int64()), "least": pa.array([answers[k] for k in keep], pa.list_(pa.int64()))})
 
-    answers = found.where("body IS NOT NULL AND start >= 0").select("part", "hi", "lo", "body", "low", "high").groupBy("part").applyInArrow(resolve, "hi long, lo long, least array<long>")
-    places = found.where("start >= 0").select("hi", "lo", "doc_id", "mark", "start").join(answers, ["hi", "lo"]).where(F.array_min("least") < F.col("doc_id"))
+    answers = found.where("bodies IS NOT NULL").select("part", "bodies", "ids", "low", "more").groupBy("part").applyInArrow(resolve, "part int, id long, least array<long>")
+    places = found.where("bodies IS NULL").select("part", "id", "doc_id", "mark", "start").join(answers, ["part", "id"]).where(F.array_min("least") < F.col("doc_id"))
 
     def spans(parts):
         import numpy as np
 
         for part in parts:
             out = [(d, m, a, b) for d, m, s, least in zip(*(part.column(k).to_pylist() for k in range(3)), part.column(3), strict=True) for a, b in marked(d, s, np.asarray(least.values.to_numpy()), length)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], names=["doc_id", "mark", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "mark", "a", "b"])
 
-    lost = places.select("doc_id", "mark", "start", "least").mapInArrow(spans, "doc_id long, mark long, a long, b long")
-    lost = lost.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
-    texts = found.where("start = -1").select("doc_id", "mark", "body").dropDuplicates(["doc_id", "mark"])
+    lost = places.select("doc_id", "mark", "start", "least").mapInArrow(spans, "doc_id long, mark int, a long, b long")
+    lost = stage(lost.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans")), "spans")
+    # A bitmap of fixed size keeps most of the texts that lose nothing out of the shuffle.
+    bit = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << MARK_BITS))
+    maps = lost.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    losing = rows.sparkSession.sparkContext.broadcast({r["k"] - 1: bytes(r["map"]) for r in maps.collect()})
+
+    def pack(parts):
+        for part in parts:
+            at, size = [], 8 * 4096
+            for k, b in enumerate(part.column(3).to_pylist()):
+                bits = losing.value.get(b // size)
+                if bits is not None and bits[b % size >> 3] >> (b & 7) & 1:
+                    at.append(k)
+            kept = part.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array([packed(t) for t in kept.column(2).to_pylist()], pa.binary())], names=["doc_id", "mark", "body"])
+
+    texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("bit", bit).mapInArrow(pack, "doc_id long, mark int, body binary")
 
     def keep(parts):
+        import zstandard
+
         for part in parts:
             out = []
             for body, found_spans in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                units = method.units(body.decode("utf-8", "surrogatepass"))
+                units = method.units(zstandard.decompress(body).decode("utf-8", "surrogatepass"))
                 kept, end, removed, n = [], 0, 0, 0
                 for s in found_spans:
                     if n == 0 or s["a"] > end:
@@ -292,23 +341,29 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
             a, b, c = zip(*out, strict=True) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string())], names=["doc_id", "mark", "n_removed", "n_spans", "kept"])
 
-    return texts.join(lost, ["doc_id", "mark"]).mapInArrow(keep, "doc_id long, mark long, n_removed long, n_spans long, kept string")
+    return texts.join(lost, ["doc_id", "mark"]).mapInArrow(keep, "doc_id long, mark int, n_removed long, n_spans long, kept string").distinct()
 
 
 def ranks(codes, length: int, step: int = 1):
-    """Equal numbers for equal strings of `length` units from each place; past the end counts as 0.
+    """(number of the string of `length` units from each place, places in the order of the numbers):
+    equal strings have equal numbers; past the end counts as 0.
 
-    codes stand for `step` units each; doubling, with exact ranks, to `length`.
+    codes stand for `step` units each; exact doubling to `length`.
     """
     import numpy as np
 
-    _, rank = np.unique(codes, return_inverse=True)
-    rank = rank.astype(np.uint64) + np.uint64(1)
+    def numbered(key):
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(len(key), np.uint64)
+        rank[order] = np.cumsum(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        return rank, order
+
+    rank, order = numbered(codes)
     while step < length:
         ahead = min(step, length - step)
         later = np.zeros_like(rank)
         later[: max(0, len(rank) - ahead)] = rank[ahead:]
-        _, rank = np.unique(rank * np.uint64(len(rank) + 2) + later, return_inverse=True)
-        rank = rank.astype(np.uint64) + np.uint64(1)
+        rank, order = numbered(rank * np.uint64(len(rank) + 2) + later)
         step += ahead
-    return rank
+    return rank, order

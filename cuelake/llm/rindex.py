@@ -8,7 +8,8 @@ every segment are streamed through it from right to left: a step extends the mat
 a match of full length reads the sample, and is marked where a smaller document has it.
 
 The anchor of a window is its minimizer, the byte string of `GRAM` bytes with the least hash,
-leftmost of equals. See `repeats` for the passes.
+leftmost of equals; its key for the filter takes in half of the remaining bytes behind it or, where the window ends
+before these, in front of it. See `repeats` for the passes.
 
 Defined cases: a null or empty text has no bytes; rows with a null doc_id lose nothing and cause no
 loss; rows that repeat an id do not remove each other; equal rows come back as often as they come
@@ -25,7 +26,8 @@ from cuelake.llm import repeats
 from cuelake.llm.common import read
 
 LENGTH = 50
-GRAM = 20
+GRAM = 16
+
 END = 0xFF  # no byte of UTF-8
 
 
@@ -41,11 +43,9 @@ class RunIndex:
         eight = np.zeros(n, np.uint64)
         for k in range(8):
             eight = (eight << np.uint64(8)) | wide[k : k + n]
-        rank = repeats.ranks(eight, length, 8)
-        order = np.argsort(rank, kind="stable")
+        rank, order = repeats.ranks(eight, length, 8)
         ordered = rank[order]
         self.starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))  # of the intervals
-        self.ends = np.append(self.starts[1:], n)
         value = np.where(real, documents, np.iinfo(np.int64).max)[order]
         self.sample = np.minimum.reduceat(value, self.starts)
         before = text[order - 1].astype(np.int64)  # the transform; the first byte is preceded by the last
@@ -71,26 +71,30 @@ class RunIndex:
 
     def stream(self, text, last, stop, length: int):
         """Matching statistics, cut to `length`, of many strings at once, from byte `last` back to
-        `stop`: (place, sample) wherever the match has full length."""
+        `stop`: (place, sample) wherever the match has full length.
+
+        What is streamed is part of the collection, so no match breaks off, and the lower end of an
+        interval tells it."""
         import numpy as np
 
-        low, high = np.zeros(len(last), np.int64), np.full(len(last), self.n, np.int64)
-        size = np.zeros(len(last), np.int64)
+        low, size = np.zeros(len(last), np.int64), np.zeros(len(last), np.int64)
         at, stop = last.copy(), stop.copy()
         while len(at):
             byte = text[at].astype(np.int64)
-            low, high = self.less[byte] + self.rank(byte, low), self.less[byte] + self.rank(byte, high)
+            low = self.less[byte] + self.rank(byte, low)
             size = np.minimum(size + 1, length)
             full = np.flatnonzero(size == length)
             if len(full):
                 inside = np.searchsorted(self.starts, low[full], "right") - 1
-                low[full], high[full] = self.starts[inside], self.ends[inside]
+                low[full] = self.starts[inside]
                 yield at[full], self.sample[inside]
             more = at > stop
-            low, high, size, at, stop = low[more], high[more], size[more], at[more] - 1, stop[more]
+            low, size, at, stop = low[more], size[more], at[more] - 1, stop[more]
 
 
 class Bytes:
+    split = bytes([END])
+
     @staticmethod
     def units(text: str) -> bytes:
         return text.encode("utf-8", "surrogatepass")
@@ -105,28 +109,34 @@ class Bytes:
 
     @staticmethod
     def anchors(pieces: list[bytes], length: int):
+        """(key, route, anchor, part) of the anchor of the window from each place."""
         import numpy as np
 
         text = np.frombuffer(bytes([END]).join(pieces) + bytes([END]), np.uint8)
-        grown = repeats.mix(text.astype(np.uint64) + np.uint64(1), np.full(1, 7, np.uint64))
-        size, need, keep = 1, GRAM, {1: grown}
-        while size * 2 <= need:
-            grown = repeats.mix(grown[:-size], grown[size:])
+        wide, more = length - GRAM + 1, (length - GRAM) // 2
+        if len(text) < length:
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keep = {1: repeats.mix(text.astype(np.uint64) + np.uint64(1), np.full(1, 7, np.uint64))}
+        size = 1
+        while size * 2 <= max(GRAM, more):
+            keep[size * 2] = repeats.mix(keep[size][:-size], keep[size][size:])
             size *= 2
-            keep[size] = grown
-        done = size
-        n = max(0, len(text) - need + 1)
-        hashed = grown[:n]
-        for part in sorted(keep, reverse=True)[1:]:
-            while need - done >= part:
-                hashed = repeats.mix(hashed[:n], keep[part][done : done + n])
-                done += part
-        wide = length - GRAM + 1
-        if n < wide:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def strings(need):
+            n, done, out = len(text) - need + 1, 0, None
+            for part in sorted(keep, reverse=True):
+                while need - done >= part:
+                    ahead = keep[part][done : done + n]
+                    out, done = ahead if out is None else repeats.mix(out, ahead), done + part
+            return out
+
+        hashed, beside = strings(GRAM), strings(more)
         views = np.lib.stride_tricks.sliding_window_view(hashed, wide)
-        at = np.concatenate([views[k : k + 65536].argmin(axis=1) for k in range(0, len(views), 65536)]) + np.arange(len(views))
-        return hashed[at], at
+        off = np.concatenate([views[k : k + 65536].argmin(axis=1) for k in range(0, len(views), 65536)])
+        at = off + np.arange(len(off))
+        front = off + GRAM + more > length
+        key = repeats.mix(hashed[at], beside[np.where(front, at - more, at + GRAM)] + front.astype(np.uint64))
+        return key, hashed[at], at, front.astype(np.int64)
 
     @staticmethod
     def resolve(bodies: list[bytes], docs, length: int):
@@ -148,7 +158,7 @@ class Bytes:
 def dedup_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
     text = F.coalesce("text", F.lit("")).cast("binary")
-    base = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
+    base = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
     lost = repeats.removals(docs, Bytes, length)
     joined = base.join(lost, ["doc_id", "mark"], "left")
     return joined.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept", "whole").alias("kept_sha256"))
