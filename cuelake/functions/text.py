@@ -10,7 +10,7 @@ from cuelake.functions.base import C, as_col, let
 __all__ = [
     "norm_text", "letter_tokens", "norm_turkish", "tr_lower", "tr_key", "align_text", "is_label",
     "has_loop", "is_degenerate", "valid_lang", "valid_episode", "fits_layout", "wrapped_lines",
-    "near_name_pair", "name_suffix_pair", "count_in", "squash_space", "bag_agreement",
+    "near_name_pair", "name_suffix_pair", "count_in", "bag_agreement",
 ]
 
 
@@ -194,7 +194,3 @@ def name_suffix_pair(old: C, new: C, name_key: C) -> Column:
         (tr_key(old) == bare) & bare.startswith(key)
         & (F.length(bare) - F.length(key)).between(0, 5)
     )
-
-
-def squash_space(text: C) -> Column:
-    return F.trim(F.regexp_replace(as_col(text), r"\s+", " "))

@@ -23,7 +23,7 @@ def usage_vector() -> dict[str, Column]:
     }
 
 
-def decide_reservations(events: DataFrame, limits: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+def decide_reservations(events: DataFrame, limits: DataFrame) -> DataFrame:
     """Accept or reject every event; an accepted one uses up its caps, a rejected one does not.
 
     Rejection feeds back, so a plain running sum is wrong; but what is left only shrinks. Each
@@ -38,7 +38,7 @@ def decide_reservations(events: DataFrame, limits: DataFrame, max_rounds: int =
     left = limits.select("auth_id", *[F.col(f"max_{n}").cast("decimal(24,8)" if n == "charge" else "bigint").alias(f"l_{n}") for n in CAPS])
     left = cut_lineage(left)
     accepted_parts = []
-    for _ in range(max_rounds):
+    while True:
         alone = F.lit(True)
         for n in CAPS:
             alone = alone & (F.col(f"u_{n}") <= F.col(f"l_{n}"))
@@ -58,8 +58,6 @@ def decide_reservations(events: DataFrame, limits: DataFrame, max_rounds: int =
         left = cut_lineage(left.join(used, "auth_id", "left").select("auth_id", *[
             (F.col(f"l_{n}") - F.coalesce(f"s_{n}", F.lit(0))).cast("decimal(24,8)" if n == "charge" else "bigint").alias(f"l_{n}") for n in CAPS]))
         open_rows = cut_lineage(marked.where(F.col("event_id") > F.col("_stop")).select("auth_id", "event_id", *[f"u_{n}" for n in CAPS]))
-    else:
-        raise RuntimeError("Reservations did not settle")
     accepted = None
     for part in accepted_parts:
         accepted = part if accepted is None else accepted.unionByName(part)

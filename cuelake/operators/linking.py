@@ -412,8 +412,7 @@ def edit_diff(old: DataFrame, new: DataFrame, mode: str, by: Sequence[str] = ("t
 
 # --- item/cue graph -------------------------------------------------------------------------
 
-def components(edges: DataFrame, left: str, right: str, by: Sequence[str] = ("track_id",),
-               max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, left: str, right: str, by: Sequence[str] = ("track_id",)) -> DataFrame:
     """Connected components of a bipartite graph: the smallest left id reachable from each edge.
 
     Labels move by minimum over both sides and then jump to the label of their label, so long
@@ -422,7 +421,7 @@ def components(edges: DataFrame, left: str, right: str, by: Sequence[str] = ("tr
     """
     by = list(by)
     state = cut_lineage(edges.select(*by, left, right).distinct().withColumn("label", F.col(left)))
-    for _ in range(max_rounds):
+    while True:
         of_left = state.groupBy(*by, left).agg(F.min("label").alias("_l"))
         of_right = state.groupBy(*by, right).agg(F.min("label").alias("_r"))
         low = state.join(of_left, [*by, left]).join(of_right, [*by, right]).withColumn(
@@ -437,8 +436,6 @@ def components(edges: DataFrame, left: str, right: str, by: Sequence[str] = ("tr
         state = moved.select(*by, left, right, F.col("_new").alias("label"))
         if settled:
             break
-    else:
-        raise RuntimeError("Components did not settle")
     return state
 
 
@@ -512,14 +509,17 @@ def pending_downloads(listings: DataFrame, manifest: DataFrame, languages: Seque
 
 
 def upsert_listings(listings: DataFrame, results: DataFrame) -> DataFrame:
-    """Apply download results by file id: status and path on success, else the last error."""
-    latest = results.groupBy("file_id").agg(F.max_by(F.struct("status", "path", "error"), "seq").alias("_r"))
+    """Apply download results by file id: a save stays, whatever follows; the error is the last row's."""
+    done = F.col("status") == "saved"
+    latest = results.groupBy("file_id").agg(
+        F.max_by(F.struct("status", "error"), "seq").alias("_r"), F.bool_or(done).alias("_saved"),
+        F.max(F.when(done, F.struct("seq", "path"))).alias("_p"))
     joined = listings.join(latest, "file_id", "left")
-    saved = F.coalesce(F.col("_r.status") == "saved", F.lit(False))
+    saved = F.coalesce("_saved", F.lit(False))
     return joined.select(
         "file_id", F.when(saved, "saved").otherwise(F.col("status")).alias("status"),
-        F.when(saved, F.col("_r.path")).otherwise(F.col("path")).alias("path"),
-        F.when(saved, "").when(F.col("_r").isNotNull(), F.col("_r.error")).otherwise(F.col("last_error")).alias("last_error"))
+        F.when(saved, F.col("_p.path")).otherwise(F.col("path")).alias("path"),
+        F.when(F.col("_r.status") == "saved", "").when(F.col("_r").isNotNull(), F.col("_r.error")).otherwise(F.col("last_error")).alias("last_error"))
 
 
 def speech_in_gaps(observations: DataFrame, cues: DataFrame) -> DataFrame:

@@ -450,9 +450,9 @@ def seam_views(cues: DataFrame, clips: DataFrame, padding_ms: int = 10_000) -> D
         (F.col("start_ms") < F.col("review_end_ms")) & (F.col("end_ms") > F.col("review_start_ms")))
 
 
-def loop_priority(found: DataFrame) -> DataFrame:
-    """Tracks by total minutes of long runs (100 cues or more), worst first."""
-    return found.groupBy("track_id").agg(
+def loop_priority(found: DataFrame, at_least: int = 100) -> DataFrame:
+    """Tracks by total time of runs of `at_least` cues or more, worst first."""
+    return found.where(F.col("n_rows") >= at_least).groupBy("track_id").agg(
         F.sum(F.col("end_ms") - F.col("start_ms")).alias("loop_ms")).orderBy(F.desc("loop_ms"), "track_id")
 
 

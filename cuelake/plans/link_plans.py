@@ -230,14 +230,16 @@ def pending_downloads_j22(t):
 
 
 @plan("upsert_listings_x8", """
-, r AS (SELECT doc_id, arg_max({'s': CASE WHEN quality=1 THEN 'saved' ELSE 'failed' END, 'e': 'status ' || toxic}, toxic) AS r FROM labels GROUP BY 1)
-SELECT d.doc_id AS file_id, CASE WHEN r.r.s='saved' THEN 'saved' ELSE 'not_downloaded' END AS status, CASE WHEN r.r.s='saved' THEN 'files/' || d.doc_id ELSE '' END AS path,
+, r AS (SELECT doc_id, arg_max({'s': CASE WHEN k=0 AND quality=1 THEN 'saved' ELSE 'failed' END, 'e': 'status ' || k || toxic}, k) AS r, bool_or(k=0 AND quality=1) AS s FROM labels, range(2) n(k) GROUP BY 1)
+SELECT d.doc_id AS file_id, CASE WHEN r.s THEN 'saved' ELSE 'not_downloaded' END AS status, CASE WHEN r.s THEN 'files/' || d.doc_id ELSE '' END AS path,
  CASE WHEN r.r.s='failed' THEN r.r.e ELSE '' END AS last_error FROM documents d LEFT JOIN r ON r.doc_id=d.doc_id""")
 def upsert_listings_x8(t):
     listings = t.raw("documents").select(F.col("doc_id").alias("file_id"), F.lit("not_downloaded").alias("status"), F.lit("").alias("path"), F.lit("").alias("last_error"))
-    results = t.raw("labels").select(
-        F.col("doc_id").alias("file_id"), F.col("toxic").alias("seq"), F.when(F.col("quality") == 1, "saved").otherwise("failed").alias("status"),
-        F.concat(F.lit("files/"), F.col("doc_id")).alias("path"), F.concat(F.lit("status "), F.col("toxic")).alias("error"))
+    # Two attempts a file; the second fails, also behind a save.
+    tries = t.raw("labels").withColumn("seq", F.explode(F.array(F.lit(0), F.lit(1))))
+    results = tries.select(
+        F.col("doc_id").alias("file_id"), "seq", F.when((F.col("quality") == 1) & (F.col("seq") == 0), "saved").otherwise("failed").alias("status"),
+        F.concat(F.lit("files/"), F.col("doc_id")).alias("path"), F.concat(F.lit("status "), F.col("seq"), F.col("toxic")).alias("error"))
     return lk.upsert_listings(listings, results)
 
 

@@ -322,9 +322,9 @@ def chunks_for_runs_o5(t):
 
 
 @plan("loop_priority_o4", f""", {RUNS.format(expr=norm(), src='cues')}
-SELECT track_id, CAST(sum(end_ms-start_ms) AS BIGINT) AS loop_ms FROM all_runs WHERE n_rows >= 2 AND length(norm) >= 1 GROUP BY 1""")
+SELECT track_id, CAST(sum(end_ms-start_ms) AS BIGINT) AS loop_ms FROM all_runs WHERE n_rows >= 3 AND length(norm) >= 1 GROUP BY 1""")
 def loop_priority_o4(t):
-    return sq.loop_priority(sq.runs(t.cues, 2, 1))
+    return sq.loop_priority(sq.runs(t.cues, 2, 1), 3)
 
 
 @plan("replace_chunks_x6", f""", {SLOW},

@@ -29,9 +29,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; a temporary one only where none is set (tests)."""
+    """The shared folder the session names; a temporary one only in local mode (tests), where one
+    machine runs everything. On a cluster an unset folder is an error: executors could not share it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="cuelake-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
