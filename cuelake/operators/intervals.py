@@ -134,16 +134,16 @@ def free_spans(cover: DataFrame, bounds: DataFrame, by: Sequence[str], pad: int
         F.greatest(F.col("start_ms") - pad, F.lit(0)).alias("start_ms"),
         (F.col("end_ms") + pad).alias("end_ms"),
     ).where(F.col("start_ms") < F.col("end_ms"))
-    ranked = scan(merge_intervals(padded, by), by, ["start_ms"], time_chunk("start_ms"),
-                  prev={"_before": "end_ms"}, nxt={"_after": "start_ms"})
-    both = bounds.join(ranked, by, "left")
-    free = F.explode(F.array(
-        F.struct(F.coalesce("_before", "lo").alias("free_start"),
-                 F.coalesce("start_ms", "hi").alias("free_end")),
-        F.struct(F.when(F.col("_after").isNull(), F.col("end_ms")).alias("free_start"),
-                 F.col("hi").alias("free_end")),
-    ))
-    return both.select(*by, free.alias("_f")).select(*by, "_f.free_start", "_f.free_end").where(
+    # Where the cover opens anew, what it reached before is the end of the stretch before; each
+    # group's last free span begins at the largest end.
+    reduced = padded.groupBy(*by, "start_ms").agg(F.max("end_ms").alias("_end"))
+    ranked = scan(reduced, by, ["start_ms"], time_chunk("start_ms"), max_before={"_reach": "_end"})
+    opening = ranked.where(F.col("_reach").isNull() | (F.col("start_ms") > F.col("_reach"))).select(
+        *by, F.col("_reach").alias("_from"), F.col("start_ms").alias("_to"))
+    ends = padded.select(*by, "end_ms").unionByName(bounds.select(*by, F.lit(None).cast("bigint").alias("end_ms")))
+    tail = ends.groupBy(*by).agg(F.max("end_ms").alias("_from")).select(*by, "_from", F.lit(None).cast("bigint").alias("_to"))
+    return opening.unionByName(tail).join(bounds, by).select(
+        *by, F.coalesce("_from", "lo").alias("free_start"), F.coalesce("_to", "hi").alias("free_end")).where(
         F.col("free_start") < F.col("free_end"))
 
 
@@ -266,11 +266,23 @@ def asof_last(points: DataFrame, values: DataFrame, by: Sequence[str], at: str,
 def neighbours(spans: DataFrame, cues: DataFrame, by=("track_id",), slack_ms: int = 150) -> DataFrame:
     """Last cue ending by the span start and first cue starting from its end, with slack."""
     by = list(by)
-    before = asof_last(spans.withColumn("_at", F.col("start_ms") + slack_ms), cues, by, "_at",
-                       "end_ms", "cue_id", "previous_cue")
-    flipped = cues.select(*by, "cue_id", (-F.col("start_ms")).alias("_from"))
-    return asof_last(before.withColumn("_at", -(F.col("end_ms") - slack_ms)), flipped, by, "_at",
-                     "_from", "cue_id", "next_cue").drop("_at")
+    extra = [name for name in spans.columns if name not in by]
+    kinds = dict(spans.dtypes)
+    # Cue ends and starts (one row per time) and two probes per span on one clock, one scan: the
+    # probe for the next cue goes before cues of its own time, the other one behind them.
+    none = F.lit(None).cast("bigint")
+    ends = F.explode(F.array(F.struct(F.col("end_ms").alias("t"), F.lit(True).alias("ends")), F.struct(F.col("start_ms").alias("t"), F.lit(False).alias("ends"))))
+    known = cues.select(*by, F.col("cue_id").cast("bigint").alias("_id"), ends.alias("_c")).groupBy(*by, F.col("_c.t").alias("_t")).agg(
+        F.min(F.when(F.col("_c.ends"), F.col("_id"))).alias("_ends"), F.min(F.when(~F.col("_c.ends"), F.col("_id"))).alias("_starts"))
+    known = known.select(*by, "_t", F.lit(1).alias("_side"), "_ends", "_starts", *[F.lit(None).cast(kinds[name]).alias(name) for name in extra])
+    asked = F.explode(F.array(F.struct((F.col("end_ms") - slack_ms).alias("t"), F.lit(0).alias("side")), F.struct((F.col("start_ms") + slack_ms).alias("t"), F.lit(2).alias("side"))))
+    probes = spans.select("*", asked.alias("_p")).select(*by, F.col("_p.t").alias("_t"), F.col("_p.side").alias("_side"), none.alias("_ends"), none.alias("_starts"), *extra)
+    ranked = scan(known.unionByName(probes), by, ["_t", "_side"], time_chunk("_t"),
+                  max_before={"_before": F.when(F.col("_ends").isNotNull(), F.struct("_t", "_ends"))},
+                  min_after={"_after": F.when(F.col("_starts").isNotNull(), F.struct("_t", "_starts"))})
+    return ranked.where(F.col("_side") != 1).groupBy(*by, *extra).agg(
+        F.max(F.when(F.col("_side") == 2, F.col("_before._ends"))).alias("previous_cue"),
+        F.max(F.when(F.col("_side") == 0, F.col("_after._starts"))).alias("next_cue"))
 
 
 def active_at(points: DataFrame, cues: DataFrame, by: Sequence[str], at: str = "at_ms") -> DataFrame:

@@ -40,6 +40,7 @@ def scan(
     prev: Mapping[str, C] | None = None,
     nxt: Mapping[str, C] | None = None,
     max_before: Mapping[str, C] | None = None,
+    min_after: Mapping[str, C] | None = None,
     max_upto: Mapping[str, C] | None = None,
     sum_before: Mapping[str, C] | None = None,
     max_all: Mapping[str, C] | None = None,
@@ -50,11 +51,11 @@ def scan(
     """Add ordered columns per `by` group: neighbours, running maxima and sums, row numbers.
 
     `prev`/`nxt` read the adjacent row, `max_before`/`sum_before` run over the rows before,
-    `max_upto` includes the row itself, `max_all`/`last` are per group, `number` counts from one.
+    `min_after` over the rows behind, `max_upto` includes the row itself, `max_all`/`last` are per group, `number` counts from one.
     """
     prev, nxt, last = dict(prev or {}), dict(nxt or {}), dict(last or {})
     max_before, sum_before = dict(max_before or {}), dict(sum_before or {})
-    max_upto, max_all = dict(max_upto or {}), dict(max_all or {})
+    max_upto, max_all, min_after = dict(max_upto or {}), dict(max_all or {}), dict(min_after or {})
     by = list(by)
     keep = list(df.columns)
     orders = [as_col(item) for item in order]
@@ -79,6 +80,8 @@ def scan(
         local["_next"] = F.lead(packed(nxt)).over(inside)
     for name, value in max_before.items():
         local[f"_mb_{name}"] = F.max(as_col(value)).over(before)
+    for name, value in min_after.items():
+        local[f"_na_{name}"] = F.min(as_col(value)).over(inside.rowsBetween(1, Window.unboundedFollowing))
     for name, value in max_upto.items():
         local[f"_mu_{name}"] = F.max(as_col(value)).over(upto)
     for name, value in sum_before.items():
@@ -101,6 +104,7 @@ def scan(
     if last:
         aggs.append(F.max_by(packed(last), key).alias("_final"))
     aggs += [F.max(as_col(value)).alias(f"_e_{name}") for name, value in maxima.items()]
+    aggs += [F.min(as_col(value)).alias(f"_f_{name}") for name, value in min_after.items()]
     aggs += [F.sum(as_col(value)).alias(f"_s_{name}") for name, value in sum_before.items()]
     across = Window.partitionBy(*by).orderBy("_chunk")
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
@@ -116,6 +120,8 @@ def scan(
         carried.append(F.last("_final").over(whole).alias("_c_last"))
     for name in max_before:
         carried.append(F.max(f"_e_mb_{name}").over(earlier).alias(f"_c_mb_{name}"))
+    for name in min_after:
+        carried.append(F.min(f"_f_{name}").over(across.rowsBetween(1, Window.unboundedFollowing)).alias(f"_c_na_{name}"))
     for name in max_upto:
         carried.append(F.max(f"_e_mu_{name}").over(earlier).alias(f"_c_mu_{name}"))
     for name in max_all:
@@ -141,6 +147,10 @@ def scan(
     # `greatest` skips NULL, so a missing side never hides the other.
     for name in max_before:
         out.append(_larger(f"_mb_{name}", f"_c_mb_{name}").alias(name))
+    for name in min_after:
+        # Rows behind in the chunk or in a later chunk; the lesser of the two.
+        a, b = F.col(f"_na_{name}"), F.col(f"_c_na_{name}")
+        out.append(F.when(a.isNull(), b).when(b.isNull(), a).when(a <= b, a).otherwise(b).alias(name))
     for name in max_upto:
         out.append(_larger(f"_mu_{name}", f"_c_mu_{name}").alias(name))
     for name in max_all:

@@ -129,6 +129,23 @@ def lk_many(source: DataFrame, target: DataFrame) -> DataFrame:
     return iv.many_to_one(source, target).select("track_id", "target_id").distinct()
 
 
+def unit_facts(units: DataFrame, words: DataFrame, stale: DataFrame) -> DataFrame:
+    """(track_id, unit_id, stale, bad, ws, we): what the alignment says of each unit.
+
+    A stale unit has no result that still counts, so neither status nor word times; a unit without
+    any word row has no status.
+    """
+    key = ["track_id", "unit_id"]
+    both = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
+    timed = words.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(both, F.col("start_ms"))).alias("_ws"), F.max(F.when(both, F.col("end_ms"))).alias("_we"))
+    old = stale.select(*key).distinct().withColumn("_old", F.lit(True))
+    joined = ms.align_status(words, units).select(*key, "status").join(timed, key, "left").join(old, key, "left")
+    fresh = F.col("_old").isNull()
+    bad = fresh & F.col("_n").isNotNull() & F.col("status").isin("partial", "failed", "suspicious")
+    return joined.select(*key, (~fresh).alias("stale"), F.coalesce(bad, F.lit(False)).alias("bad"),
+                         F.when(fresh, F.col("_ws")).alias("ws"), F.when(fresh, F.col("_we")).alias("we"))
+
+
 def layout_audit(units: DataFrame, translations: DataFrame, links: DataFrame, words: DataFrame, stale: DataFrame,
                  threshold_ms: int = 700, max_cps: float = 25) -> DataFrame:
     """Timing, density and link flags of both languages, one row per flag with its measure.
@@ -139,11 +156,7 @@ def layout_audit(units: DataFrame, translations: DataFrame, links: DataFrame, wo
     """
     # 1. One fact row per unit.
 
-    status = ms.align_status(words, units).select("track_id", "unit_id", "status")
-    timed = words.where(F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()).groupBy("track_id", "unit_id").agg(
-        F.min("start_ms").alias("_ws"), F.max("end_ms").alias("_we"))
-    facts = status.join(timed, ["track_id", "unit_id"], "left").join(
-        stale.select("track_id", "unit_id").distinct().withColumn("_stale", F.lit(True)), ["track_id", "unit_id"], "left")
+    facts = unit_facts(units, words, stale)
 
     # 2. Items of both languages over their units.
 
@@ -153,9 +166,7 @@ def layout_audit(units: DataFrame, translations: DataFrame, links: DataFrame, wo
     bridge = units.select("track_id", F.lit("source").alias("language"), F.col("unit_id").alias("item_id"), "unit_id").unionByName(
         links.select("track_id", F.lit("english").alias("language"), F.col("translation_id").alias("item_id"), "unit_id"))
     rolled = bridge.join(facts, ["track_id", "unit_id"]).groupBy(*key).agg(
-        F.bool_or(F.coalesce("_stale", F.lit(False))).alias("_stale"),
-        F.bool_or(F.col("status").isin("partial", "failed", "suspicious")).alias("_bad"),
-        F.min("_ws").alias("_ws"), F.max("_we").alias("_we"))
+        F.bool_or("stale").alias("_stale"), F.bool_or("bad").alias("_bad"), F.min("ws").alias("_ws"), F.max("we").alias("_we"))
     slim = items.select(*key, "start_ms", "end_ms", cps("text", "start_ms", "end_ms").alias("_cps"))
     joined = slim.join(rolled, key, "left")
     lead, tail = F.col("_ws") - F.col("start_ms"), F.col("end_ms") - F.col("_we")
@@ -269,9 +280,11 @@ def closing_decision(issues: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def unresolved(issues: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Issues whose last decision, by id or by interval, says unresolved."""
-    by_id = _latest(decisions, ["track_id", "issue_id"], "_d")
-    by_span = _latest(decisions, SPAN, "_s")
+    """Issues whose last decision says unresolved. A decision with an interval speaks for issues of
+    its kind at that interval, whatever its id; only one without speaks for its id."""
+    timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
+    by_id = _latest(decisions.where(~timed), ["track_id", "issue_id"], "_d")
+    by_span = _latest(decisions.where(timed), SPAN, "_s")
     joined = issues.join(by_id, ["track_id", "issue_id"], "left").join(by_span, SPAN, "left")
     is_open = F.coalesce(F.col("_d.status") == "unresolved", F.lit(False)) | F.coalesce(F.col("_s.status") == "unresolved", F.lit(False))
     return joined.where(is_open).select(*issues.columns)
@@ -320,7 +333,7 @@ def check_rules(df: DataFrame, key: Sequence[str], rules: Mapping[str, Column])
 
 
 def evidence_issues(evidence: DataFrame, media: DataFrame) -> DataFrame:
-    """Evidence rows that pass validation, as issues. Bad rows are left to `evidence_rule_errors`."""
+    """Evidence rows that pass validation, as issues."""
     joined = evidence.join(media, "track_id")
     once = joined.groupBy("track_id", "evidence_id").agg(F.count(F.lit(1)).alias("_n"))
     return joined.join(once.where("_n = 1"), ["track_id", "evidence_id"]).where(_evidence_ok()).select(

@@ -181,7 +181,7 @@ def greedy_batches(
     in parallel and for each of its possible entry rows, where a walk would leave it and how many
     batches it makes; the small entry tables are chained per group as a stream; then chunks number
     their rows in parallel. With `context_weight` a batch also pays for `context` rows before and
-    after it. A row that cannot fit alone gets batch_no NULL, as does everything after it.
+    after it. A row that cannot start a batch gets batch_no NULL; the walk goes on behind it.
     """
     by = list(by)
     keys = [*by, "_chunk"]
@@ -219,13 +219,11 @@ def greedy_batches(
                 n = stop - begin
                 leave, made = [0] * max(n, 0), [0] * max(n, 0)
                 for i in range(n - 1, -1, -1):
-                    after = i + step[i]
-                    if step[i] == 0:
-                        leave[i] = -1
-                    elif after >= n:
-                        leave[i], made[i] = after - n, 1
+                    after, new = i + (step[i] or 1), min(1, step[i])
+                    if after >= n:
+                        leave[i], made[i] = after - n, new
                     else:
-                        leave[i], made[i] = leave[after], made[after] + 1
+                        leave[i], made[i] = leave[after], made[after] + new
                 # A group is entered at its first row; later chunks at any of the first max_rows.
                 m = max(0, min(1 if key[-1] == 0 else max_rows, n))
                 yield {**{name: np.repeat(np.array([key[i]]), m) for i, name in enumerate(keys)},
@@ -259,10 +257,10 @@ def greedy_batches(
                 label = np.zeros(n, dtype=np.int64)
                 i = n if entry < 0 else min(entry, n)
                 label[:i] = done if entry >= 0 else 0
-                while i < n and step[i]:
-                    done += 1
+                while i < n:
+                    done += min(1, step[i])
                     label[i:i + step[i]] = done
-                    i += step[i]
+                    i += step[i] or 1
                 yield {**{name: np.repeat(np.array([key[k]]), n) for k, name in enumerate(by)},
                        "row_no": np.arange(base + begin + 1, base + begin + 1 + n), "batch_no": label}
 

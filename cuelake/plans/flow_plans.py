@@ -116,13 +116,14 @@ def transcripts_s12(t):
 
 @plan("salvage_s13", """
 , n AS (SELECT track_id, cue_id, max(cue_id) OVER (PARTITION BY track_id) AS m, CASE WHEN contains(text,'q') THEN 'uncertain' ELSE 'correct' END AS verdict, bool_or(contains(text,'k')) OVER (PARTITION BY track_id) AS cut FROM cues)
-SELECT track_id AS response_id, cue_id - 1 AS pos, cut, cue_id::VARCHAR AS source_id, verdict FROM n WHERE NOT (cut AND cue_id = m)""")
+SELECT track_id AS response_id, cue_id - 1 AS pos, cut, cue_id::VARCHAR AS source_id, verdict, NULL::VARCHAR AS error FROM n WHERE NOT cut OR (m % 2 = 1 AND cue_id < m)
+UNION ALL SELECT DISTINCT track_id, NULL::BIGINT, m % 2 = 1, NULL, NULL, CASE WHEN m % 2 = 0 THEN 'not_json' ELSE 'no_whole_item' END FROM n WHERE cut AND (m % 2 = 0 OR m = 1)""")
 def salvage_s13(t):
     item = F.to_json(F.struct(F.col("cue_id").cast("string").alias("source_id"), F.when(has("text", "q"), "uncertain").otherwise("correct").alias("verdict")))
-    body = t.cues.groupBy("track_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("cue_id", item.alias("j"))))["j"], ", ").alias("_b"), F.bool_or(has("text", "k")).alias("_cut"))
+    body = t.cues.groupBy("track_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("cue_id", item.alias("j"))))["j"], ", ").alias("_b"), F.bool_or(has("text", "k")).alias("_cut"), F.max("cue_id").alias("_m"))
     whole = F.concat(F.lit('{"assessments": ['), "_b", F.lit("]}"))
     content = F.when(F.col("_cut"), F.substr(whole, F.lit(1), F.length(whole) - 6)).otherwise(whole)
-    return rc.salvage_assessments(body.select(F.col("track_id").alias("response_id"), content.alias("content"), F.lit("length").alias("done_reason"))).drop("severity", "explanation")
+    return rc.salvage_assessments(body.select(F.col("track_id").alias("response_id"), content.alias("content"), F.when(F.col("_m") % 2 == 0, "stop").otherwise("length").alias("done_reason"))).drop("severity", "explanation")
 
 
 @plan("fenced_json_s14", """

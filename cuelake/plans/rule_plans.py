@@ -113,10 +113,13 @@ def translation_audit_t7(t):
 ALIGNED = STATUS.replace("FROM edited u", "FROM cues u")
 LAYOUT = f"""{LINKS_SQL}, {ALIGNED},
 lt AS (SELECT track_id, cue_id AS unit_id, min(start_ms) AS ws, max(end_ms) AS we FROM words WHERE start_ms IS NOT NULL AND end_ms IS NOT NULL GROUP BY 1, 2),
-fa AS (SELECT st.track_id, st.unit_id, status, ws, we, contains(c.text, 'q') AS stale FROM st LEFT JOIN lt ON lt.track_id=st.track_id AND lt.unit_id=st.unit_id JOIN cues c ON c.track_id=st.track_id AND c.cue_id=st.unit_id),
+hw AS (SELECT DISTINCT track_id, cue_id AS unit_id FROM words),
+fa AS (SELECT st.track_id, st.unit_id, contains(c.text, 'q') AS stale, NOT contains(c.text, 'q') AND hw.unit_id IS NOT NULL AND status IN ('partial','failed','suspicious') AS bad,
+  CASE WHEN NOT contains(c.text, 'q') THEN ws END AS ws, CASE WHEN NOT contains(c.text, 'q') THEN we END AS we FROM st
+  LEFT JOIN lt ON lt.track_id=st.track_id AND lt.unit_id=st.unit_id LEFT JOIN hw ON hw.track_id=st.track_id AND hw.unit_id=st.unit_id JOIN cues c ON c.track_id=st.track_id AND c.cue_id=st.unit_id),
 it AS (SELECT track_id, 'source' AS language, cue_id AS item_id, start_ms + (cue_id % 4) * 500 - 900 AS start_ms, end_ms + (cue_id % 3) * 800 AS end_ms, text FROM cues UNION ALL SELECT track_id, 'english', cue_id, start_ms, end_ms, text FROM target),
 br AS (SELECT track_id, 'source' AS language, cue_id AS item_id, cue_id AS unit_id FROM cues UNION ALL SELECT track_id, 'english', translation_id, unit_id FROM links),
-rl AS (SELECT br.track_id, language, item_id, bool_or(stale) AS stale, bool_or(status IN ('partial','failed','suspicious')) AS bad, min(ws) AS ws, max(we) AS we FROM br JOIN fa ON fa.track_id=br.track_id AND fa.unit_id=br.unit_id GROUP BY 1, 2, 3),
+rl AS (SELECT br.track_id, language, item_id, bool_or(stale) AS stale, bool_or(bad) AS bad, min(ws) AS ws, max(we) AS we FROM br JOIN fa ON fa.track_id=br.track_id AND fa.unit_id=br.unit_id GROUP BY 1, 2, 3),
 j AS (SELECT it.*, stale, bad, ws, we, length(replace(text, chr(10), '')) * 1000.0::DOUBLE / (end_ms-start_ms) AS cps FROM it LEFT JOIN rl ON rl.track_id=it.track_id AND rl.language=it.language AND rl.item_id=it.item_id),
 ig AS (SELECT track_id, translation_id, max(g) AS g FROM (SELECT l.track_id, l.translation_id, i.start_ms - lag(i.end_ms) OVER (PARTITION BY l.track_id, l.translation_id ORDER BY i.start_ms, i.end_ms) AS g FROM links l JOIN it i ON i.language='source' AND i.track_id=l.track_id AND i.item_id=l.unit_id) GROUP BY 1, 2),
 flags AS (SELECT track_id, language, item_id, 'stale_alignment' AS kind, NULL::DOUBLE AS measure FROM j WHERE stale UNION ALL SELECT track_id, language, item_id, 'unreliable_alignment', NULL FROM j WHERE bad
@@ -131,13 +134,15 @@ def layout_units(t):
     return t.cues.select("track_id", cue.alias("unit_id"), (F.col("start_ms") + (cue % 4) * 500 - 900).alias("start_ms"), (F.col("end_ms") + (cue % 3) * 800).alias("end_ms"), "text")
 
 
+def outdated(t):
+    return t.cues.where(has("text", "q")).select("track_id", F.col("cue_id").alias("unit_id"))
+
+
 def layout_flags(t):
     links = lk.link_tracks(t.cues, t.target)
     moved = layout_units(t)
     # The unit's own bounds, not the moved display times, decide whether a word is suspicious.
-    flags = rl.layout_audit(moved, t.target.withColumnRenamed("cue_id", "translation_id"), links, unit_words(t),
-                            t.cues.where(has("text", "q")).select("track_id", F.col("cue_id").alias("unit_id")))
-    return flags
+    return rl.layout_audit(moved, t.target.withColumnRenamed("cue_id", "translation_id"), links, unit_words(t), outdated(t))
 
 
 LAYOUT_MOVED = LAYOUT.replace(ALIGNED, STATUS.replace("FROM edited u", "FROM (SELECT track_id, cue_id, start_ms + (cue_id % 4) * 500 - 900 AS start_ms, end_ms + (cue_id % 3) * 800 AS end_ms FROM cues) u"))
@@ -172,10 +177,7 @@ def bound(t):
     links = lk.link_tracks(t.cues, t.target)
     bridge = t.cues.select("track_id", F.lit("source").alias("language"), F.col("cue_id").alias("item_id"), F.col("cue_id").alias("unit_id")).unionByName(
         links.select("track_id", F.lit("english").alias("language"), F.col("translation_id").alias("item_id"), "unit_id"))
-    status = ms.align_status(unit_words(t), layout_units(t)).select("track_id", "unit_id", F.col("status").isin("partial", "failed", "suspicious").alias("bad"))
-    timed = t.words.groupBy("track_id", F.col("cue_id").alias("unit_id")).agg(F.min("start_ms").alias("ws"), F.max("end_ms").alias("we"))
-    facts = bridge.join(status, ["track_id", "unit_id"]).join(timed, ["track_id", "unit_id"], "left").join(
-        t.cues.select("track_id", F.col("cue_id").alias("unit_id"), has("text", "q").alias("stale")), ["track_id", "unit_id"])
+    facts = bridge.join(rl.unit_facts(layout_units(t), unit_words(t), outdated(t)), ["track_id", "unit_id"])
     facts = facts.groupBy(*key).agg(F.bool_or("stale").alias("stale"), F.bool_or("bad").alias("bad"), F.min("ws").alias("ws"), F.max("we").alias("we"))
     return rl.bind_flags(layout_flags(t), shown, facts.select(*key, row_hash("stale", "bad", "ws", "we").alias("fact_sha")))
 
@@ -210,13 +212,15 @@ def decided(t):
     found = issues(t).withColumn("interval_sha", row_hash("start_ms", "end_ms"))
     length = F.col("end_ms") - F.col("start_ms")
     turn = idiv(F.col("start_ms"), 100) % 3
-    first = found.where(length >= 10_000).select(
-        "track_id", "issue_id", "kind", "start_ms", "end_ms", F.when(turn == 0, "reviewed").when(turn == 1, "resolved").otherwise("unresolved").alias("status"),
+    first = F.struct(
+        "issue_id", F.when(turn == 0, "reviewed").when(turn == 1, "resolved").otherwise("unresolved").alias("status"),
         F.when(F.col("start_ms") % 5 == 0, "old").otherwise(F.col("interval_sha")).alias("interval_sha"), F.col("start_ms").alias("seq"))
-    again = found.where(length >= 15_000).select(
-        "track_id", F.concat("kind", F.lit(":earlier-"), "start_ms").alias("issue_id"), "kind", "start_ms", "end_ms",
+    again = F.struct(
+        F.concat("kind", F.lit(":earlier-"), "start_ms").alias("issue_id"),
         F.when(F.col("end_ms") % 2 == 0, "reviewed").otherwise("unresolved").alias("status"), "interval_sha", (F.col("start_ms") + 1).alias("seq"))
-    return found, first.unionByName(again)
+    made = found.select("track_id", "kind", "start_ms", "end_ms", F.explode(F.array_compact(F.array(
+        F.when(length >= 10_000, first), F.when(length >= 15_000, again)))).alias("_d"))
+    return found, made.select("track_id", "_d.issue_id", "kind", "start_ms", "end_ms", "_d.status", "_d.interval_sha", "_d.seq")
 
 
 LAST = """l_id AS (SELECT track_id, issue_id, arg_max({'kind': kind, 's': start_ms, 'e': end_ms, 'status': status, 'sha': interval_sha}, seq) AS d FROM dc GROUP BY 1, 2),
@@ -244,10 +248,17 @@ def stale_decisions_j19(t):
     return rl.stale(decisions, found, ["track_id", "issue_id"], "interval_sha").select("track_id", "issue_id", "seq")
 
 
-@plan("unresolved_issues_j29", f""", {DECISIONS}, {LAST}
-SELECT track_id, issue_id, kind, start_ms, end_ms FROM jj WHERE coalesce(d.status='unresolved', false) OR coalesce(st='unresolved', false)""")
+@plan("unresolved_issues_j29", f""", {DECISIONS},
+li AS (SELECT track_id, issue_id, arg_max(status, seq) AS st FROM dc WHERE end_ms % 3 = 0 GROUP BY 1, 2),
+ls AS (SELECT track_id, kind, start_ms, end_ms, arg_max(status, seq) AS st FROM dc WHERE end_ms % 3 <> 0 GROUP BY 1, 2, 3, 4)
+SELECT ii.track_id, ii.issue_id, ii.kind, ii.start_ms, ii.end_ms FROM ii LEFT JOIN li ON li.track_id=ii.track_id AND li.issue_id=ii.issue_id
+LEFT JOIN ls ON ls.track_id=ii.track_id AND ls.kind=ii.kind AND ls.start_ms=ii.start_ms AND ls.end_ms=ii.end_ms
+WHERE coalesce(li.st='unresolved', false) OR coalesce(ls.st='unresolved', false)""")
 def unresolved_issues_j29(t):
-    return rl.unresolved(*decided(t)).drop("interval_sha")
+    found, decisions = decided(t)
+    # A third of the decisions names no interval.
+    whole = F.col("end_ms") % 3 != 0
+    return rl.unresolved(found, decisions.withColumn("start_ms", F.when(whole, F.col("start_ms"))).withColumn("end_ms", F.when(whole, F.col("end_ms")))).drop("interval_sha")
 
 
 @plan("missing_keys_x2", f", {DECISIONS} SELECT DISTINCT track_id, issue_id FROM ii WHERE NOT EXISTS (SELECT 1 FROM dc WHERE dc.track_id=ii.track_id AND dc.issue_id=ii.issue_id)")

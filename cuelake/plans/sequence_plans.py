@@ -114,19 +114,21 @@ def numbered(df, weight):
 GREEDY = """/*recursive*/, n AS (SELECT track_id, row_number() OVER (PARTITION BY track_id ORDER BY cue_id) AS row_no, {weight} AS w FROM cues),
 p AS (SELECT *, sum(w) OVER (PARTITION BY track_id ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS upto, max(row_no) OVER (PARTITION BY track_id) AS n FROM n),
 walk AS (
- SELECT track_id, row_no, n, w, 1 AS k, w AS used, 1::BIGINT AS batch_no FROM p WHERE row_no = 1 AND w <= {budget}
+ SELECT track_id, row_no, n, w, CASE WHEN w > {budget} THEN {rows} ELSE 1 END AS k, w AS used, CASE WHEN w > {budget} THEN 0 ELSE 1 END::BIGINT AS batch_no FROM p WHERE row_no = 1
  UNION ALL
  SELECT p.track_id, p.row_no, p.n, p.w,
-  CASE WHEN k = {rows} OR used + p.w > {budget} THEN 1 ELSE k + 1 END,
+  CASE WHEN p.w > {budget} THEN {rows} WHEN k = {rows} OR used + p.w > {budget} THEN 1 ELSE k + 1 END,
   CASE WHEN k = {rows} OR used + p.w > {budget} THEN p.w ELSE used + p.w END,
-  CASE WHEN k = {rows} OR used + p.w > {budget} THEN batch_no + 1 ELSE batch_no END
- FROM walk JOIN p ON p.track_id = walk.track_id AND p.row_no = walk.row_no + 1 WHERE p.w <= {budget})
-SELECT p.track_id, p.row_no, walk.batch_no FROM p LEFT JOIN walk USING (track_id, row_no)"""
+  CASE WHEN p.w <= {budget} AND (k = {rows} OR used + p.w > {budget}) THEN batch_no + 1 ELSE batch_no END
+ FROM walk JOIN p ON p.track_id = walk.track_id AND p.row_no = walk.row_no + 1)
+SELECT p.track_id, p.row_no, CASE WHEN p.w <= {budget} THEN walk.batch_no END AS batch_no FROM p LEFT JOIN walk USING (track_id, row_no)"""
 
 
-@plan("char_batches_w15", GREEDY.format(weight="length(text)", budget=5000, rows=100))
+@plan("char_batches_w15", GREEDY.format(weight="length(text) * CASE WHEN cue_id % 97 = 0 THEN 1000 ELSE 1 END", budget=5000, rows=100))
 def char_batches_w15(t):
-    return sq.greedy_batches(numbered(t.cues, F.length("text").cast("bigint")), ["track_id"], 100, 5000)
+    """Some cues are blown up beyond the budget: they get no batch and the walk goes on."""
+    weight = (F.length("text") * F.when(F.col("cue_id") % 97 == 0, 1000).otherwise(1)).cast("bigint")
+    return sq.greedy_batches(numbered(t.cues, weight), ["track_id"], 100, 5000)
 
 
 @plan("byte_batches_w14")

@@ -22,6 +22,23 @@ def test_layout_flags(spark):
             ("source", 3, "missing_english_link"), ("source", 3, "missing_word_timing")} <= got
 
 
+def test_stale_and_wordless_units(spark):
+    units = spark.createDataFrame([(1, 1, 0, 3000, "a"), (1, 2, 6000, 9000, "b")], "track_id long, unit_id long, start_ms long, end_ms long, text string")
+    trans = spark.createDataFrame([], "track_id long, translation_id long, start_ms long, end_ms long, text string")
+    links = spark.createDataFrame([], "track_id long, translation_id long, unit_id long")
+    words = spark.createDataFrame([(1, 1, 2500, 9900)], "track_id long, unit_id long, start_ms long, end_ms long")
+    stale = spark.createDataFrame([(1, 1)], "track_id long, unit_id long")
+    got = {(r.item_id, r.kind) for r in rl.layout_audit(units, trans, links, words, stale).collect()}
+    assert got == {(1, "stale_alignment"), (1, "missing_word_timing"), (1, "missing_english_link"), (2, "missing_word_timing"), (2, "missing_english_link")}
+
+
+def test_a_decision_with_an_interval_does_not_speak_for_its_id(spark):
+    issues = spark.createDataFrame([(1, "a", "overlap", 0, 10), (1, "b", "overlap", 20, 30), (1, "c", "overlap", 40, 50)], "track_id long, issue_id string, kind string, start_ms long, end_ms long")
+    rows = [(1, "a", "overlap", 5, 15, "unresolved", "h", 1), (1, "b", "overlap", None, None, "unresolved", "h", 2), (1, "z", "overlap", 40, 50, "unresolved", "h", 3), (1, "z", "overlap", 40, 50, "reviewed", "h", 4)]
+    decisions = spark.createDataFrame(rows, "track_id long, issue_id string, kind string, start_ms long, end_ms long, status string, interval_sha string, seq long")
+    assert [r.issue_id for r in rl.unresolved(issues, decisions).collect()] == ["b"]
+
+
 def test_align_status(spark):
     units = spark.createDataFrame([(1, i, 1000, 2000) for i in range(4)], "track_id long, unit_id long, start_ms long, end_ms long")
     words = spark.createDataFrame([(1, 1, 1000, 1500), (1, 1, None, None), (1, 2, 200, 900), (1, 3, 1000, 1900)], "track_id long, unit_id long, start_ms long, end_ms long")

@@ -85,7 +85,8 @@ def walk(weights, max_rows, budget, fixed=0, context=0):
                 break
             count -= 1
         if count == 0:
-            break
+            start += 1
+            continue
         number += 1
         out[start:start + count] = [number] * count
         start += count

@@ -54,9 +54,21 @@ def test_transcript_lines(spark):
 def test_salvage(spark):
     item = {"source_id": "u1", "verdict": "correct"}
     whole = json.dumps({"assessments": [item, item]})
-    df = spark.createDataFrame([(1, whole, "stop"), (2, whole[:-10], "length"), (3, whole[:-10], "stop")], "response_id long, content string, done_reason string")
-    got = sorted((r.response_id, r.pos, r.cut, r.source_id) for r in rc.salvage_assessments(df).collect())
-    assert got == [(1, 0, False, "u1"), (1, 1, False, "u1"), (2, 0, True, "u1")]
+    odd = json.dumps({"assessments": [{"source_id": 'a "}] {', "explanation": "{\"x\": 1}"}]})[:-2] + ', {"source_id": "see {\\"y\\": 2} and'
+    rows = [(1, whole, "stop"), (2, whole[:-10], "length"), (3, whole[:-10], "stop"), (4, whole[:30], "length"), (5, '{"other": 1}', "stop"),
+            (6, '{"assessments": []}', "stop"), (7, odd, "length"), (8, None, None), (9, '{"notes": [{"source_id": "n"}, ', "length")]
+    df = spark.createDataFrame(rows, "response_id long, content string, done_reason string")
+    got = sorted((r.response_id, r.pos, r.cut, r.source_id, r.error) for r in rc.salvage_assessments(df).collect())
+    assert got == [(1, 0, False, "u1", None), (1, 1, False, "u1", None), (2, 0, True, "u1", None), (3, None, False, None, "not_json"), (4, None, True, None, "no_whole_item"),
+                   (5, None, False, None, "no_assessments"), (7, 0, True, 'a "}] {', None), (8, None, False, None, "not_json"), (9, None, True, None, "no_whole_item")]
+
+
+def test_fences(spark):
+    mark = "`" * 3
+    cases = {f"Here:\n{mark}json\n[1]\n{mark}\nDone.": ("[1]", None), f"{mark}[1]{mark}{mark}[2]{mark}": (None, "ambiguous_fences"), f"{mark}json\n{mark}": (None, "ambiguous_fences"),
+             ' {"a": 1}\n': ('{"a": 1}', None), f"{mark}json\n[2]": ("[2]", None), f"[3]\n{mark}": ("[3]", None), f"so {mark} [3]": (None, "not_json"), "[]": (None, "empty_or_scalar"), "7": (None, "empty_or_scalar")}
+    df = spark.createDataFrame([(c,) for c in cases], "content string")
+    assert {r.content: (r.payload, r.error) for r in rc.fenced_json(df).collect()} == cases
 
 
 def test_csv_and_json_logs(spark, tmp_path):
