@@ -30,7 +30,7 @@ from cuelake.llm.common import stage
 FILTER_BITS = 28
 BLOCK_BITS = 9  # a key sets three bits in one block of 512
 KEY_BITS = 46
-AT_ONCE = 1 << 20  # units worked on together
+AT_ONCE = 1 << 19  # units worked on together
 FLUSH = 1 << 21  # keys sent together
 FLUSH_BYTES = 1 << 26  # of segments sent together
 MARK_BITS = 24
