@@ -3,9 +3,11 @@
 Each round names runs of one symbol, then pairs of neighbours that fall on the two sides of a
 partition of the symbols; names are hashes, so all tasks agree on them without meeting. A symbol
 carries the words its name depends on: where these lie inside a window, the window alone fixes the
-symbol, and every copy of the window has it. A window's anchor is the first such symbol of its
-highest level (level 0, a word, always exists), keyed by the words it depends on. Windows whose
-anchor two documents share are verified word by word. See `repeats` for the passes.
+symbol, and every copy of the window has it. A window's anchor is, of such symbols of its highest
+level (level 0, a word, always exists), the one with the least hash, leftmost of equals: neighbouring
+windows tend to share it. Its key for the filter takes in half of the remaining words behind it or,
+where the window ends before these, in front of it. Windows whose key two documents share are
+verified word by word. See `repeats` for the passes.
 
 Defined cases: a null or empty text has no words; rows with a null doc_id lose nothing and cause no
 loss; rows that repeat an id do not remove each other; equal rows come back as often as they come
@@ -22,13 +24,13 @@ from cuelake.llm import repeats
 from cuelake.llm.common import SPACE, read
 
 LENGTH = 50
-ROUNDS = 7
+ROUNDS = 3  # more give rarer symbols, but windows whose last rounds miss them; three make the longest runs of windows
 EDGE = 1 << 40
 BASE = 0x5851F42D4C957F2D
 
 
 def compressed(codes, rounds: int = ROUNDS):
-    """Levels of (first word depended on, word behind the last): both never fall along a level."""
+    """Levels of (first word depended on, word behind the last, symbol): the places never fall along a level."""
     import numpy as np
 
     from cuelake.llm.repeats import mix
@@ -36,7 +38,7 @@ def compressed(codes, rounds: int = ROUNDS):
     sym = codes
     low = np.arange(len(sym), dtype=np.int64)
     high = low + 1
-    levels = [(low, high)]
+    levels = [(low, high, sym)]
     for r in range(rounds):
         new = np.concatenate(([True], sym[1:] != sym[:-1]))
         first = np.flatnonzero(new)
@@ -56,56 +58,123 @@ def compressed(codes, rounds: int = ROUNDS):
         # A pair depends on both of its symbols; one left alone on its neighbour on the other side.
         low = np.where(lone_right, left[start], low[start])
         high = np.where(lone_right, high[start], right[start + 1])
-        levels.append((low, high))
+        levels.append((low, high, sym))
         if len(sym) < 2:
             break
     return levels
 
 
+def least_of(value, first, behind):
+    """Place of the least value, leftmost of equals, in every range [first, behind)."""
+    import numpy as np
+
+    best, out = np.arange(len(value)), np.zeros(len(first), np.int64)
+    size = np.frexp((behind - first).astype(float))[1] - 1  # of the largest power of two inside
+    for k in range(int(size.max(initial=0)) + 1):
+        if k:
+            a, b = best[: -(1 << k - 1)], best[1 << k - 1 :]
+            best = np.where(value[b] < value[a], b, a)
+        some = np.flatnonzero(size == k)
+        a, b = best[first[some]], best[behind[some] - (1 << k)]
+        out[some] = np.where(value[b] < value[a], b, a)
+    return out
+
+
+BLANK = bytes(0x20 if 9 <= k <= 13 else k for k in range(256))
+LOW = [(1 << 8 * k) - 1 for k in range(9)]  # masks of the first k bytes
+LONG = 64
+
+
+class Split:
+    """Words of a text: its bytes, spaces made one kind, and where each word begins and ends."""
+
+    __slots__ = ("data", "starts", "ends")
+
+    def __init__(self, data: bytes, starts, ends):
+        self.data, self.starts, self.ends = data, starts, ends
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, part: slice) -> Split:
+        return Split(self.data, self.starts[part], self.ends[part])
+
+    def bytes(self) -> bytes:
+        return self.data[self.starts[0] : self.ends[-1]] if len(self.starts) else b""
+
+
 class Words:
     split = b"\n"  # no word has one
 
     @staticmethod
-    def units(text: str) -> list[bytes]:
-        return text.encode("utf-8", "surrogatepass").split()
+    def units(text: str) -> Split:
+        import numpy as np
+
+        data = text.encode("utf-8", "surrogatepass").translate(BLANK)
+        blank = np.ones(len(data) + 2, np.int8)
+        np.equal(np.frombuffer(data, np.uint8), 0x20, out=blank[1:-1].view(bool))
+        edges = np.flatnonzero(np.diff(blank))
+        return Split(data, edges[::2], edges[1::2])
 
     @staticmethod
-    def body(units: list[bytes]) -> bytes:
-        return b" ".join(units)
+    def body(units: Split) -> bytes:
+        return units.bytes()
 
     @staticmethod
-    def joined(parts: list[list[bytes]]) -> bytes:
-        return b" ".join(w for part in parts for w in part)
+    def joined(parts: list[Split]) -> bytes:
+        return b" ".join(w for part in parts for w in part.bytes().split())
 
     @staticmethod
-    def codes(lists: list[list[bytes]]):
+    def codes(lists: list[Split]):
         """64-bit codes of all words, a list's end marked by one of its own (0)."""
         import numpy as np
         import xxhash
 
-        words = pa.array([w for ws in lists for w in (*ws, b"")], pa.large_binary()).dictionary_encode()
-        table = np.array([xxhash.xxh3_64_intdigest(w) if w else 0 for w in words.dictionary.to_pylist()], np.uint64)
-        return table[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.uint64)
+        from cuelake.llm.repeats import mix
+
+        if not lists:
+            return np.zeros(0, np.uint64)
+        sizes = np.array([len(x) for x in lists])
+        pieces = [x.bytes() for x in lists]
+        behind = np.cumsum([len(x) + 1 for x in pieces])
+        shift = np.concatenate(([0], behind[:-1])) - np.array([x.starts[0] for x in lists])
+        data = b" ".join([*pieces, bytes(8)])
+        shift = np.repeat(shift, sizes)
+        start = np.concatenate([x.starts for x in lists]) + shift
+        size = np.concatenate([x.ends for x in lists]) + shift - start
+        eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))  # from every byte on
+        low = np.array(LOW, np.uint64)
+        code = mix(eight[start] & low[np.minimum(size, 8)], size.astype(np.uint64))
+        for k in range(8, LONG, 8):
+            at = np.flatnonzero(size > k)
+            if not len(at):
+                break
+            code[at] = mix(code[at], eight[start[at] + k] & low[np.minimum(size[at] - k, 8)])
+        for k in np.flatnonzero(size > LONG).tolist():
+            code[k] = xxhash.xxh3_64_intdigest(data[start[k] : start[k] + size[k]])
+        out = np.zeros(len(code) + len(lists), np.uint64)
+        out[np.arange(len(code)) + np.repeat(np.arange(len(lists)), sizes)] = code
+        return out
 
     @classmethod
-    def anchors(cls, lists: list[list[bytes]], length: int):
+    def anchors(cls, lists: list[Split], length: int):
         """(key, route, anchor, part) of the anchor of the window from each place."""
         import numpy as np
 
         codes = cls.codes(lists)
         n = max(0, len(codes) - length + 1)
-        window = np.arange(n)
         levels = compressed(codes) if len(codes) else []
         chosen, begin, end = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        open_ = window
+        open_ = np.arange(n)
         for k in reversed(range(len(levels))):
-            low, high = levels[k]
-            at = np.searchsorted(low, open_)
-            safe = np.minimum(at, len(low) - 1)
-            fits = (at < len(low)) & (high[safe] <= open_ + length)
-            hit = open_[fits]
-            chosen[hit], begin[hit], end[hit] = k, low[safe[fits]], high[safe[fits]]
+            low, high, sym = levels[k]
+            first, behind = np.searchsorted(low, open_), np.searchsorted(high, open_ + length, "right")
+            fits = behind > first
+            hit, at = open_[fits], least_of(repeats.mix(sym, np.full(1, k, np.uint64)), first[fits], behind[fits])
+            chosen[hit], begin[hit], end[hit] = k, low[at], high[at]
             open_ = open_[~fits]
+            if not len(open_):
+                break
         power = np.full(len(codes) + 1, BASE, np.uint64)
         power[0] = 1
         power = np.multiply.accumulate(power)
@@ -113,19 +182,33 @@ class Words:
         back[0] = 1
         back = np.multiply.accumulate(back)
         sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(codes * power[:-1]))) if len(codes) else np.zeros(1, np.uint64)
-        content = (sums[end] - sums[begin]) * back[begin]
-        key = repeats.mix(content, (chosen * 64 + end - begin).astype(np.uint64))
-        return key, key, begin * 64 + chosen, np.zeros_like(chosen)
+        more = (length - end + begin) // 2
+        front = end + more > np.arange(n) + length
+        since, until = np.where(front, begin - more, begin), np.where(front, end, end + more)
+
+        def content(a, b):
+            return (sums[b] - sums[a]) * back[a]
+
+        sort = (chosen * 64 + end - begin).astype(np.uint64)
+        route = repeats.mix(content(begin, end), sort)
+        return repeats.mix(content(since, until), sort * np.uint64(2) + front.astype(np.uint64)), route, begin * 64 + chosen, front.astype(np.int64)
 
     @classmethod
     def resolve(cls, bodies: list[bytes], docs, length: int):
         """For every window of each body: the smallest document of an equal window, word by word."""
         import numpy as np
 
-        lists = [b.split(b" ") for b in bodies]
+        lists = [b.split() for b in bodies]
         sizes = np.array([len(x) for x in lists])
         words = pa.array([w for ws in lists for w in (*ws, b"")], pa.large_binary()).dictionary_encode()
-        rank, _ = repeats.ranks(words.indices.to_numpy(zero_copy_only=False), length)
+        number = words.indices.to_numpy(zero_copy_only=False).astype(np.uint64)
+        wide = max(1, (len(words.dictionary) - 1).bit_length())
+        step = min(64 // wide, length)  # so many numbers fit one code
+        codes = np.zeros_like(number)
+        for k in range(step):
+            codes <<= np.uint64(wide)
+            codes[: max(0, len(number) - k)] |= number[k:]
+        rank, _ = repeats.ranks(codes, length, step)
         owner = np.repeat(np.arange(len(lists)), sizes + 1)
         starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
         real = np.flatnonzero(np.arange(len(rank)) - starts[owner] + length <= sizes[owner])

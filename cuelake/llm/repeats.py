@@ -31,6 +31,7 @@ FILTER_BITS = 28
 BLOCK_BITS = 9  # a key sets three bits in one block of 512
 KEY_BITS = 46
 AT_ONCE = 1 << 19  # units worked on together
+ROWS = 64  # read together
 FLUSH = 1 << 21  # keys sent together
 FLUSH_BYTES = 1 << 26  # of segments sent together
 MARK_BITS = 24
@@ -85,15 +86,16 @@ def _bits(keys):
 
 def _groups(batch, method, length):
     """Documents of an Arrow batch (doc_id, mark, text), cut and gathered to about AT_ONCE units:
-    lists of (doc_id, mark, text, first unit, units), pieces overlapping by length - 1."""
+    lists of (doc_id, mark, first unit, units), pieces overlapping by length - 1."""
     group, room = [], AT_ONCE
-    for doc, mark, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+    few = (batch.slice(k, ROWS) for k in range(0, batch.num_rows, ROWS))
+    for doc, mark, text in (row for rows in few for row in zip(*(c.to_pylist() for c in rows.columns), strict=True)):
         if doc is None or not text:
             continue
         units = method.units(text)
         for at in range(0, max(0, len(units) - length + 1), AT_ONCE):
             piece = units[at : at + AT_ONCE + length - 1]
-            group.append((doc, mark, text, at, piece))
+            group.append((doc, mark, at, piece))
             room -= len(piece)
             if room <= 0:
                 yield group
@@ -106,9 +108,9 @@ def _runs(group, method, length):
     """Runs of windows with one key: (key, route, base, item of the group, first window, windows)."""
     import numpy as np
 
-    sizes = np.array([len(g[4]) for g in group])
+    sizes = np.array([len(g[3]) for g in group])
     starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    key, route, base, part = method.anchors([g[4] for g in group], length)  # over the group, units parted by one
+    key, route, base, part = method.anchors([g[3] for g in group], length)  # over the group, units parted by one
     n = len(key)
     item = np.repeat(np.arange(len(group)), sizes + 1)[:n]
     where = np.flatnonzero(np.arange(n) - starts[item] + length <= sizes[item])
@@ -231,7 +233,7 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
                 at = at[head]
                 out = []
                 for where, i, a, n in zip((route[at] % np.uint64(parts_n)).tolist(), item[at].tolist(), first[at].tolist(), total.tolist(), strict=True):
-                    doc, mark, _, base, units = group[i]
+                    doc, mark, base, units = group[i]
                     body = method.body(units[a : a + n + length - 1])
                     digest = xxhash.xxh3_64_intdigest(body)
                     out.append((where, digest - (1 << 64) if digest >> 63 else digest, doc, mark, base + a, None, None, None, None))

@@ -224,3 +224,23 @@ def test_pipeline(spark):
     for r in docs.orderBy("doc_id").collect():
         first.add(seen.setdefault(r.text, r.doc_id))
     assert kept <= first
+
+
+def test_words_of_a_window_share_an_anchor():
+    """Equal windows have equal keys and routes in any text; codes tell words of all lengths apart."""
+    import random
+
+    draw = random.Random(5)
+    pool = ["a", "bb", "ß", "eightlet", "eightlett", "x" * 64, "x" * 65, "y" * 300, *(f"w{k}" for k in range(30))]
+    shared = [draw.choice(pool) for _ in range(70)]
+    texts = [[draw.choice(pool) for _ in range(draw.randint(0, 40))] + shared + [draw.choice(pool) for _ in range(draw.randint(0, 40))] for _ in range(6)]
+    texts.append(["same"] * 120)
+    seen = {}
+    for words in texts:
+        units = recompression.Words.units(draw.choice([" ", "\t", "\n \v"]).join(words) + " ")
+        assert units.bytes().split() == [w.encode() for w in words]
+        key, route, _, _ = recompression.Words.anchors([units], 50)
+        for k in range(len(words) - 49):
+            assert seen.setdefault(tuple(words[k : k + 50]), (key[k], route[k])) == (key[k], route[k])
+    codes = recompression.Words.codes([recompression.Words.units(" ".join(pool))])
+    assert len(set(codes.tolist())) == len(pool) + 1
