@@ -158,7 +158,7 @@ class Words:
 
     @classmethod
     def anchors(cls, lists: list[Split], length: int):
-        """(key, route, anchor, part) of the anchor of the window from each place."""
+        """(anchor, part) of the window from each place, and their (key, route) at given places."""
         import numpy as np
 
         codes = cls.codes(lists)
@@ -184,14 +184,17 @@ class Words:
         sums = np.concatenate((np.zeros(1, np.uint64), np.add.accumulate(codes * power[:-1]))) if len(codes) else np.zeros(1, np.uint64)
         more = (length - end + begin) // 2
         front = end + more > np.arange(n) + length
-        since, until = np.where(front, begin - more, begin), np.where(front, end, end + more)
 
         def content(a, b):
             return (sums[b] - sums[a]) * back[a]
 
-        sort = (chosen * 64 + end - begin).astype(np.uint64)
-        route = repeats.mix(content(begin, end), sort)
-        return repeats.mix(content(since, until), sort * np.uint64(2) + front.astype(np.uint64)), route, begin * 64 + chosen, front.astype(np.int64)
+        def named(head):
+            a, b, wide, before = begin[head], end[head], more[head], front[head]
+            sort = (chosen[head] * 64 + b - a).astype(np.uint64)
+            key = content(np.where(before, a - wide, a), np.where(before, b, b + wide))
+            return repeats.mix(key, sort * np.uint64(2) + before.astype(np.uint64)), repeats.mix(content(a, b), sort)
+
+        return begin * 64 + chosen, front.astype(np.int64), named
 
     @classmethod
     def resolve(cls, bodies: list[bytes], docs, length: int):

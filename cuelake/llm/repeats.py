@@ -110,8 +110,8 @@ def _runs(group, method, length):
 
     sizes = np.array([len(g[3]) for g in group])
     starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    key, route, base, part = method.anchors([g[3] for g in group], length)  # over the group, units parted by one
-    n = len(key)
+    base, part, named = method.anchors([g[3] for g in group], length)  # over the group, units parted by one
+    n = len(base)
     item = np.repeat(np.arange(len(group)), sizes + 1)[:n]
     where = np.flatnonzero(np.arange(n) - starts[item] + length <= sizes[item])
     if not len(where):
@@ -121,7 +121,7 @@ def _runs(group, method, length):
     opens[0] = True
     first = np.flatnonzero(opens)
     head = where[first]
-    return key[head], route[head], base[head], item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
+    return *named(head), base[head], item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
 
 
 def shared_filter(rows: DataFrame, method, length: int):
@@ -289,19 +289,27 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
         answers = method.resolve(list(bodies), np.array(lows, np.int64), length)
         keep = [k for k, least in enumerate(answers) if least.min() < highs[k]]
         part = table.column("part")[0].as_py()
-        return pa.table({"part": pa.array([part] * len(keep), pa.int32()), "id": pa.array([names[k] for k in keep], pa.int64()), "least": pa.array([answers[k] for k in keep], pa.list_(pa.int64()))})
+        size = [len(answers[k]) for k in keep]
+        # One number stands for an answer that is the same for all windows of a segment.
+        short = [answers[k][:1] if (answers[k] == answers[k][0]).all() else answers[k] for k in keep]
+        return pa.table({"part": pa.array([part] * len(keep), pa.int32()), "id": pa.array([names[k] for k in keep], pa.int64()), "n": pa.array(size, pa.int32()), "least": pa.array(short, pa.list_(pa.int64()))})
 
-    answers = found.where("bodies IS NOT NULL").select("part", "bodies", "ids", "low", "more").groupBy("part").applyInArrow(resolve, "part int, id long, least array<long>")
+    answers = found.where("bodies IS NOT NULL").select("part", "bodies", "ids", "low", "more").groupBy("part").applyInArrow(resolve, "part int, id long, n int, least array<long>")
     places = found.where("bodies IS NULL").select("part", "id", "doc_id", "mark", "start").join(answers, ["part", "id"]).where(F.array_min("least") < F.col("doc_id"))
 
     def spans(parts):
         import numpy as np
 
         for part in parts:
-            out = [(d, m, a, b) for d, m, s, least in zip(*(part.column(k).to_pylist() for k in range(3)), part.column(3), strict=True) for a, b in marked(d, s, np.asarray(least.values.to_numpy()), length)]
+            out = []
+            for d, m, s, n, least in zip(*(part.column(k).to_pylist() for k in range(4)), part.column(4), strict=True):
+                if len(least) == 1:  # it is smaller, or the place would not be here
+                    out.append((d, m, s, s + n - 1 + length))
+                else:
+                    out += [(d, m, a, b) for a, b in marked(d, s, np.asarray(least.values.to_numpy()), length)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "mark", "a", "b"])
 
-    lost = places.select("doc_id", "mark", "start", "least").mapInArrow(spans, "doc_id long, mark int, a long, b long")
+    lost = places.select("doc_id", "mark", "start", "n", "least").mapInArrow(spans, "doc_id long, mark int, a long, b long")
     lost = stage(lost.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans")), "spans")
     # A bitmap of fixed size keeps most of the texts that lose nothing out of the shuffle.
     bit = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << MARK_BITS))

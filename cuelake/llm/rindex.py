@@ -27,6 +27,7 @@ from cuelake.llm.common import read
 
 LENGTH = 50
 GRAM = 16
+PLACE_BITS = 24  # of a byte among those worked on together
 
 END = 0xFF  # no byte of UTF-8
 
@@ -48,11 +49,11 @@ class RunIndex:
         self.starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))  # of the intervals
         value = np.where(real, documents, np.iinfo(np.int64).max)[order]
         self.sample = np.minimum.reduceat(value, self.starts)
-        before = text[order - 1].astype(np.int64)  # the transform; the first byte is preceded by the last
+        before = text[order - 1]  # the transform; the first byte is preceded by the last
         head = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
         byte, size = before[head], np.diff(np.append(head, n))
         by = np.argsort(byte, kind="stable")  # runs of each byte, in order
-        self.n, self.key, self.size = n, byte[by] * (n + 1) + head[by], size[by]
+        self.n, self.key, self.size = n, byte[by].astype(np.int64) * (n + 1) + head[by], size[by]
         total = np.cumsum(size[by]) - size[by]
         counts = np.bincount(text, minlength=256)
         self.less = np.cumsum(counts) - counts
@@ -109,34 +110,32 @@ class Bytes:
 
     @staticmethod
     def anchors(pieces: list[bytes], length: int):
-        """(key, route, anchor, part) of the anchor of the window from each place."""
+        """(anchor, part) of the window from each place, and their (key, route) at given places."""
         import numpy as np
 
-        text = np.frombuffer(bytes([END]).join(pieces) + bytes([END]), np.uint8)
-        wide, more = length - GRAM + 1, (length - GRAM) // 2
-        if len(text) < length:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        keep = {1: repeats.mix(text.astype(np.uint64) + np.uint64(1), np.full(1, 7, np.uint64))}
-        size = 1
-        while size * 2 <= max(GRAM, more):
-            keep[size * 2] = repeats.mix(keep[size][:-size], keep[size][size:])
-            size *= 2
-
-        def strings(need):
-            n, done, out = len(text) - need + 1, 0, None
-            for part in sorted(keep, reverse=True):
-                while need - done >= part:
-                    ahead = keep[part][done : done + n]
-                    out, done = ahead if out is None else repeats.mix(out, ahead), done + part
-            return out
-
-        hashed, beside = strings(GRAM), strings(more)
-        views = np.lib.stride_tricks.sliding_window_view(hashed, wide)
-        off = np.concatenate([views[k : k + 65536].argmin(axis=1) for k in range(0, len(views), 65536)])
-        at = off + np.arange(len(off))
-        front = off + GRAM + more > length
-        key = repeats.mix(hashed[at], beside[np.where(front, at - more, at + GRAM)] + front.astype(np.uint64))
-        return key, hashed[at], at, front.astype(np.int64)
+        text = bytes([END]).join([*pieces, bytes(8)])
+        n, more = len(text) - 8, (length - GRAM) // 2
+        eight = np.ndarray((n + 1,), "<u8", text, strides=(1,)).copy()  # from every byte on
+        hashed = repeats.mix(eight[: max(0, n - GRAM + 1)], eight[GRAM - 8 : n - 7])
+        # Least hash and its place in one number; the least of a window by doubling.
+        least, wide, size = (hashed & np.uint64((1 << 64) - (1 << PLACE_BITS))) | np.arange(len(hashed), dtype=np.uint64), length - GRAM + 1, 1
+        while size < wide:
+            step = min(size, wide - size)
+            least = np.minimum(least[:-step], least[step:])
+            size += step
+        at = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        front = at + GRAM + more > np.arange(len(at)) + length
+
+        def named(head):
+            found, before = at[head], front[head]
+            since = np.where(before, found - more, found + GRAM)
+            beside = np.full(len(head), more, np.uint64)
+            for k in range(0, more, 8):
+                short = np.uint64((1 << 8 * min(8, more - k)) - 1)
+                beside = repeats.mix(beside, eight[since + k] & short)
+            return repeats.mix(hashed[found], beside + before.astype(np.uint64)), hashed[found]
+
+        return at, front.astype(np.int64), named
 
     @staticmethod
     def resolve(bodies: list[bytes], docs, length: int):
