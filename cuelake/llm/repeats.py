@@ -198,7 +198,7 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
     """
     spark = rows.sparkSession
     filled = spark.sparkContext.broadcast(bits)
-    parts_n = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts_n = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
 

@@ -40,6 +40,7 @@ class RunIndex:
         import numpy as np
 
         n = len(text)
+        kind = np.int32 if (n + 1) << 8 < 1 << 31 else np.int64  # holds a byte and a place
         wide = np.concatenate((text, np.zeros(8, np.uint8))).astype(np.uint64)
         eight = np.zeros(n, np.uint64)
         for k in range(8):
@@ -53,13 +54,14 @@ class RunIndex:
         head = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
         byte, size = before[head], np.diff(np.append(head, n))
         by = np.argsort(byte, kind="stable")  # runs of each byte, in order
-        self.n, self.key, self.size = n, byte[by].astype(np.int64) * (n + 1) + head[by], size[by]
+        self.n, self.key, self.size = n, byte[by].astype(kind) * (n + 1) + head[by].astype(kind), size[by].astype(kind)
         total = np.cumsum(size[by]) - size[by]
         counts = np.bincount(text, minlength=256)
-        self.less = np.cumsum(counts) - counts
-        self.so_far, self.first = total, np.searchsorted(self.key, np.arange(257) * (n + 1))
-        self.base = np.append(total, n)[self.first[:256]]
-        self.begin = head[by]
+        self.less = (np.cumsum(counts) - counts).astype(kind)
+        self.so_far, self.first = total.astype(kind), np.searchsorted(self.key, (np.arange(256) * (n + 1)).astype(kind))
+        self.base = np.append(self.so_far, kind(n))[self.first]
+        self.begin = head[by].astype(kind)
+        self.starts = self.starts.astype(kind)
 
     def rank(self, byte, place):
         """How often `byte` stands in the transform before `place`."""
@@ -78,10 +80,10 @@ class RunIndex:
         interval tells it."""
         import numpy as np
 
-        low, size = np.zeros(len(last), np.int64), np.zeros(len(last), np.int64)
+        low, size = np.zeros(len(last), self.key.dtype), np.zeros(len(last), np.int64)
         at, stop = last.copy(), stop.copy()
         while len(at):
-            byte = text[at].astype(np.int64)
+            byte = text[at].astype(low.dtype)
             low = self.less[byte] + self.rank(byte, low)
             size = np.minimum(size + 1, length)
             full = np.flatnonzero(size == length)
@@ -151,7 +153,7 @@ class Bytes:
         least = np.full(len(text), np.iinfo(np.int64).max)
         for place, sample in index.stream(text, starts + sizes - 1, starts, length):
             least[place] = sample
-        return np.split(least[real], np.cumsum(sizes - length + 1)[:-1])
+        return [least[a : a + n] for a, n in zip(starts.tolist(), (sizes - length + 1).tolist(), strict=True)]
 
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
