@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Every n-gram of the test items is looked for in every text; a bitmap of fixed size, whatever the
-benchmark, keeps texts without any out of the join. The occurrences found give corpus
-frequencies; in every run of `spread` n-grams of an item the rarest one is a seed, so a copy with an
-intact run of n + spread - 1 words is seen however common its other n-grams are. Seeds join passages
-to items by equality; each passage is aligned with its item word by word (match 2, mismatch and gap
+benchmark, keeps texts without any out of the join. Every n-gram found is a seed, however frequent:
+seeds join passages to items by equality. A passage that shares too few words with its item to reach
+`least` is dropped by an exact bound; the others are aligned word by word (match 2, mismatch and gap
 -1, local), which scores edited copies. A pair is reported at `least` of the item's full score.
+With n = 3, copies of a score over 0.5 that keep no n words in a row have words put in after every
+second or single word; only replaced words bring the score to about 0.5 before the last seed goes.
 
 Passages, not documents, move: the words around the n-grams found. A hot passage is a skewed key of an
 inner join, which adaptive execution splits. The alignment works on batches of bounded size.
@@ -21,13 +22,12 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuelake.llm.common import read, stage
 
-WIDTH = 4
-SPREAD = 4
+WIDTH = 3
 LEAST = 0.5
 SLACK = 8
 BITS = 23
@@ -122,13 +122,18 @@ def passages(docs: DataFrame, bitmap, reach: int, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, schema)
 
 
-def seeds(grams_of: DataFrame, counts: DataFrame, spread: int) -> DataFrame:
-    """(gram, item_id, q): the rarest n-gram of every run of `spread` of an item."""
-    each = grams_of.select("item_id", F.posexplode("grams").alias("q", "gram")).join(counts, "gram", "left")
-    key = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "q")
-    run = Window.partitionBy("item_id").orderBy("q").rowsBetween(0, spread - 1)
-    least = each.select("item_id", F.min(key).over(run).alias("s"))
-    return least.select("item_id", "s.gram", F.col("s.q").cast("long").alias("q")).distinct()
+def reachable(item, text, least: float) -> bool:
+    """Whether the alignment can score `least`: a bound from the words both hold.
+
+    A score of least * 2m over the m words of an item needs least * m equal words, in at most
+    (3 - 2 * least) * m words of text, as each further word costs a gap.
+    """
+    import numpy as np
+
+    shared = np.concatenate(([0], np.cumsum(np.isin(text, item))))
+    span = int((3 - 2 * least) * len(item)) + 1
+    most = (shared[span:] - shared[:-span]).max() if len(text) > span else shared[-1]
+    return bool(most >= least * len(item))
 
 
 def aligned(queries, texts):
@@ -167,14 +172,14 @@ def aligned(queries, texts):
     return best, end
 
 
-def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, width: int = WIDTH, spread: int = SPREAD, slack: int = SLACK) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, width: int = WIDTH, slack: int = SLACK) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word): texts that hold a test item, words from 0."""
     known = stage(item_grams(items, width), "items")
     reach = (known.agg(F.max(F.size("words"))).first()[0] or 0) + slack
     found = stage(passages(docs, gram_filter(known), reach, width).withColumn("at", F.monotonically_increasing_id()), "passages")
     hits = found.select("at", "start", F.explode("hits").alias("h")).select("at", "start", "h.*")
-    rare = seeds(known, hits.groupBy("gram").agg(F.count("*").alias("n")), spread)
-    met = hits.join(rare, "gram").groupBy("at", "item_id").agg(F.min(F.col("pos") - F.col("q") - F.col("start")).alias("low"), F.max(F.col("pos") - F.col("q") - F.col("start")).alias("high"))
+    seeds = known.select("item_id", F.posexplode("grams").alias("q", "gram"))
+    met = hits.join(seeds, "gram").groupBy("at", "item_id").agg(F.min(F.col("pos") - F.col("q") - F.col("start")).alias("low"), F.max(F.col("pos") - F.col("q") - F.col("start")).alias("high"))
     pairs = met.join(found.select("at", "doc_id", "start", F.col("words").alias("text")), "at").join(known.select("item_id", F.col("words").alias("item")), "item_id")
     begin = F.greatest(F.col("low") - slack, F.lit(0)).cast("int")
     pairs = pairs.select("doc_id", "item_id", (F.col("start") + begin).alias("base"), F.slice("text", begin + 1, (F.col("high") + F.size("item") + slack - begin).cast("int")).alias("text"), "item")
@@ -184,15 +189,17 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, width: int =
         import numpy as np
 
         for part in parts:
-            base, text, item = part.column(2).to_numpy(), part.column(3), part.column(4)
-            t = [np.asarray(x.values.to_numpy()) for x in text]
-            q = [np.asarray(x.values.to_numpy()) for x in item]
+            t = [np.asarray(x.values.to_numpy()) for x in part.column(3)]
+            q = [np.asarray(x.values.to_numpy()) for x in part.column(4)]
+            able = [k for k in range(len(q)) if reachable(q[k], t[k], least)]
+            part, q, t = part.take(pa.array(able, pa.int64())), [q[k] for k in able], [t[k] for k in able]
+            base = part.column(2).to_numpy()
             best, end = aligned(q, t)
             score = best / np.maximum(1, [MATCH * len(x) for x in q])
             keep = np.flatnonzero(score >= least)
             _, back = aligned([q[k][::-1] for k in keep], [t[k][: end[k]][::-1] for k in keep])
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(keep)), part.column(1).take(pa.array(keep)), pa.array(score[keep]), pa.array(base[keep] + end[keep] - back), pa.array(base[keep] + end[keep] - 1)],
+                [part.column(0).take(pa.array(keep, pa.int64())), part.column(1).take(pa.array(keep, pa.int64())), pa.array(score[keep]), pa.array(base[keep] + end[keep] - back), pa.array(base[keep] + end[keep] - 1)],
                 names=["doc_id", "item_id", "score", "first_word", "last_word"])
 
     scored = pairs.mapInArrow(batches, schema)

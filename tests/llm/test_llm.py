@@ -133,6 +133,28 @@ def test_decontamination(spark):
     assert set(by) == {1, 3} and by[1].score == 1.0 and (by[1].first_word, by[1].last_word) == (2, 19) and 0.5 < by[3].score < 1
 
 
+@pytest.mark.parametrize("intact", [False, True])
+def test_evenly_edited_copies(spark, intact):
+    """Copies with every 4th to 8th word replaced score what a brute-force alignment says, beside an intact copy or alone."""
+    item = [f"w{k}" for k in range(38)]
+    texts = {n: [f"x{n}y{k}" if k % n == n - 1 else w for k, w in enumerate(item)] for n in (4, 5, 6, 7, 8)}
+    if intact:
+        texts[1] = item
+
+    def best(q, t):
+        last, top = [0] * (len(t) + 1), 0
+        for a in q:
+            now = [0]
+            for j, b in enumerate(t, 1):
+                now.append(max(0, last[j - 1] + (2 if a == b else -1), last[j] - 1, now[-1] - 1))
+            last, top = now, max(top, *now)
+        return top
+
+    docs = [(n, " ".join(["before", "it", *t, "and", "after"])) for n, t in texts.items()]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()
+    assert {r.doc_id: r.score for r in got} == {n: best(item, t) / 76 for n, t in texts.items()}
+
+
 def test_secrets():
     text = 'é password = "abc12" token: \'a1B2c3D4\' AKIA' + "Q" * 16 + " deadbeef" * 3
     spans, more = secrets.scan(text + " " + "0123456789abcdef" * 2)
