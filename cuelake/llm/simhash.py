@@ -11,6 +11,14 @@ Defined cases: a null text counts as empty; a text without words has fingerprint
 links like any other; repeated rows come back as often as they come in; a row whose doc_id is null
 gets its component's smallest id (null where the component has none); empty tables give no rows;
 other columns of the input are ignored.
+
+`similar_groups` is for corpora: groups of true similarity, |A and B| / |A or B| >= 0.8 over the sets
+of five-word shingles. A radius of bits that reaches 0.8 leaves no segment long enough to look up (15 of
+100 bits differ there, so 28 bits agree up to one in 6 of 100 pairs). So pairs meet where they share two of the
+`SKETCH` smallest shingle hashes of each (missed by less than 1 in 10,000 pairs at 0.8), SimHash of
+256 bits drops the clearly unlike, and the sets themselves decide. Equal sets collapse first. Then
+every row of a key is compared with the key's first, and only rows of a key that this leaves in
+different groups are compared with each other.
 """
 
 from __future__ import annotations
@@ -22,6 +30,10 @@ from pyspark.sql import functions as F
 from cuelake.llm.common import components, read, stage
 
 BITS_AT_ONCE = 1 << 16
+SHINGLE = 5
+SKETCH = 8
+#: Fingerprints of 256 bits of sets of MANY shingles or more; at 0.8, 39 bits differ (deviation 6).
+FAR, MANY = 72, 64
 
 
 def simhash(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -96,12 +108,93 @@ def near_groups(docs: DataFrame, width: int = 3, seed: int = 42, max_distance: i
     return fps.join(named, "fp")
 
 
-def first_of_groups(docs: DataFrame, width: int = 3, max_distance: int = 3) -> DataFrame:
-    """`docs` with one row for each near-duplicate group: that of its smallest doc_id.
+def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataFrame:
+    """(doc_id, node, size, f0 .. f3, keys, hashes) for every row; equal sets have equal nodes.
+
+    `hashes` are the set itself, `keys` the pairs of its smallest, f0 .. f3 its SimHash of 256 bits.
+    """
+    schema = "doc_id long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<long>"
+
+    def batches(parts):
+        import numpy as np
+        import xxhash
+
+        digest = xxhash.xxh64_intdigest
+        left, right = np.triu_indices(SKETCH, 1)
+
+        def row(text):
+            words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+            line = b" ".join(words)
+            n = max(1, len(words) - width + 1) if words else 0
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+            starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
+            stops = ends[min(width, len(words)) - 1 :].tolist() if n else []
+            hashes = np.unique(np.array([digest(line[a:b], seed) for a, b in zip(starts, stops, strict=True)], dtype="<u8"))
+            ones, mixed, prints = 0, hashes, []
+            for k in range(4):
+                ones = np.zeros(64, np.int64)
+                for at in range(0, len(mixed), BITS_AT_ONCE):
+                    ones += np.unpackbits(mixed[at : at + BITS_AT_ONCE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+                prints.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<i8")[0]))
+                mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(k)
+                mixed ^= mixed >> np.uint64(29)
+            few = hashes[:SKETCH]
+            chosen = right < len(few)
+            pairs = (few[left[chosen]] * np.uint64(0x9E3779B97F4A7C15)) ^ few[right[chosen]]
+            node = int(np.uint64(digest(hashes.tobytes(), seed)).view(np.int64))
+            return node, len(hashes), *prints, pairs.view("i8"), hashes.view("i8")
+
+        for part in parts:
+            columns = list(zip(*map(row, part.column(1).to_pylist()), strict=True)) or [[]] * 8
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "node", "size", "f0", "f1", "f2", "f3", "keys", "hashes"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, schema)
+
+
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (u, v) of `pairs` whose shingle sets have a similarity of 0.8 or more."""
+    own = sets.select("node", "hashes").join(pairs.select("u").union(pairs.select("v")).distinct(), F.col("node") == F.col("u"), "left_semi").dropDuplicates(["node"])
+    own = stage(own, "alike")
+    both = pairs.join(own.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(own.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
+    return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
+
+
+def similar_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id) for every row, by five-word similarity of 0.8 or more."""
+    sets = stage(shingle_sets(docs), "sets")
+    marks = ["size", "f0", "f1", "f2", "f3"]
+    nodes = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in marks])
+    keyed = sets.select("node", F.explode("keys").alias("key")).distinct()
+    shared = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("key", "lead")
+    met = stage(keyed.join(shared, "key").join(nodes, "node"), "keyed")
+
+    def near(a, b):
+        size = (F.col(f"{a}.size") * 5 >= F.col(f"{b}.size") * 4) & (F.col(f"{b}.size") * 5 >= F.col(f"{a}.size") * 4)
+        bits = sum((F.bit_count(F.col(f"{a}.{f}").bitwiseXOR(F.col(f"{b}.{f}"))) for f in marks[1:]), F.lit(0))
+        return size & ((F.least(f"{a}.size", f"{b}.size") < MANY) | (bits <= FAR))
+
+    lead = met.where("node <> lead").select("lead", "node", *marks).distinct().alias("x").join(nodes.alias("y"), F.col("x.lead") == F.col("y.node")).where(near("x", "y"))
+    links = stage(alike(stage(lead.select(F.col("x.node").alias("u"), F.col("lead").alias("v")), "leads"), sets), "firsts")
+    rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("lead")
+    split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    rooted = stage(rooted.join(split, "key"), "rooted")
+    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near("x", "y"))
+    more = alike(stage(rest.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "rest"), sets)
+    roots = components(links.union(more))
+    smallest = sets.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    low = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
+    return sets.select("doc_id", "node").join(smallest.select("node", "root").join(low, "root"), "node").select("doc_id", "component_id")
+
+
+def first_of_groups(docs: DataFrame) -> DataFrame:
+    """`docs` with one row for each group of similar documents: that of its smallest doc_id.
 
     Of rows that repeat that id the one with the smallest text stays; rows without an id all stay.
     """
-    first = near_groups(docs, width, max_distance=max_distance).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    first = similar_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     kept = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_kept"), "left_semi")
     once = Window.partitionBy("doc_id").orderBy("text")
     kept = kept.withColumn("_nth of its id", F.row_number().over(once)).where(F.col("_nth of its id") == 1).drop("_nth of its id")

@@ -107,6 +107,47 @@ def test_chain_of_fingerprints(spark):
     assert pairs == {(a, b) for a in chain for b in chain if a > b and (a ^ b).bit_count() <= 3}
 
 
+def similar(texts):
+    """Brute force: {id: smallest id reachable by five-word similarity of 0.8 or more}."""
+    sets = {}
+    for d, text in texts:
+        words = (text or "").encode().lower().split()
+        sets[d] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sorted(sets):
+        for b in sets:
+            if b < a and (sets[a] == sets[b] or 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b])) > 0):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in sets}
+
+
+def test_similar_groups(spark, documents):
+    """Copies with a few words replaced, chains of them, short and wordless texts, all meet and no others do."""
+    import random
+
+    draw = random.Random(7)
+    texts = list(documents)
+    for base in range(12):
+        words = [f"b{base}w{draw.randrange(400)}" for _ in range(draw.choice([30, 120, 600]))]
+        for copy in range(6):
+            texts.append((100_000 + 10 * base + copy, " ".join(words)))
+            for _ in range(max(1, len(words) // 60)):
+                words[draw.randrange(len(words))] = f"new{draw.random()}"
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts += [(200_000 + k, passage + " " + " ".join(f"q{draw.random()}" for _ in range(60))) for k in range(30)]
+    texts += [(300_000, ""), (300_001, " "), (300_002, "a b c"), (300_003, "A b  c"), (300_004, "a b")]
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    want = similar(texts)
+    assert got == want and sum(want[d] != d for d in want if d >= 100_000) >= 30
+
+
 def test_language(spark):
     got = language.op5_language(spark, FOLDER).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
