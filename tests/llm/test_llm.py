@@ -276,6 +276,15 @@ def test_empty_tables(spark, odd):
     assert forest.nearest(vectors, vectors).collect() == []
 
 
+def test_nameless_rows_and_test_items(spark):
+    import corpus_pipeline
+
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("text IS NOT NULL").orderBy("item_id").first().text
+    docs = spark.createDataFrame([(None, "so " + item), (None, "nothing of the kind in here"), (None, None), (1, item), (2, "clean")], "doc_id long, text string")
+    left = corpus_pipeline.no_test_items(spark, docs, FOLDER).collect()
+    assert sorted(map(str, left)) == sorted(map(str, docs.where("text IS NULL OR doc_id = 2 OR text LIKE 'nothing%'").collect()))
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
