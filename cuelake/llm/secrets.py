@@ -123,8 +123,8 @@ def _scans(texts: pa.Array, window: int):
     import pyarrow.compute as pc
 
     quick = pc.match_substring_regex(texts, QUICK).to_pylist()
-    # A candidate that is not allowed mixes letters with five digits or digits with letters and marks.
-    mixed = pc.match_substring_regex(texts, r"[A-Za-z+/_=-][0-9]|[0-9][A-Za-z+/_=-]").to_pylist()
+    # A candidate that is not allowed has a digit beside a letter or mark, or begins with marks and holds a letter.
+    mixed = pc.match_substring_regex(texts, r"[A-Za-z+/_=-][0-9]|[0-9][A-Za-z+/_=-]|(?:^|[^A-Za-z0-9+/_=-])[+/_=-]+[A-Za-z]").to_pylist()
     for text, a, b in zip(texts.to_pylist(), quick, mixed, strict=True):
         yield (base_spans(text) if a else []), (entropy_spans(text, window) if b else [])
 

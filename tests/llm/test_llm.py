@@ -204,6 +204,15 @@ def test_secrets():
     assert secrets.hot_windows("ab" * 20, 20, 1.0) == [(0, 40)] and secrets.hot_windows("ab" * 20, 20, 1.01) == []
 
 
+def test_quick_filter_of_secrets(spark):
+    """find_secrets finds what scan finds, also in texts without a digit."""
+    token = "QwErTyUiOpAsDfGhJkLzXcVbNm"
+    texts = [*(f"{a}{mark}{token}" for mark in ("+", "/", "_", "=", "-", "-=", "") for a in ("", "text ", "é", "\n")), token + "+", "+" * 30, f"a b-{token}", f"+{token} a1"]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    want = {d: secrets.written([s for part in secrets.scan(t) for s in part]) for d, t in enumerate(texts)}
+    assert got == want and want[0]
+
+
 def test_mixing_meets_targets(spark):
     got = mixing.op4_mixing(spark, FOLDER).collect()
     assert all(r.taken <= 3 * r.size for r in got) and len(got) == 200
