@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cuelake.llm import decontaminate, forest, language, licenses, mixing, preference, recompression, rindex, secrets, simhash
+from cuelake.llm import decontaminate, forest, hardneg, language, licenses, mixing, passes, preference, recompression, rindex, runs, secrets, simhash
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -15,5 +15,8 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_simhash": simhash.op9_simhash,
     "op10_forest": forest.op10_forest,
+    "op11_hard_negatives": hardneg.op11_hard_negatives,
+    "op12_passes": passes.op12_passes,
+    "op13_runs": runs.op13_runs,
 }
-CHECKS = {"op2_preference": preference.SQL, "op3_licenses": licenses.SQL}
+CHECKS = {"op2_preference": preference.SQL, "op3_licenses": licenses.SQL, "op11_hard_negatives": hardneg.SQL, "op12_passes": passes.SQL}
