@@ -248,27 +248,6 @@ def reserve_estimate(prompt_bytes: Column, duration_ms: Column, output_tokens: C
             / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(24,8)")
 
 
-def ledger_totals(events: DataFrame) -> DataFrame:
-    """Uploads, calls, milliseconds, bytes and charge so far; partial sums before the shuffle."""
-    call, upload = F.col("kind") == "call", F.col("kind") == "upload"
-    return events.groupBy("auth_id").agg(
-        F.count_if(upload).alias("uploads"), F.count_if(call).alias("calls"),
-        F.coalesce(F.sum(F.when(upload, F.col("duration_ms"))), F.lit(0)).alias("upload_ms"),
-        F.coalesce(F.sum(F.when(call, F.col("duration_ms"))), F.lit(0)).alias("call_ms"),
-        F.coalesce(F.sum(F.when(call, F.col("prompt_bytes"))), F.lit(0)).alias("prompt_bytes"),
-        F.coalesce(F.sum(F.when(call, F.col("charge"))), F.lit(0)).cast("decimal(24,8)").alias("charge"))
-
-
-CAPS = ["uploads", "calls", "upload_ms", "call_ms", "prompt_bytes", "charge"]
-
-
-def ledger_status(events: DataFrame, limits: DataFrame) -> DataFrame:
-    """Totals beside their caps (`max_<name>`), with the names of the caps passed."""
-    joined = ledger_totals(events).join(limits, "auth_id")
-    over = F.array_compact(F.array(*[F.when(F.col(n) > F.col(f"max_{n}"), F.lit(n)) for n in CAPS]))
-    return joined.select("auth_id", *CAPS, F.array_join(over, ",").alias("over"))
-
-
 def event_counts(events: DataFrame, kinds: Sequence[str], by: Sequence[str] = ("run_id",)) -> DataFrame:
     """Event counts with zeros for kinds that did not occur; one conditional count per kind."""
     counted = events.groupBy(*by).agg(*[F.count_if(F.col("kind") == kind).alias(f"k{at}") for at, kind in enumerate(kinds)])

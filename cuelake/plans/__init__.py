@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
-    "interval_plans", "sequence_plans", "link_plans", "measure_plans", "scalar_plans", "rule_plans", "version_plans", "flow_plans",
+    "interval_plans", "sequence_plans", "link_plans", "measure_plans", "scalar_plans", "rule_plans", "version_plans", "flow_plans", "stream_plans",
 ]
 
 

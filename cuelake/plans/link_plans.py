@@ -202,10 +202,13 @@ def timeline_j16(t):
 SELECT track_id, cue_id*100000+pos AS obs_id, 'possible_speech_gap' AS kind, start_ms+3000 AS start_ms, end_ms+3000 AS end_ms FROM words w
 WHERE start_ms IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cues c WHERE c.track_id=w.track_id AND c.start_ms < w.end_ms+3000 AND c.end_ms > w.start_ms+3000)""")
 def speech_in_gaps_j20(t):
-    rows = t.words.where(F.col("start_ms").isNotNull()).select(
+    return lk.speech_in_gaps(gap_rows(t), t.cues)
+
+
+def gap_rows(t):
+    return t.words.where(F.col("start_ms").isNotNull()).select(
         "track_id", (F.col("cue_id") * 100_000 + F.col("pos")).alias("obs_id"), F.lit("asr").alias("kind"),
         (F.col("start_ms") + 3000).alias("start_ms"), (F.col("end_ms") + 3000).alias("end_ms"))
-    return lk.speech_in_gaps(rows, t.cues)
 
 
 @plan("unsupported_edits_j21", """

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cuelake.functions.base import idiv
 from cuelake.operators import intervals as iv
+from cuelake.operators import ledger as lg
 from cuelake.operators import linking as lk
 from cuelake.operators import measures as ms
 from cuelake.operators import sequences as sq
@@ -160,17 +161,19 @@ LIMITS = {"uploads": 10, "calls": 12, "upload_ms": 600_000, "call_ms": 700_000,
 
 def limits(t):
     caps = [F.lit(value).cast("bigint").alias(f"max_{name}") for name, value in LIMITS.items()]
-    return t.ledger.select("auth_id").distinct().select("auth_id", *caps, F.lit("0.03").cast("decimal(18,8)").alias("max_charge"))
+    free = (F.col("auth_id") % 7 == 0).alias("unlimited")
+    return t.ledger.select("auth_id").distinct().select("auth_id", *caps, F.lit("0.03").cast("decimal(18,8)").alias("max_charge"), free)
 
 
 @plan("ledger_status_a17", """
 , l AS (SELECT auth_id, count(*) FILTER (kind='upload') AS uploads, count(*) FILTER (kind='call') AS calls, CAST(coalesce(sum(duration_ms) FILTER (kind='upload'), 0) AS BIGINT) AS upload_ms,
  CAST(coalesce(sum(duration_ms) FILTER (kind='call'), 0) AS BIGINT) AS call_ms, CAST(coalesce(sum(prompt_bytes) FILTER (kind='call'), 0) AS BIGINT) AS prompt_bytes,
- CAST(coalesce(sum(charge) FILTER (kind='call'), 0) * 100000000 AS BIGINT) AS charge_e8 FROM ledger GROUP BY 1)
-SELECT *, array_to_string(list_filter([CASE WHEN uploads>10 THEN 'uploads' END, CASE WHEN calls>12 THEN 'calls' END, CASE WHEN upload_ms>600000 THEN 'upload_ms' END, CASE WHEN call_ms>700000 THEN 'call_ms' END,
- CASE WHEN prompt_bytes>20000 THEN 'prompt_bytes' END, CASE WHEN charge_e8>3000000 THEN 'charge' END], lambda x: x IS NOT NULL), ',') AS over FROM l""".replace(" AS over FROM", ' AS "over" FROM'))
+ CAST(coalesce(sum(charge) FILTER (kind='call'), 0) * 100000000 AS BIGINT) AS charge_e8,
+ count(*) FILTER (label='full-episode') AS full_uploads, count(*) FILTER (stage='full_episode_observation') AS full_calls, auth_id % 7 = 0 AS free FROM ledger GROUP BY 1)
+SELECT * EXCLUDE (free), array_to_string(list_filter([CASE WHEN NOT free AND uploads>10 THEN 'uploads' END, CASE WHEN NOT free AND calls>12 THEN 'calls' END, CASE WHEN NOT free AND upload_ms>600000 THEN 'upload_ms' END, CASE WHEN NOT free AND call_ms>700000 THEN 'call_ms' END,
+ CASE WHEN NOT free AND prompt_bytes>20000 THEN 'prompt_bytes' END, CASE WHEN NOT free AND charge_e8>3000000 THEN 'charge' END, CASE WHEN full_uploads>1 THEN 'full_uploads' END, CASE WHEN full_calls>1 THEN 'full_calls' END], lambda x: x IS NOT NULL), ',') AS over FROM l""".replace(" AS over FROM", ' AS "over" FROM'))
 def ledger_status_a17(t):
-    return ms.ledger_status(t.ledger, limits(t)).withColumn("charge_e8", (F.col("charge") * 100_000_000).cast("bigint")).drop("charge")
+    return lg.ledger_status(t.ledger, limits(t)).withColumn("charge_e8", (F.col("charge") * 100_000_000).cast("bigint")).drop("charge")
 
 
 KINDS = ["click", "error", "purchase", "restart", "signup", "view"]

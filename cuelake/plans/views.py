@@ -84,7 +84,9 @@ ledger AS (
          CASE event_type WHEN 'purchase' THEN 'call' ELSE 'upload' END AS kind,
          (event_id % 97) * 1000 AS duration_ms,
          length(props) * 100 + event_id % 500 AS prompt_bytes,
-         CAST(floor(value * 100) / 100000 AS DECIMAL(18,8)) AS charge
+         CAST(floor(value * 100) / 100000 AS DECIMAL(18,8)) AS charge,
+         CASE WHEN event_type = 'click' AND event_id % 3 = 0 THEN 'full-episode' END AS label,
+         CASE WHEN event_type = 'purchase' AND event_id % 4 = 0 THEN 'full_episode_observation' END AS stage, ts AS at
   FROM events WHERE event_type IN ('purchase', 'click')),
 turns AS (SELECT conv_id AS track_id, turn + 1 AS cue_id, role, text FROM conversations)
 """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -40,6 +42,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder, deleted when the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cuelake-{name}-{uuid.uuid4().hex}"
+
+    def clear() -> None:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    atexit.register(clear)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the data lands in the shared folder, so lost executors cost nothing."""
     spark = df.sparkSession
@@ -70,7 +85,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     key = (spark.sparkContext.applicationId, name)
     if key not in _STAGED:
-        path = f"{checkpoint_dir(spark)}/cuelake-{uuid.uuid4().hex}"
+        path = scratch_folder(spark, "staged")
         if df.rdd.getNumPartitions() < int(spark.conf.get("spark.sql.shuffle.partitions")):
             df = spread(df, df.columns[0])
         df.write.parquet(path)

@@ -159,7 +159,9 @@ class Tables:
             F.col("user_id").alias("auth_id"), "event_id", "kind",
             ((F.col("event_id") % 97) * 1000).alias("duration_ms"),
             (F.length("props") * 100 + F.col("event_id") % 500).cast("bigint").alias("prompt_bytes"),
-            (F.floor(F.col("value") * 100) / F.lit(100000)).cast("decimal(18,8)").alias("charge"))
+            (F.floor(F.col("value") * 100) / F.lit(100000)).cast("decimal(18,8)").alias("charge"),
+            F.when((kind == "upload") & (F.col("event_id") % 3 == 0), "full-episode").alias("label"),
+            F.when((kind == "call") & (F.col("event_id") % 4 == 0), "full_episode_observation").alias("stage"), F.col("ts").cast("timestamp").alias("at"))
 
     @cached_property
     def turns(self) -> DataFrame:

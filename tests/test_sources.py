@@ -1,12 +1,14 @@
+import datetime
 import json
+import random
 import uuid
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from cuelake.operators.ledger import decide_reservations
+from cuelake.operators.ledger import decide_reservations, ledger_status, settle_usage
 from cuelake.operators.measures import event_counts
-from cuelake.plans.measure_plans import LIMITS
 from cuelake.sources import records as rc
 from cuelake.sources import srt as sr
 from cuelake.streaming import flows
@@ -107,18 +109,76 @@ def test_streamed_counts_equal_the_batch(spark, tmp_path):
     assert got == {(r.run_id, r.kind): r.n for r in event_counts(events, kinds).where("n > 0").collect()}
 
 
-def test_streamed_ledger_equals_the_batch(spark, tmp_path):
-    from cuelake.sources.tables import Tables
-
-    ledger = Tables(spark, "/root/testdata/sf0.01").ledger.where("auth_id < 30")
-    ledger.coalesce(1).sortWithinPartitions("event_id").write.option("maxRecordsPerFile", 200).parquet(str(tmp_path / "in"))
-    caps = {**LIMITS, "charge": "0.03"}
-    limits = ledger.select("auth_id").distinct().select("auth_id", *[F.lit(v).cast("bigint").alias(f"max_{k}") for k, v in LIMITS.items()], F.lit("0.03").cast("decimal(18,8)").alias("max_charge"))
-    source = spark.readStream.schema(ledger.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    name = drain(flows.stream_ledger(source, caps), "append")
-    got = {(r.auth_id, r.event_id): r.accepted for r in spark.table(name).collect()}
-    assert got == {(r.auth_id, r.event_id): r.accepted for r in decide_reservations(ledger, limits).collect()}
-    assert set(got.values()) == {True, False}
+RESERVED = "auth_id long, event_id long, kind string, duration_ms long, prompt_bytes long, charge double, label string, stage string, at timestamp"
+
+
+def reservations(spark, rows):
+    return spark.createDataFrame(rows, RESERVED).withColumn("charge", F.col("charge").cast("decimal(18,8)"))
+
+
+def run_ledger(spark, tmp_path, parts, limits, **settings):
+    """One drain per part, all from one checkpoint."""
+    for part in parts:
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(part.schema).parquet(str(tmp_path / "in"))
+        flows.drain(flows.stream_ledger(source, limits, **settings), str(tmp_path / "cp"), str(tmp_path / "out"))
+    out = spark.read.schema("auth_id long, event_id long, accepted boolean").parquet(str(tmp_path / "out"))
+    return sorted((r.auth_id, r.event_id, r.accepted) for r in out.collect())
+
+
+def test_streamed_ledger_goes_on_at_its_checkpoint(spark, tmp_path):
+    """Rows of a part arrive in any order; totals, open slots and once-only reservations outlive a restart."""
+    rng = random.Random(4)
+    start = datetime.datetime(2024, 1, 1)
+    rows = []
+    for i in range(300):
+        call = rng.random() < 0.5
+        label, stage = (None, rng.choice([None, "full_episode_observation"])) if call else (rng.choice([None, "full-episode"]), None)
+        rows.append((rng.choice([1, 1, 1, 2, 3]), i, "call" if call else "upload", rng.randrange(1, 4000), rng.randrange(1, 900), rng.randrange(20) / 100, label, stage, start + datetime.timedelta(seconds=7 * i)))
+    caps = "max_uploads long, max_calls long, max_upload_ms long, max_call_ms long, max_prompt_bytes long, max_charge decimal(18,8), unlimited boolean"
+    limits = spark.createDataFrame([(a, 30, 40, 90_000, 120_000, 20_000, Decimal(3), a == 3) for a in (1, 2, 3)], "auth_id long, " + caps)
+    parts = [rows[:90], rows[90:91], rows[91:]]
+    for part in parts:
+        rng.shuffle(part)
+    close = [(-1, -1, None, None, None, None, None, None, start + datetime.timedelta(days=9))]
+    got = run_ledger(spark, tmp_path, [reservations(spark, part) for part in [*parts, close]], limits, slot_ms=60_000)
+    want = sorted((r.auth_id, r.event_id, r.accepted) for r in decide_reservations(reservations(spark, rows), limits).collect())
+    assert got == want and {ok for _, _, ok in got} == {True, False}
+    once = [(a, i) for a, i, ok in got if ok and (rows_by := {r[1]: r for r in rows})[i][6] == "full-episode"]
+    assert sorted(a for a, _ in once) == [1, 2, 3]
+
+
+def test_once_only_reservations_bind_unlimited_use(spark):
+    """Literal cases: caps, the unlimited switch, one full upload and one full observation each."""
+    day = datetime.datetime(2024, 1, 1)
+    one = lambda auth, i, kind, label=None, stage=None, cost=1.0: (auth, i, kind, 1000, 10, cost, label, stage, day)
+    rows = [
+        one(1, 1, "upload", "full-episode"), one(1, 2, "call", None, "full_episode_observation"), one(1, 3, "upload", "full-episode"), one(1, 4, "call", None, "full_episode_observation"),
+        one(1, 5, "call"), one(1, 6, "call"), one(2, 7, "call", cost=50.0), one(2, 8, "upload"), one(2, 9, "call", cost=2.0), one(2, 10, "call", cost=1.5),
+        one(9, 11, "call"),
+    ]
+    caps = "max_uploads long, max_calls long, max_upload_ms long, max_call_ms long, max_prompt_bytes long, max_charge decimal(18,8), unlimited boolean"
+    limits = spark.createDataFrame([(1, 0, 0, 0, 0, 0, Decimal(0), True), (2, 1, 2, 9000, 9000, 900, Decimal("3.5"), False)], "auth_id long, " + caps)
+    got = {r.event_id: r.accepted for r in decide_reservations(reservations(spark, rows), limits).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False, 5: True, 6: True, 7: False, 8: True, 9: True, 10: True}
+    over = {r.auth_id: r.over for r in ledger_status(reservations(spark, rows), limits).collect()}
+    assert over == {1: "full_uploads,full_calls", 2: "calls,charge"}
+
+
+def test_settled_usage_replaces_the_estimate(spark):
+    day = datetime.datetime(2024, 1, 1)
+    events = reservations(spark, [(1, 1, "upload", 10, 10, 0.0, None, None, day), (1, 2, "call", 10, 10, 0.5, None, None, day), (1, 3, "call", 10, 10, 0.25, None, None, day)])
+    receipts = spark.createDataFrame([(1, 2, 10, 10, 10, 1), (1, 2, 1_000_000, 500_000, 500_000, 2), (1, 3, 5, None, 1, 1), (1, 9, 1, 1, 1, 1), (1, 1, 1, 1, 1, 1)],
+                                     "auth_id long, event_id long, input_tokens long, output_tokens long, thought_tokens long, recorded_at long")
+    got = {r.event_id: (r.charge and float(r.charge), r.error) for r in settle_usage(events, receipts, ("0.3", "1.2")).collect()}
+    assert got == {1: (0.0, "unknown_event"), 2: (1.5, None), 3: (0.25, None), 9: (None, "unknown_event")}
+
+
+def test_a_repeated_micro_batch_adds_no_row(spark, tmp_path):
+    write = flows.epochs(str(tmp_path / "out"))
+    for epoch, n in ((0, 3), (1, 2), (1, 2), (0, 3)):
+        write(spark.range(n), epoch)
+    assert flows.read_epochs(spark, str(tmp_path / "out"), "id long").count() == 5
 
 
 def test_receipts_refresh_only_touched_tracks(spark):
