@@ -64,6 +64,23 @@ def interval_join(
     return joined.drop("_b", "_rb", *[f"_r_{name}" for name in by])
 
 
+def sums_before(rows: DataFrame, asks: DataFrame, by: Sequence[str], values: Sequence[str], chunk: Column) -> DataFrame:
+    """For every asked point, the sums of `values` over the rows that lie before it (at < point).
+
+    `rows`: by, at, values. `asks`: by, at. Returns by, at, values. The sum over a range is the
+    difference of two points, so long ranges cost no more than short ones and no pair list is built.
+    `chunk` bounds the scan, see `ordered`.
+    """
+    by, values = list(by), list(values)
+    kinds = dict(rows.dtypes)
+    points = asks.select(*by, "at", *[F.lit(0).cast(kinds[v]).alias(v) for v in values], F.lit(True).alias("_asked")).distinct()
+    every = rows.select(*by, "at", *values, F.lit(False).alias("_asked")).unionByName(points)
+    # One row per point, summed before the shuffle.
+    level = every.groupBy(*by, "at").agg(*[F.sum(v).alias(v) for v in values], F.max("_asked").alias("_asked"))
+    ranked = scan(level, by, ["at"], chunk, sum_before={f"_b_{v}": v for v in values})
+    return ranked.where("_asked").select(*by, "at", *[F.col(f"_b_{v}").alias(v) for v in values])
+
+
 def with_partner(
     left: DataFrame,
     right: DataFrame,

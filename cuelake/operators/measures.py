@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuelake.functions import cps, letter_tokens, norm_text
-from cuelake.functions.base import idiv, let
-from cuelake.operators.intervals import covers, interval_join
+from cuelake.functions.base import idiv
+from cuelake.operators.intervals import covers, interval_join, sums_before
 from cuelake.operators.ordered import id_chunk, scan
 from cuelake.session import spread
 
@@ -137,30 +137,35 @@ def window_text(windows: DataFrame, cues: DataFrame) -> DataFrame:
         "cue_text", F.coalesce("cue_text", F.lit("")))
 
 
-CODED = T.StructType([T.StructField("h", T.StringType()), T.StructField("w", T.StringType())])
-
-
-@F.pandas_udf(CODED)
-def _coded(heard: pd.Series, written: pd.Series) -> pd.DataFrame:
-    """Give each distinct word of a pair one code point of its own."""
-    rows = []
-    for a, b in zip(heard, written):
-        codes: dict[str, str] = {}
-        rows.append(tuple("".join(codes.setdefault(word, chr(0x10000 + len(codes))) for word in side) for side in (a, b)))
-    return pd.DataFrame(rows, columns=["h", "w"])
-
-
-def word_edits(heard: Column, written: Column) -> Column:
-    """Word edit distance of two token arrays: words become characters, then the built-in distance.
-
-    Near pairs finish inside a narrow band (the bounded form gives -1 beyond it); only far ones
-    pay for the whole table. The result is exact either way.
-    """
-    def distance(pair: Column) -> Column:
-        banded = [F.nullif(F.levenshtein(pair["h"], pair["w"], band), F.lit(-1)) for band in (32, 512)]
-        return F.coalesce(*banded, F.levenshtein(pair["h"], pair["w"]))
-
-    return let(_coded(heard, written), distance)
+def _distance(heard: list, written: list) -> int:
+    """Word edits between two word lists. Common ends are cut off; of the rest, one column of the edit
+    table at a time is held as two bit sets (where it rises and where it falls), one bit a word."""
+    m = min(len(heard), len(written))
+    front = next((i for i in range(m) if heard[i] != written[i]), m)
+    back = next((i for i in range(m - front) if heard[-1 - i] != written[-1 - i]), m - front)
+    a, b = heard[front : len(heard) - back], written[front : len(written) - back]
+    if not a or not b:
+        return len(a) + len(b)
+    places: dict[object, int] = {}
+    for i, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << i
+    whole, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    rise, fall, edits = whole, 0, len(a)
+    for word in b:
+        equal = places.get(word, 0)
+        level = equal | fall
+        carry = (((equal & rise) + rise) ^ rise) | equal
+        up, down = fall | (whole & ~(carry | rise)), rise & carry
+        edits += bool(up & last) - bool(down & last)
+        up, down = (up << 1 | 1) & whole, down << 1 & whole
+        rise, fall = down | (whole & ~(level | up)), up & level
+    return edits
+
+
+@F.pandas_udf(T.LongType())
+def word_edits(heard: pd.Series, written: pd.Series) -> pd.Series:
+    """Word edit distance of two token arrays, of any length; memory follows the longer one."""
+    return pd.Series([_distance(list(a), list(b)) for a, b in zip(heard, written, strict=True)], dtype="int64")
 
 
 def word_disagreement(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -168,7 +173,7 @@ def word_disagreement(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
     hyp = F.filter(F.split(norm_text("hypothesis"), " "), lambda w: w != "")
     ref = F.filter(F.split(norm_text("reference"), " "), lambda w: w != "")
     scored = spread(pairs, *pairs.columns).withColumn("_h", hyp).withColumn("_r", ref).select(
-        *by, word_edits(F.col("_h"), F.col("_r")).cast("bigint").alias("edits"),
+        *by, word_edits("_h", "_r").alias("edits"),
         F.size("_r").cast("bigint").alias("words"))
     return scored.groupBy(*by).agg(F.sum("edits").alias("edits"), F.sum("words").alias("words")).withColumn(
         "disagreement", F.round(F.col("edits") / F.nullif(F.col("words"), F.lit(0)), 4))
@@ -398,7 +403,8 @@ def mapped_events(events: DataFrame, frames: DataFrame, clips: DataFrame, per_se
     """Clip-relative events on the media clock, with the mean frame confidence inside each.
 
     `events`: clip_id, event_id, label, first_s, last_s. `frames`: clip_id, frame_no, label, p.
-    `clips`: clip_id, track_id, start_ms, end_ms.
+    `clips`: clip_id, track_id, start_ms, end_ms. Means come from running sums at both ends of an
+    event, so no event is paired with its frames.
     """
     placed = events.join(clips, "clip_id").select(
         "clip_id", "track_id", "event_id", "label",
@@ -406,10 +412,16 @@ def mapped_events(events: DataFrame, frames: DataFrame, clips: DataFrame, per_se
         F.least("end_ms", F.col("start_ms") + F.bround(F.col("last_s") * 1000, 0).cast("bigint")).alias("stop_ms"),
         F.bround(F.col("first_s") * per_second, 0).cast("bigint").alias("f0"),
         F.bround(F.col("last_s") * per_second, 0).cast("bigint").alias("f1"))
-    asked = placed.select("clip_id", "label", "event_id", "f0", "f1").where(F.col("f0") < F.col("f1"))
-    points = frames.select("clip_id", "label", "p", F.col("frame_no").alias("r_start"), (F.col("frame_no") + 1).alias("r_end"))
-    means = interval_join(asked, points, ["clip_id", "label"], "f0", "f1", width=1000).groupBy(
-        "clip_id", "event_id").agg(F.avg("p").alias("confidence"))
+    by = ["clip_id", "label"]
+    asked = placed.select(*by, "event_id", "f0", "f1").where(F.col("f0") < F.col("f1"))
+    # Exact decimals, so that a difference of running sums is the sum in between.
+    points = frames.select(*by, F.col("frame_no").alias("at"), F.col("p").cast("decimal(20,15)").alias("p"), F.lit(1).cast("bigint").alias("n")).where(F.col("p").isNotNull())
+    ends = asked.select(*by, F.explode(F.array("f0", "f1")).alias("at"))
+    sums = sums_before(points, ends, by, ["p", "n"], id_chunk("at"))
+    edge = lambda at, name: sums.select(*by, F.col("at").alias(at), F.col("p").alias(f"{name}p"), F.col("n").alias(f"{name}n"))
+    both = asked.join(edge("f0", "a"), [*by, "f0"]).join(edge("f1", "b"), [*by, "f1"])
+    n = F.col("bn") - F.col("an")
+    means = both.select("clip_id", "event_id", F.when(n > 0, (F.col("bp") - F.col("ap")).cast("double") / n).alias("confidence"))
     return placed.where(F.col("begin_ms") < F.col("stop_ms")).join(means, ["clip_id", "event_id"], "left").select(
         "track_id", "clip_id", "event_id", "label", F.col("begin_ms").alias("start_ms"),
         F.col("stop_ms").alias("end_ms"), "confidence")

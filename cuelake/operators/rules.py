@@ -7,12 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuelake.functions import cps, is_label, row_hash, set_hash
+from cuelake.functions import cps, hash_slices, is_label, row_hash, slices_hash
 from cuelake.operators import intervals as iv
 from cuelake.operators import linking as lk
 from cuelake.operators import measures as ms
 from cuelake.operators import sequences as sq
-from cuelake.operators.ordered import id_chunk
+from cuelake.operators.ordered import id_chunk, time_chunk
 from cuelake.operators.scoring import first_per, reference_disagreement
 
 TRACK = ["track_id"]
@@ -209,13 +209,26 @@ def material(flags: DataFrame, from_ms: int = 2000) -> DataFrame:
 # --- content binding ------------------------------------------------------------------------
 
 def interval_sha(cues: DataFrame, spans: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Content hash of the cues inside each span; spans without cues get the empty hash."""
-    rows = cues.select("track_id", row_hash("start_ms", "end_ms", "text").alias("_row"),
-                       F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
-    pairs = iv.interval_join(spans.select("track_id", *key, "start_ms", "end_ms"), rows, TRACK)
-    hashed = pairs.groupBy("track_id", *key).agg(set_hash("_row").alias("interval_sha"))
-    return spans.join(hashed, ["track_id", *key], "left").withColumn(
-        "interval_sha", F.coalesce("interval_sha", F.sha2(F.lit("0:0:0:0:0"), 256)))
+    """Content hash of the cues inside each span; spans without cues (or length) get the empty hash.
+
+    What overlaps a span started before its end and had not ended by its start, so slice sums
+    of the span are a difference of two running sums: no cue is paired with a span.
+    """
+    sums = ["n", "s0", "s1", "s2", "s3"]
+    hashed = cues.select("track_id", "start_ms", "end_ms", row_hash("start_ms", "end_ms", "text").alias("_row"))
+    rows = hashed.select("track_id", "start_ms", "end_ms", F.lit(1).cast("bigint").alias("n"), *[v.alias(f"s{i}") for i, v in enumerate(hash_slices("_row"))])
+
+    def reached(at: str, ask: Column) -> DataFrame:
+        return iv.sums_before(rows.select("track_id", F.col(at).alias("at"), *sums), spans.select("track_id", ask.alias("at")), TRACK, sums, time_chunk("at"))
+
+    begun, over = reached("start_ms", F.col("end_ms")), reached("end_ms", F.col("start_ms") + 1)
+    asked = spans.withColumn("_e", F.col("end_ms")).withColumn("_s", F.col("start_ms") + 1)
+    asked = asked.join(begun.select("track_id", F.col("at").alias("_e"), *[F.col(v).alias(f"_b{v}") for v in sums]), ["track_id", "_e"], "left")
+    asked = asked.join(over.select("track_id", F.col("at").alias("_s"), *[F.col(v).alias(f"_o{v}") for v in sums]), ["track_id", "_s"], "left")
+    some = F.coalesce((F.col("start_ms") < F.col("end_ms")) & F.col("_bn").isNotNull(), F.lit(False))
+    inside = {v: F.when(some, F.col(f"_b{v}") - F.col(f"_o{v}")).otherwise(0) for v in sums}
+    sha = slices_hash(inside["n"], [inside[f"s{i}"] for i in range(4)])
+    return asked.select(*[F.col(c) for c in spans.columns], sha.alias("interval_sha"))
 
 
 def stale(rows: DataFrame, current: DataFrame, key: Sequence[str], sha: str = "sha", keep: bool = False) -> DataFrame:

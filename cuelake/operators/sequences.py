@@ -13,6 +13,7 @@ from cuelake.functions import midpoint, norm_text
 from cuelake.functions.base import idiv
 from cuelake.operators.intervals import interval_join
 from cuelake.operators.ordered import id_chunk, islands, scan, time_chunk
+from cuelake.session import cut_lineage
 
 TRACK = ["track_id"]
 
@@ -163,6 +164,27 @@ def _frames(rows: Iterator[dict], columns: Sequence[str], at_least: int = 10_000
         yield pd.DataFrame(_joined(held))[list(columns)]
 
 
+def _entered(table: DataFrame, by: Sequence[str], chunks: int) -> DataFrame:
+    """Where a walk from the front of each group enters its chunks, and how many batches lie before.
+
+    `table`: by, _chunk, _entry, _exit (entry row in the next chunk), _made. Each round joins the table
+    with itself, so that a row jumps twice as many chunks, and adds as many chunks again to those
+    whose entry is known: rounds follow the logarithm of the longest group, and no task sees a group.
+    """
+    by = list(by)
+    known = table.where("_chunk = 0 AND _entry = 0").select(*by, "_chunk", F.col("_entry").alias("_start"), F.lit(0).cast("bigint").alias("_done"))
+    jump, step = table, 1
+    while step < chunks:
+        jump, known = cut_lineage(jump), cut_lineage(known)
+        ahead = known.join(jump.withColumnRenamed("_entry", "_start"), [*by, "_chunk", "_start"]).select(
+            *by, (F.col("_chunk") + step).alias("_chunk"), F.col("_exit").alias("_start"), (F.col("_done") + F.col("_made")).alias("_done"))
+        known = known.unionByName(ahead)
+        second = jump.select(*by, (F.col("_chunk") - step).alias("_chunk"), F.col("_entry").alias("_exit"), F.col("_exit").alias("_far"), F.col("_made").alias("_more"))
+        jump = jump.join(second, [*by, "_chunk", "_exit"]).select(*by, "_chunk", "_entry", F.col("_far").alias("_exit"), (F.col("_made") + F.col("_more")).alias("_made"))
+        step *= 2
+    return known
+
+
 def greedy_batches(
     units: DataFrame,
     by: Sequence[str],
@@ -179,8 +201,8 @@ def greedy_batches(
     `units`: by, row_no (1..n dense), weight (bigint). The next start depends on the previous
     one, which looks sequential, but a jump is at most `max_rows` long. So every chunk works out,
     in parallel and for each of its possible entry rows, where a walk would leave it and how many
-    batches it makes; the small entry tables are chained per group as a stream; then chunks number
-    their rows in parallel. With `context_weight` a batch also pays for `context` rows before and
+    batches it makes; the small entry tables are chained by doubling (`_entered`); then chunks number
+    their rows in parallel. Chaining takes one small job to learn the number of chunks. With `context_weight` a batch also pays for `context` rows before and
     after it. A row that cannot start a batch gets batch_no NULL; the walk goes on behind it.
     """
     by = list(by)
@@ -231,23 +253,6 @@ def greedy_batches(
 
         yield from _frames(tables(), [*keys, "_entry", "_exit", "_made"])
 
-    def chain(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # One pass over sorted entry rows; memory is one row of state, whatever a group's length.
-        group, chunk, entry, done, after = None, None, 0, 0, (0, 0)
-        for pdf in frames:
-            out = []
-            for row in pdf[[*keys, "_entry", "_exit", "_made"]].itertuples(index=False, name=None):
-                if row[:len(by)] != group:
-                    group, chunk, after = row[:len(by)], None, (0, 0)
-                if row[len(by)] != chunk:
-                    chunk = row[len(by)]
-                    entry, done = after
-                    after = (-1, done)
-                    out.append((*group, chunk, entry, done))
-                if row[-3] == entry and row[-2] >= 0:
-                    after = (row[-2], done + row[-1])
-            yield pd.DataFrame(out, columns=[*keys, "_start", "_done"])
-
     def number(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def numbered():
             for key, group in _groups(frames, keys):
@@ -267,8 +272,8 @@ def greedy_batches(
         yield from _frames(numbered(), [*by, "row_no", "batch_no"])
 
     table = in_order(rows, keys, "row_no").mapInPandas(exits, f"{types}, _chunk bigint, _entry bigint, _exit bigint, _made bigint")
-    starts = in_order(table, by, "_chunk", "_entry").mapInPandas(chain, f"{types}, _chunk bigint, _start bigint, _done bigint")
-    ready = rows.join(starts, keys)
+    chunks = (units.agg(F.max("row_no")).first()[0] or 0) // size + 1
+    ready = rows.join(_entered(table, by, chunks), keys)
     out = in_order(ready, keys, "row_no").mapInPandas(number, f"{types}, row_no bigint, batch_no bigint")
     return out.withColumn("batch_no", F.nullif("batch_no", F.lit(0)))
 

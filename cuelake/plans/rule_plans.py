@@ -399,7 +399,14 @@ def window_status_t4(t):
     return sc.window_status(rows, 200).select("track_id", "start_ms", "status", "issue")
 
 
-@plan("ctc_scores_t14")
+@plan("ctc_scores_t14", """/*recursive*/, ev AS (SELECT vec_id AS clip_id, label, list_transform(embedding, lambda v: exp(v::DOUBLE)) AS e FROM embeddings),
+fr AS (SELECT clip_id, k AS frame_no, list_transform(list_slice(e, k * 8 + 1, k * 8 + 8), lambda v: v / list_sum(list_slice(e, k * 8 + 1, k * 8 + 8))) AS p FROM ev, range(64) g(k) WHERE k < len(e) // 8),
+ca AS (SELECT clip_id, 0 AS candidate_id, [0, 1, 0, 2, 0] AS s FROM ev UNION ALL SELECT clip_id, 1, [0, 3, 0, 3, 0] FROM ev UNION ALL SELECT clip_id, 2, [0, label % 7 + 1, 0] FROM ev),
+fw AS (SELECT clip_id, candidate_id, s, 0::BIGINT AS f, list_transform(range(0, len(s)), lambda j: CASE WHEN j = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS a FROM ca
+ UNION ALL SELECT fw.clip_id, candidate_id, s, f + 1, list_transform(range(0, len(s)), lambda j: p[s[j + 1] + 1] * (a[j + 1] + CASE WHEN j > 0 THEN a[j] ELSE 0 END + CASE WHEN j > 1 AND s[j + 1] <> 0 AND s[j + 1] <> s[j - 1] THEN a[j - 1] ELSE 0 END))
+ FROM fw JOIN fr ON fr.clip_id = fw.clip_id AND fr.frame_no = fw.f),
+z AS (SELECT clip_id, candidate_id, s, f AS n, ln(a[-1] + a[-2]) AS score FROM fw QUALIFY f = max(f) OVER (PARTITION BY clip_id, candidate_id))
+SELECT clip_id, candidate_id, round(score, 9) AS score, round(score / n, 9) AS per_frame, round(score / (len(s) // 2), 9) AS per_token FROM z""")
 def ctc_scores_t14(t):
     """Embeddings cut into frames of eight token scores; exhaustive path sums in the tests."""
     dims = F.transform("embedding", lambda v: v.cast("double"))
@@ -409,7 +416,7 @@ def ctc_scores_t14(t):
     total = F.log(F.aggregate("f", F.lit(0.0), lambda acc, v: acc + F.exp(v)))
     frames = rows.withColumn("_z", total).select("clip_id", "frame_no", F.transform("f", lambda v: v - F.col("_z")).alias("log_probs"))
     candidates = vec.select(F.col("vec_id").alias("clip_id"), F.posexplode(F.array(F.array(F.lit(1), F.lit(2)), F.array(F.lit(3), F.lit(3)), F.array((F.col("label") % 7 + 1).cast("int")))).alias("candidate_id", "tokens"))
-    out = sc.ctc_scores(frames, candidates)
+    out = sc.ctc_scores(frames, candidates, chunk=3)
     return out.select("clip_id", "candidate_id", *[F.round(c, 9).alias(c) for c in ("score", "per_frame", "per_token")])
 
 

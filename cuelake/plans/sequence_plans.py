@@ -131,9 +131,15 @@ def char_batches_w15(t):
     return sq.greedy_batches(numbered(t.cues, weight), ["track_id"], 100, 5000)
 
 
-@plan("byte_batches_w14")
+@plan("byte_batches_w14", """/*recursive*/, n AS (SELECT track_id, row_number() OVER (PARTITION BY track_id ORDER BY cue_id) AS row_no, strlen(text) + 24 AS w FROM cues),
+p AS MATERIALIZED (SELECT *, sum(w) OVER (PARTITION BY track_id ORDER BY row_no ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY track_id) AS n FROM n),
+k AS MATERIALIZED (SELECT a.track_id, a.row_no, count(*) FILTER (c.upto - coalesce(b.upto, 0) <= 12000 - 600) AS k FROM p a JOIN p e ON e.track_id = a.track_id AND e.row_no BETWEEN a.row_no AND a.row_no + 19
+ JOIN p c ON c.track_id = a.track_id AND c.row_no = least(a.n, e.row_no + 4) LEFT JOIN p b ON b.track_id = a.track_id AND b.row_no = a.row_no - 5 GROUP BY 1, 2),
+walk AS (SELECT track_id, row_no, k, CASE WHEN k > 0 THEN 1 ELSE 0 END::BIGINT AS batch_no FROM k WHERE row_no = 1
+ UNION ALL SELECT k.track_id, k.row_no, k.k, batch_no + CASE WHEN k.k > 0 THEN 1 ELSE 0 END FROM walk JOIN k ON k.track_id = walk.track_id AND k.row_no = walk.row_no + greatest(walk.k, 1))
+SELECT track_id, row_no + CAST(g AS BIGINT) AS row_no, CASE WHEN k > 0 THEN batch_no END AS batch_no FROM walk, range(20) r(g) WHERE g < greatest(k, 1)""")
 def byte_batches_w14(t):
-    """Input bytes with four rows of context on each side; checked against brute force in tests."""
+    """Input bytes with four rows of context on each side."""
     weight = (F.octet_length("text") + 24).cast("bigint")
     return sq.greedy_batches(numbered(t.cues, weight), ["track_id"], 20, 12_000, fixed=600,
                              context=4, context_weight=True)

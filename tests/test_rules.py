@@ -2,6 +2,8 @@ import itertools
 import math
 import random
 
+import pytest
+
 from cuelake.operators import ledger as lg
 from cuelake.operators import measures as ms
 from cuelake.operators import rules as rl
@@ -92,6 +94,26 @@ def test_ctc_equals_all_paths(spark):
     assert got[4] == -math.inf
 
 
+@pytest.mark.parametrize("chunk", [1, 2, 64])
+def test_ctc_of_a_long_clip_in_chunks(spark, chunk):
+    """A clip of many chunks against the forward table of one candidate; a token out of range has no path."""
+    rng = random.Random(5)
+    probs = [[rng.random() + 0.1 for _ in range(4)] for _ in range(70)]
+    probs = [[p / sum(row) for p in row] for row in probs]
+    frames = spark.createDataFrame([(k, i, [math.log(p) for p in row]) for i, row in enumerate(probs) for k in (1, 2) if k == 1 or i < 9], "clip_id long, frame_no long, log_probs array<double>")
+    cands = spark.createDataFrame([(1, 0, [1, 2, 2, 3]), (2, 0, [1, 2, 2, 3]), (1, 1, [9]), (1, 2, [])], "clip_id long, candidate_id long, tokens array<int>")
+    got = {(r.clip_id, r.candidate_id): (r.score, r.per_frame, r.per_token) for r in sc.ctc_scores(frames, cands, chunk=chunk).collect()}
+    for clip, n in ((1, 70), (2, 9)):
+        states = [0, 1, 0, 2, 0, 2, 0, 3, 0]
+        alpha = [1.0] + [0.0] * 8
+        for row in probs[:n]:
+            alpha = [(alpha[j] + (alpha[j - 1] if j else 0) + (alpha[j - 2] if j > 1 and states[j] and states[j] != states[j - 2] else 0)) * row[states[j]] for j in range(9)]
+        want = math.log(alpha[-1] + alpha[-2])
+        assert all(math.isclose(x, y, rel_tol=1e-9) for x, y in zip(got[clip, 0], (want, want / n, want / 4)))
+    assert got[1, 1][0] == -math.inf
+    assert math.isclose(got[1, 2][0], sum(math.log(row[0]) for row in probs), rel_tol=1e-9) and got[1, 2][2] is None
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -109,6 +131,20 @@ def test_word_disagreement(spark):
     assert got.edits == sum(edits(a, b) for _, a, b in pairs) and got.words == sum(len(b) for _, _, b in pairs)
 
 
+def test_word_edits_of_any_length():
+    """Short lists against the whole table; long ones, with more distinct words than there are code points, by construction."""
+    rng = random.Random(6)
+    for _ in range(400):
+        words = rng.choice(["ab", "abcdefgh"])
+        a, b = ([rng.choice(words) for _ in range(rng.randrange(0, 40))] for _ in range(2))
+        assert ms._distance(a, b) == edits(a, b)
+    a = [str(i) for i in range(1_200_000)]
+    assert ms._distance(a, [*a[:1000], "x", *a[1000:]]) == 1
+    assert ms._distance(a, a[:-1]) == 1 and ms._distance([], a) == len(a)
+    long = a[:6000]
+    assert ms._distance(long, [x + "!" if i % 3 == 0 else x for i, x in enumerate(long)]) == 2000
+
+
 NAMES = ["Mecnun", "Pakize", "Karabasan", "Ak Sakallı Dede", "Leyla"]
 # Fixed cases: old line, new line, accepted or not.
 REPAIRS = [

@@ -105,6 +105,7 @@ def test_greedy_batches_equal_the_walk(spark):
             want[track, name] = walk(weights, 20, 2000, **kw)
     df = spark.createDataFrame(rows, "track_id long, row_no long, weight long")
     for name, kw in (("rows", {}), ("context", dict(fixed=50, context=4, context_weight=True))):
+        # Up to nine chunks a track: four rounds of doubling.
         got = sq.greedy_batches(df, ["track_id"], 20, 2000, chunk_rows=37, **kw).collect()
         assert len(got) == len(rows)
         for track in range(6):
@@ -139,4 +140,4 @@ def test_scan_gaps(spark):
 def test_grouping_shuffles_are_kept(spark):
     df = spark.createDataFrame([(1, i, 10) for i in range(1, 102)], "track_id long, row_no long, weight long")
     text = sq.greedy_batches(df, ["track_id"], 100, 5000)._jdf.queryExecution().executedPlan().toString()
-    assert text.count("hashpartitioning(xxhash64(") >= 3
+    assert text.count("hashpartitioning(xxhash64(") >= 2
