@@ -17,6 +17,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that `df` does not use, whatever the case of letters."""
+    taken, name = {c.lower() for c in df.columns}, stem
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def few_at_a_time(batches, column: int = 1, rows: int = 512, size: int = 1 << 20):
+    """Arrow batches cut to at most `rows` rows and about `size` bytes of text; a longer text comes alone."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(batch):
+            before = ends[at - 1] if at else 0
+            n = min(rows, max(1, int(np.searchsorted(ends, before + size, side="right")) - at))
+            yield batch.slice(at, n)
+            at += n
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; where it is unset (tests, one machine) a folder of this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cuelake.llm.common import read, stage
+from cuelake.llm.common import few_at_a_time, read, stage
 
 WIDTH = 3
 LEAST = 0.5
@@ -33,6 +33,7 @@ SLACK = 8
 BITS = 23
 MATCH, MISS, GAP = 2, -1, -1
 CELLS = 2_000_000
+PAIRS = 2_000  # aligned at a time
 
 _word = re.compile(r"\w+")
 
@@ -73,7 +74,7 @@ def item_grams(items: DataFrame, width: int) -> DataFrame:
     """(item_id, words, grams) of each test item."""
 
     def batches(parts):
-        for part in parts:
+        for part in few_at_a_time(parts):
             words = coded(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([w.view("i8") for w in words], pa.list_(pa.int64())), pa.array([grams(w, width).view("i8") for w in words], pa.list_(pa.int64()))],
@@ -107,7 +108,7 @@ def passages(docs: DataFrame, bitmap, reach: int, width: int) -> DataFrame:
         import numpy as np
 
         full = np.unpackbits(bitmap, bitorder="little").view(bool)
-        for part in parts:
+        for part in few_at_a_time(parts):
             ids, starts, words, hits = [], [], [], []
             for doc, codes in zip(part.column(0).to_pylist(), coded(part.column(1).to_pylist()), strict=True):
                 gram = grams(codes, width)
@@ -188,7 +189,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST, width: int =
     def batches(parts):
         import numpy as np
 
-        for part in parts:
+        for part in (part.slice(k, PAIRS) for part in parts for k in range(0, len(part), PAIRS)):
             t = [np.asarray(x.values.to_numpy()) for x in part.column(3)]
             q = [np.asarray(x.values.to_numpy()) for x in part.column(4)]
             able = [k for k in range(len(q)) if reachable(q[k], t[k], least)]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cuelake.llm.common import components, read, stage
+from cuelake.llm.common import components, few_at_a_time, fresh, read, stage
 
 BITS_AT_ONCE = 1 << 16
 SHINGLE = 5
@@ -109,11 +109,12 @@ def near_groups(docs: DataFrame, width: int = 3, seed: int = 42, max_distance: i
 
 
 def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataFrame:
-    """(doc_id, node, size, f0 .. f3, keys, hashes) for every row; equal sets have equal nodes.
+    """(doc_id, mark, node, size, f0 .. f3, keys, hashes) for every row; equal sets have equal nodes,
+    rows of equal text equal marks.
 
     `hashes` are the set itself, `keys` the pairs of its smallest, f0 .. f3 its SimHash of 256 bits.
     """
-    schema = "doc_id long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<long>"
+    schema = "doc_id long, mark long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<long>"
 
     def batches(parts):
         import numpy as np
@@ -144,14 +145,18 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataF
             node = int(np.uint64(digest(hashes.tobytes(), seed)).view(np.int64))
             return node, len(hashes), *prints, pairs.view("i8"), hashes.view("i8")
 
-        for part in parts:
+        for part in few_at_a_time(parts):
             columns = list(zip(*map(row, part.column(1).to_pylist()), strict=True)) or [[]] * 8
             kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                names=["doc_id", "node", "size", "f0", "f1", "f2", "f3", "keys", "hashes"])
+                [part.column(0), part.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "mark", "node", "size", "f0", "f1", "f2", "f3", "keys", "hashes"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text", text_mark()).mapInArrow(batches, schema)
+
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, schema)
+def text_mark():
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,7 +168,8 @@ def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id) for every row, by five-word similarity of 0.8 or more."""
+    """(doc_id, mark, component_id, root) for every row, by five-word similarity of 0.8 or more; a
+    component has one root, also where an id is repeated in several."""
     sets = stage(shingle_sets(docs), "sets")
     marks = ["size", "f0", "f1", "f2", "f3"]
     nodes = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in marks])
@@ -186,18 +192,21 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     roots = components(links.union(more))
     smallest = sets.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
-    return sets.select("doc_id", "node").join(smallest.select("node", "root").join(low, "root"), "node").select("doc_id", "component_id")
+    return sets.select("doc_id", "mark", "node").join(smallest.select("node", "root").join(low, "root"), "node").select("doc_id", "mark", "component_id", "root")
 
 
 def first_of_groups(docs: DataFrame) -> DataFrame:
     """`docs` with one row for each group of similar documents: that of its smallest doc_id.
 
-    Of rows that repeat that id the one with the smallest text stays; rows without an id all stay.
+    A row is judged within its own group, so rows that share an id but not their text are documents
+    of their own; of similar rows with one id one stays. Rows without an id all stay.
     """
-    first = similar_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_kept"), "left_semi")
-    once = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("_nth of its id", F.row_number().over(once)).where(F.col("_nth of its id") == 1).drop("_nth of its id")
+    rows = similar_groups(docs).where("doc_id = component_id").groupBy("root").agg(F.first("doc_id").alias("kept id"), F.min("mark").alias("kept mark"))
+    mark, nth = fresh(docs, "mark"), fresh(docs, "nth")
+    kept = docs.where("doc_id IS NOT NULL").withColumn(mark, text_mark())
+    kept = kept.join(rows.select("kept id", "kept mark").distinct(), (kept["doc_id"] == rows["kept id"]) & (kept[mark] == rows["kept mark"]), "left_semi")
+    once = Window.partitionBy("doc_id", mark).orderBy("doc_id")  # equal rows
+    kept = kept.withColumn(nth, F.row_number().over(once)).where(F.col(nth) == 1).select(*docs.columns)
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
