@@ -112,9 +112,10 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataF
     """(doc_id, mark, node, size, f0 .. f3, keys, hashes) for every row; equal sets have equal nodes,
     rows of equal text equal marks.
 
-    `hashes` are the set itself, `keys` the pairs of its smallest, f0 .. f3 its SimHash of 256 bits.
+    `hashes` are the set itself (32 bits of each hash: a wrong match takes two shingles that
+    share them, one in four billion, and counts as one shingle), `keys` the pairs of its smallest, f0 .. f3 its SimHash of 256 bits.
     """
-    schema = "doc_id long, mark long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<long>"
+    schema = "doc_id long, mark long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<int>"
 
     def batches(parts):
         import numpy as np
@@ -143,11 +144,11 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataF
             chosen = right < len(few)
             pairs = (few[left[chosen]] * np.uint64(0x9E3779B97F4A7C15)) ^ few[right[chosen]]
             node = int(np.uint64(digest(hashes.tobytes(), seed)).view(np.int64))
-            return node, len(hashes), *prints, pairs.view("i8"), hashes.view("i8")
+            return node, len(hashes), *prints, pairs.view("i8"), np.unique(hashes.astype("<u4")).view("<i4")
 
         for part in few_at_a_time(parts):
             columns = list(zip(*map(row, part.column(1).to_pylist()), strict=True)) or [[]] * 8
-            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
                 names=["doc_id", "mark", "node", "size", "f0", "f1", "f2", "f3", "keys", "hashes"])
@@ -162,7 +163,7 @@ def text_mark():
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The (u, v) of `pairs` whose shingle sets have a similarity of 0.8 or more."""
     own = sets.select("node", "hashes").join(pairs.select("u").union(pairs.select("v")).distinct(), F.col("node") == F.col("u"), "left_semi").dropDuplicates(["node"])
-    own = stage(own, "alike")
+    own = stage(own, "alike")  # sets without a partner move once at most
     both = pairs.join(own.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(own.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
 
