@@ -34,6 +34,7 @@ BITS = 23
 MATCH, MISS, GAP = 2, -1, -1
 CELLS = 2_000_000
 PAIRS = 2_000  # aligned at a time
+AT_ONCE = 4 << 20  # bytes of text coded at a time: words are hashed once in each
 
 _word = re.compile(r"\w+")
 
@@ -74,7 +75,7 @@ def item_grams(items: DataFrame, width: int) -> DataFrame:
     """(item_id, words, grams) of each test item."""
 
     def batches(parts):
-        for part in few_at_a_time(parts):
+        for part in few_at_a_time(parts, rows=4096, size=AT_ONCE):
             words = coded(part.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([w.view("i8") for w in words], pa.list_(pa.int64())), pa.array([grams(w, width).view("i8") for w in words], pa.list_(pa.int64()))],
@@ -108,7 +109,7 @@ def passages(docs: DataFrame, bitmap, reach: int, width: int) -> DataFrame:
         import numpy as np
 
         full = np.unpackbits(bitmap, bitorder="little").view(bool)
-        for part in few_at_a_time(parts):
+        for part in few_at_a_time(parts, rows=4096, size=AT_ONCE):
             ids, starts, words, hits = [], [], [], []
             for doc, codes in zip(part.column(0).to_pylist(), coded(part.column(1).to_pylist()), strict=True):
                 gram = grams(codes, width)
