@@ -32,8 +32,9 @@ from cuelake.llm.common import components, few_at_a_time, fresh, read, stage
 BITS_AT_ONCE = 1 << 16
 SHINGLE = 5
 SKETCH = 8
-#: Fingerprints of 256 bits of sets of MANY shingles or more; at 0.8, 39 bits differ (deviation 6).
-FAR, MANY = 72, 64
+#: Fingerprints of 256 bits of sets of MANY shingles or more; at 0.8, 39 bits differ (deviation 6),
+#: and 2 in 10,000 such pairs lie beyond FAR; at 0.5, 68 bits differ.
+FAR, MANY = 60, 64
 
 
 def simhash(text: str | None, width: int = 3, seed: int = 42) -> int:
