@@ -16,7 +16,7 @@ from cuelake.plans.link_plans import LINKS_SQL, SHIFTED, clock
 from cuelake.plans.measure_plans import STATUS, has, unit_words
 from cuelake.plans.registry import plan
 from cuelake.plans.sequence_plans import CLIPS, RUNS
-from cuelake.plans.views import norm
+from cuelake.plans.views import norm, tokens
 
 T = ["track_id"]
 
@@ -55,7 +55,7 @@ def issue_union_x1(t):
 
 @plan("reference_disagreement_t1")
 def reference_disagreement_t1(t):
-    """Reference lines against the draft lines they overlap; difflib has no SQL twin."""
+    """Reference lines against the draft lines they overlap; DuckDB edits bytes, not characters, so no SQL twin."""
     other = t.ref.withColumn("text", F.when(has("text", "q"), F.reverse("text")).otherwise(F.col("text")))
     return sc.reference_disagreement(t.cues, lk.shifted_reference(other, clock(t), t.media))
 
@@ -379,7 +379,21 @@ def open_findings_t16(t):
 
 # --- text scoring ---------------------------------------------------------------------------
 
-@plan("token_diff_t2")
+# Words of both sides with their occurrence; what has no partner forms runs.
+WORD_RUNS = """, jt AS (SELECT h.track_id, h.start_ms, coalesce(string_agg(c.text, ' ' ORDER BY c.cue_id), '') AS cue_text FROM heard h
+ LEFT JOIN target c ON c.track_id=h.track_id AND c.start_ms < h.end_ms AND c.end_ms > h.start_ms GROUP BY 1, 2),
+sd AS (SELECT track_id, start_ms, 'h' AS side, {th} AS w FROM heard UNION ALL SELECT track_id, start_ms, 'w', {tw} FROM jt),
+tk AS (SELECT track_id, start_ms, side, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM sd),
+oc AS (SELECT *, row_number() OVER (PARTITION BY track_id, start_ms, side, word ORDER BY pos) AS nth FROM tk),
+ln AS (SELECT *, pos - row_number() OVER (PARTITION BY track_id, start_ms, side ORDER BY pos) AS g FROM oc a
+ WHERE NOT EXISTS (SELECT 1 FROM oc b WHERE b.track_id=a.track_id AND b.start_ms=a.start_ms AND b.side<>a.side AND b.word=a.word AND b.nth=a.nth)),
+rn AS (SELECT track_id, start_ms, side, g, count(*) AS n, min(pos) AS f, bool_or(word IN ('evet','hayır','değil','yok','var','asla','hiç','no','not','never','yes')) AS turned FROM ln GROUP BY ALL),
+tp AS (SELECT * FROM rn QUALIFY row_number() OVER (PARTITION BY track_id, start_ms, side ORDER BY n DESC, f) = 1)""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4").format(th=tokens("text"), tw=tokens("cue_text"))
+
+
+@plan("token_diff_t2", WORD_RUNS + """
+SELECT h.track_id, h.start_ms, coalesce(a.n, 0)::INTEGER AS unmatched, coalesce(b.n, 0)::INTEGER AS unsupported, coalesce(a.turned, false) OR coalesce(b.turned, false) AS polarity
+FROM heard h LEFT JOIN tp a ON a.track_id=h.track_id AND a.start_ms=h.start_ms AND a.side='h' LEFT JOIN tp b ON b.track_id=h.track_id AND b.start_ms=h.start_ms AND b.side='w'""")
 def token_diff_t2(t):
     d = F.col("_d")
     return sc.token_diff(ms.window_text(t.heard, t.target)).select("track_id", "start_ms", d["longest_unmatched"].alias("unmatched"), d["longest_unsupported"].alias("unsupported"), d["polarity"].alias("polarity"))

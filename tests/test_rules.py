@@ -209,14 +209,32 @@ def test_one_edit_leaves_other_windows_cached(spark):
     assert work(moved) == ["remapped"] * 10
 
 
-def test_reference_disagreement_equals_difflib(spark):
-    from difflib import SequenceMatcher
-
+def test_reference_disagreement(spark):
     cues = [(1, 1, 0, 2000, "where did you go last night"), (1, 2, 2000, 4000, "I was at home"), (1, 3, 9000, 9900, "nothing alike here at all")]
     ref = [(1, 7, 100, 2400, "where did you go last night"), (1, 8, 9100, 9800, "zzz qqq www vvv kkk jjj xxx"), (1, 9, 100, 900, "too short")]
     shifted = spark.createDataFrame(ref, "track_id long, ref_id long, start_ms long, end_ms long, text string")
     got = {r.ref_id: r.similarity for r in sc.reference_disagreement(spark.createDataFrame(cues, CUE), shifted, below=1.1).collect()}
     near = {7: "where did you go last night i was at home", 8: "nothing alike here at all"}
-    assert got == {k: round(SequenceMatcher(None, dict((r[1], r[4]) for r in ref)[k], text).ratio(), 3) for k, text in near.items()}
+    assert got == {k: round(1 - edits((own := dict((r[1], r[4]) for r in ref)[k]), text) / max(len(own), len(text)), 3) for k, text in near.items()}
     low = sc.reference_disagreement(spark.createDataFrame(cues, CUE), shifted).collect()
     assert [r.ref_id for r in low] == [8]
+
+
+def test_token_diff(spark):
+    """Literal cases: runs on both sides, repeated words, words that move, empty sides."""
+    rows = [
+        (1, 0, "we will not go home today", "we go home today my friend"), (1, 1, "go go go", "go"), (1, 2, "", "all of this is extra"), (1, 3, "a b c", ""),
+        (1, 4, "one two three", "three two one"), (1, 5, "a x y b z", "a b"), (1, 6, "", ""),
+    ]
+    df = spark.createDataFrame(rows, "track_id long, start_ms long, text string, cue_text string")
+    got = {r.start_ms: tuple(r["_d"]) for r in sc.token_diff(df).collect()}
+    assert got == {
+        0: (2, "will not", 2, "my friend", True), 1: (2, "go go", 0, "", False), 2: (0, "", 5, "all of this is extra", False), 3: (3, "a b c", 0, "", False),
+        4: (0, "", 0, "", False), 5: (2, "x y", 0, "", False), 6: (0, "", 0, "", False),
+    }
+
+
+def test_moved_words_are_no_repair(spark):
+    names = spark.createDataFrame([("Mecnun",)], "name string")
+    edits_ = spark.createDataFrame([(1, "Necnun geldi dün", "Mecnun geldi dün"), (2, "geldi dün Necnun", "dün geldi Mecnun"), (3, "geldi dün", "dün geldi")], "edit_id long, old string, new string")
+    assert {r.edit_id: r.accepted for r in sc.repair_gate(edits_, names).collect()} == {1: True, 2: False, 3: False}
