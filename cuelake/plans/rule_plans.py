@@ -15,6 +15,7 @@ from cuelake.plans.interval_plans import GAPS, MEANINGFUL, MERGE, SILENT, STRICT
 from cuelake.plans.link_plans import LINKS_SQL, SHIFTED, clock
 from cuelake.plans.measure_plans import STATUS, has, unit_words
 from cuelake.plans.registry import plan
+from cuelake.plans.scalar_plans import loop_sql
 from cuelake.plans.sequence_plans import CLIPS, RUNS
 from cuelake.plans.views import norm, tokens
 
@@ -399,7 +400,18 @@ def token_diff_t2(t):
     return sc.token_diff(ms.window_text(t.heard, t.target)).select("track_id", "start_ms", d["longest_unmatched"].alias("unmatched"), d["longest_unsupported"].alias("unsupported"), d["polarity"].alias("polarity"))
 
 
-@plan("window_classes_t3")
+@plan("window_classes_t3", WORD_RUNS + f""",
+un AS (SELECT track_id, start_ms, count(*) AS n FROM ln WHERE side='h' GROUP BY 1, 2),
+dg AS (SELECT track_id, start_ms, coalesce(list_bool_or(list_transform(w, lambda x: length(x) > 40)), false) OR {loop_sql(4)} OR
+ (len(w) >= 8 AND list_max(list_transform(list_distinct(w), lambda x: len(list_filter(w, lambda y: y = x)))) > 0.45 * len(w)) AS looped FROM sd WHERE side='h'),
+st AS (SELECT h.track_id, h.start_ms, len(h.w) AS nh, len(x.w) AS nw, looped, CASE WHEN len(h.w) > 0 THEN round((len(h.w) - coalesce(un.n, 0)) * 1.0::DOUBLE / len(h.w), 3) END AS ag,
+  coalesce(a.n, 0) AS mi, coalesce(b.n, 0) AS ex, coalesce(a.turned, false) OR coalesce(b.turned, false) AS turned
+ FROM sd h JOIN sd x ON x.track_id=h.track_id AND x.start_ms=h.start_ms AND x.side='w' JOIN dg ON dg.track_id=h.track_id AND dg.start_ms=h.start_ms LEFT JOIN un ON un.track_id=h.track_id AND un.start_ms=h.start_ms
+ LEFT JOIN tp a ON a.track_id=h.track_id AND a.start_ms=h.start_ms AND a.side='h' LEFT JOIN tp b ON b.track_id=h.track_id AND b.start_ms=h.start_ms AND b.side='w' WHERE h.side='h')
+SELECT track_id, start_ms, nh AS heard_words, nw AS written_words, ag AS word_agreement, mi::INTEGER AS longest_unmatched, ex::INTEGER AS longest_unsupported,
+ CASE WHEN looped THEN 'repeated_asr_output'
+  WHEN nh > 0 AND ((greatest(nh, nw) <= 20 AND (mi >= 3 OR turned OR (nh >= 6 AND ag < 0.25))) OR (greatest(nh, nw) > 20 AND mi >= 6 AND ag < 0.65)) THEN 'possible_missing_or_wrong_subtitle'
+  WHEN nh > 0 AND ((greatest(nh, nw) <= 20 AND ex >= 3) OR (greatest(nh, nw) > 20 AND ex >= 8 AND ag < 0.6)) THEN 'possible_unsupported_subtitle' END AS issue FROM st""")
 def window_classes_t3(t):
     return sc.classify_window(ms.window_text(t.heard, t.target)).select("track_id", "start_ms", "heard_words", "written_words", "word_agreement", "longest_unmatched", "longest_unsupported", "issue")
 
