@@ -15,10 +15,12 @@ other columns of the input are ignored.
 `similar_groups` is for corpora: groups of true similarity, |A and B| / |A or B| >= 0.8 over the sets
 of five-word shingles. A radius of bits that reaches 0.8 leaves no segment long enough to look up (15 of
 100 bits differ there, so 28 bits agree up to one in 6 of 100 pairs). So pairs meet where they share two of the
-`SKETCH` smallest shingle hashes of each (missed by less than 1 in 10,000 pairs at 0.8), SimHash of
-256 bits drops the clearly unlike, and the sets themselves decide. Equal sets collapse first. Then
-every row of a key is compared with the key's first, and only rows of a key that this leaves in
-different groups are compared with each other.
+`SKETCH` smallest shingle hashes of each (missed by less than 1 in 10,000 pairs at 0.8), each pair at one
+key only: that of their two smallest shared hashes. Before the sets themselves decide, two sketches
+drop the unlike: parities of 512 shingle classes, of which two sets differ in no more than the
+shingles that only one of them has (an exact bound), and, for large sets, SimHash of 256 bits.
+Equal sets collapse first. Then every row of a key is compared with the key's first, and only rows
+of a key that this leaves in different groups are compared with each other.
 """
 
 from __future__ import annotations
@@ -33,8 +35,9 @@ BITS_AT_ONCE = 1 << 16
 SHINGLE = 5
 SKETCH = 8
 #: Fingerprints of 256 bits of sets of MANY shingles or more; at 0.8, 39 bits differ (deviation 6),
-#: and 2 in 10,000 such pairs lie beyond FAR; at 0.5, 68 bits differ.
-FAR, MANY = 60, 64
+#: and fewer than 1 in 1,000,000 such pairs lie beyond FAR.
+FAR, MANY = 72, 64
+PRINTS, PARITIES, FEW = [f"f{k}" for k in range(4)], [f"o{k}" for k in range(8)], [f"k{k}" for k in range(SKETCH)]
 
 
 def simhash(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -110,20 +113,22 @@ def near_groups(docs: DataFrame, width: int = 3, seed: int = 42, max_distance: i
 
 
 def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataFrame:
-    """(doc_id, mark, node, size, f0 .. f3, keys, hashes) for every row; equal sets have equal nodes,
-    rows of equal text equal marks.
+    """(doc_id, mark, node, size, f0 .. f3, o0 .. o7, k0 .. k7, keys, hashes) for every row; equal sets
+    have equal nodes, rows of equal text equal marks.
 
     `hashes` are the set itself (32 bits of each hash: a wrong match takes two shingles that
-    share them, one in four billion, and counts as one shingle), `keys` the pairs of its smallest, f0 .. f3 its SimHash of 256 bits.
+    share them, one in four billion, and counts as one shingle), f0 .. f3 its SimHash of 256 bits, o0 .. o7 the
+    parities of its 512 classes, k0 .. k7 its smallest hashes and `keys` the pairs of these, by the larger one.
     """
-    schema = "doc_id long, mark long, node long, size long, f0 long, f1 long, f2 long, f3 long, keys array<long>, hashes array<int>"
+    longs = ["node", "size", *PRINTS, *PARITIES, *FEW]
+    schema = "doc_id long, mark long, " + "".join(f"{c} long, " for c in longs) + "keys array<long>, hashes array<int>"
 
     def batches(parts):
         import numpy as np
         import xxhash
 
         digest = xxhash.xxh64_intdigest
-        left, right = np.triu_indices(SKETCH, 1)
+        left, right = np.array(key_places()).T
 
         def row(text):
             words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -141,22 +146,29 @@ def shingle_sets(docs: DataFrame, width: int = SHINGLE, seed: int = 42) -> DataF
                 prints.append(int(np.packbits(ones * 2 > len(mixed), bitorder="little").view("<i8")[0]))
                 mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(k)
                 mixed ^= mixed >> np.uint64(29)
+            short = np.unique(hashes.astype("<u4"))
+            odd = np.packbits(np.bincount(short & np.uint32(511), minlength=512) & 1, bitorder="little").view("<i8").tolist()
             few = hashes[:SKETCH]
             chosen = right < len(few)
             pairs = (few[left[chosen]] * np.uint64(0x9E3779B97F4A7C15)) ^ few[right[chosen]]
             node = int(np.uint64(digest(hashes.tobytes(), seed)).view(np.int64))
-            return node, len(hashes), *prints, pairs.view("i8"), np.unique(hashes.astype("<u4")).view("<i4")
+            return node, len(hashes), *prints, *odd, *few.view("i8").tolist(), *[None] * (SKETCH - len(few)), pairs.view("i8"), short.view("<i4")
 
         for part in few_at_a_time(parts):
-            columns = list(zip(*map(row, part.column(1).to_pylist()), strict=True)) or [[]] * 8
-            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64()), pa.list_(pa.int32())]
+            columns = list(zip(*map(row, part.column(1).to_pylist()), strict=True)) or [[]] * (len(longs) + 2)
+            kinds = [pa.int64()] * len(longs) + [pa.list_(pa.int64()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(2), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                names=["doc_id", "mark", "node", "size", "f0", "f1", "f2", "f3", "keys", "hashes"])
+                names=["doc_id", "mark", *longs, "keys", "hashes"])
 
     return docs.select(F.col("doc_id").cast("long"), "text", text_mark()).mapInArrow(batches, schema)
 
 
+def key_places() -> list[tuple[int, int]]:
+    """Places, in a sketch, of the two hashes of each key; keys of a shorter sketch come first."""
+    return [(i, j) for j in range(SKETCH) for i in range(j)]
+
+
 def text_mark():
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
 
@@ -173,24 +185,32 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, component_id, root) for every row, by five-word similarity of 0.8 or more; a
     component has one root, also where an id is repeated in several."""
     sets = stage(shingle_sets(docs), "sets")
-    marks = ["size", "f0", "f1", "f2", "f3"]
+    marks = ["size", *PRINTS, *PARITIES, *FEW]
     nodes = sets.groupBy("node").agg(*[F.first(c).alias(c) for c in marks])
-    keyed = sets.select("node", F.explode("keys").alias("key")).distinct()
+    upto = F.array(*[F.lit(j + 1) for _, j in key_places()])
+    keyed = sets.select("node", F.posexplode("keys").alias("place", "key")).select("node", "key", F.get(upto, "place").alias("upto")).distinct()
     shared = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead <> last").select("key", "lead")
     met = stage(keyed.join(shared, "key").join(nodes, "node"), "keyed")
 
+    def apart(a, b, columns):
+        return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in columns), F.lit(0))
+
     def near(a, b):
-        size = (F.col(f"{a}.size") * 5 >= F.col(f"{b}.size") * 4) & (F.col(f"{b}.size") * 5 >= F.col(f"{a}.size") * 4)
-        bits = sum((F.bit_count(F.col(f"{a}.{f}").bitwiseXOR(F.col(f"{b}.{f}"))) for f in marks[1:]), F.lit(0))
-        return size & ((F.least(f"{a}.size", f"{b}.size") < MANY) | (bits <= FAR))
+        x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+        like = (x * 5 >= y * 4) & (y * 5 >= x * 4) & (apart(a, b, PARITIES) * 9 <= x + y)
+        return like & ((F.least(x, y) < MANY) | (apart(a, b, PRINTS) <= FAR))
+
+    def first_meeting(a, b):
+        own = [F.slice(F.array(*[f"{t}.{k}" for k in FEW]), F.lit(1), F.col(f"{t}.upto")) for t in (a, b)]
+        return F.size(F.array_intersect(*own)) == 2
 
-    lead = met.where("node <> lead").select("lead", "node", *marks).distinct().alias("x").join(nodes.alias("y"), F.col("x.lead") == F.col("y.node")).where(near("x", "y"))
+    lead = met.where("node <> lead").select("lead", "node", *marks[:-SKETCH]).distinct().alias("x").join(nodes.alias("y"), F.col("x.lead") == F.col("y.node")).where(near("x", "y"))
     links = stage(alike(stage(lead.select(F.col("x.node").alias("u"), F.col("lead").alias("v")), "leads"), sets), "firsts")
     rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("lead")
     split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
     rooted = stage(rooted.join(split, "key"), "rooted")
-    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near("x", "y"))
-    more = alike(stage(rest.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct(), "rest"), sets)
+    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near("x", "y") & first_meeting("x", "y"))
+    more = alike(stage(rest.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), "rest"), sets)
     roots = components(links.union(more))
     smallest = sets.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
