@@ -328,26 +328,39 @@ def verdict_tally(units: DataFrame, assessments: DataFrame) -> DataFrame:
         F.count_if((F.col("verdict") == "uncertain") & open_finding).alias("uncertain"))
 
 
+def _touching(spans: DataFrame, rows: DataFrame, by: Sequence[str], key: Sequence[str], part: str, *more: str) -> DataFrame:
+    """Pairs of a span and a row that overlap: by, key, start_ms, end_ms, `part`, `more`."""
+    slim = rows.select(*by, part, *more, F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))
+    return interval_join(spans.select(*by, *key, "start_ms", "end_ms"), slim, by)
+
+
+def _held(pairs: DataFrame, rows: DataFrame, by: Sequence[str], key: Sequence[str], part: str) -> DataFrame:
+    """Do the rows of one `part` together cover each span that they touch? Only touching parts are asked."""
+    asked = pairs.select(*by, *key, "start_ms", "end_ms", part).distinct()
+    return covers(rows.select(*by, part, "start_ms", "end_ms"), asked, [*by, part], list(key)).select(*by, *key, part, "covered")
+
+
 def covering(items: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str]) -> DataFrame:
     """Per recogniser: do its non-blank windows cover each span without a hole?
 
-    `items`: by, model, start_ms, end_ms, text. Returns span key, model, covered.
+    `items`: by, model, start_ms, end_ms, text. Returns span key, model, covered for the recognisers
+    whose non-blank windows touch the span; any other does not cover it and has no row.
     """
-    models = items.select(*by, "model").distinct()
-    asked = spans.select(*by, *key, "start_ms", "end_ms").join(models, list(by))
-    return covers(items.where(F.trim("text") != "").select(*by, "model", "start_ms", "end_ms"), asked,
-                  [*by, "model"], list(key)).select(*by, *key, "model", "covered")
+    heard = items.where(F.trim("text") != "")
+    return _held(_touching(spans, heard, by, key, "model"), heard, by, key, "model")
 
 
-def corroborated(obs: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], at_least: int = 2) -> DataFrame:
-    """Spans that two distinct models and two distinct receipts each cover completely.
+def corroborated(obs: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], at_least: int = 2, one_row: bool = False) -> DataFrame:
+    """Spans that two distinct models cover completely, by two distinct receipts or more.
 
-    `obs`: by, model, receipt, start_ms, end_ms.
+    `obs`: by, model, receipt, start_ms, end_ms. A model's receipts cover a span together; with
+    `one_row` (observations of a clip made for the span) each one has to hold it whole.
     """
-    held = interval_join(
-        spans.select(*by, *key, "start_ms", "end_ms"),
-        obs.select(*by, "model", "receipt", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end")), by)
-    held = held.where((F.col("r_start") <= F.col("start_ms")) & (F.col("r_end") >= F.col("end_ms")))
+    pairs = _touching(spans, obs, by, key, "model", "receipt")
+    if one_row:
+        held = pairs.where((F.col("r_start") <= F.col("start_ms")) & (F.col("r_end") >= F.col("end_ms")))
+    else:
+        held = pairs.join(_held(pairs, obs, by, key, "model").where("covered"), [*by, *key, "model"], "left_semi")
     found = held.groupBy(*by, *key).agg(F.count_distinct("model").alias("models"), F.count_distinct("receipt").alias("receipts"))
     joined = spans.select(*by, *key).join(found, [*by, *key], "left")
     count = lambda name: F.coalesce(name, F.lit(0)).cast("bigint")
@@ -358,17 +371,13 @@ def corroborated(obs: DataFrame, spans: DataFrame, by: Sequence[str], key: Seque
 def combine_reviews(reviews: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str]) -> DataFrame:
     """Overlapping reviews of a span, per stage: model list, review count, cover.
 
-    `reviews`: by, stage, model, start_ms, end_ms. Models per span are a small set.
+    `reviews`: by, stage, model, start_ms, end_ms. Models per span are a small set. A stage without a
+    review that touches the span has no row.
     """
-    stages = reviews.select(*by, "stage").distinct()
-    asked = spans.select(*by, *key, "start_ms", "end_ms").join(stages, list(by))
-    part = [*by, "stage"]
-    pairs = interval_join(asked, reviews.select(*part, "model", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end")), part)
-    listed = pairs.groupBy(*part, *key).agg(
+    pairs = _touching(spans, reviews, by, key, "stage", "model")
+    listed = pairs.groupBy(*by, "stage", *key).agg(
         F.array_join(F.array_sort(F.collect_set("model")), ", ").alias("models"), F.count(F.lit(1)).alias("reviews"))
-    whole = covers(reviews, asked, part, list(key)).select(*part, *key, "covered")
-    return whole.join(listed, [*part, *key], "left").select(
-        *part, *key, F.coalesce("models", F.lit("")).alias("models"), F.coalesce("reviews", F.lit(0)).alias("reviews"), "covered")
+    return listed.join(_held(pairs, reviews, by, key, "stage"), [*by, "stage", *key]).select(*by, "stage", *key, "models", "reviews", "covered")
 
 
 def release_gate(tracks: DataFrame, blockers: Sequence[DataFrame]) -> DataFrame:

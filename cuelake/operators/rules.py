@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuelake.functions import cps, hash_slices, is_label, row_hash, slices_hash
@@ -382,32 +383,71 @@ def evidence_errors(clips: DataFrame, spans: DataFrame, key: Sequence[str]) -> D
     return judged.select(*by, error.alias("error")).where(F.col("error").isNotNull())
 
 
+def reach(observations: DataFrame, spans: DataFrame, key: Sequence[str]) -> DataFrame:
+    """How far each model's observations of a span run on from its start without a hole.
+
+    `observations`: key, model, start_ms, end_ms; `spans`: key, start_ms, end_ms. Returns key, model,
+    reach_ms (the span's start where nothing begins there). A window holds one model's distinct
+    intervals for one span.
+    """
+    begin = spans.select(*key, F.col("start_ms").alias("_s"))
+    rows = observations.select(*key, "model", "start_ms", "end_ms").distinct().join(begin, list(key))
+    order = Window.partitionBy(*key, "model").orderBy("start_ms", "end_ms")
+    before = F.max("end_ms").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_hole", F.col("start_ms") > F.greatest("_s", F.coalesce(before, "_s")))
+    rows = rows.withColumn("_past", F.max("_hole").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(*key, "model").agg(F.greatest(F.first("_s"), F.max(F.when(~F.col("_past"), F.col("end_ms")))).alias("reach_ms"))
+
+
 def review_errors(results: DataFrame, issues: DataFrame, observations: DataFrame, stages: DataFrame, tail_ms: int = 50) -> DataFrame:
     """First reason a review result cannot close its issue, or nothing.
 
-    `results`: track_id, issue_id, start_ms, end_ms, status, route, media_sha, interval_sha.
+    `results`: track_id, issue_id, start_ms, end_ms, status, route, media_sha, interval_sha, and the
+    agent's reviewer, reason, heard_original BOOLEAN.
     `issues`: track_id, issue_id, start_ms, end_ms, duration_ms, media_sha, interval_sha.
-    `observations`: track_id, issue_id, model, receipt, start_ms, end_ms.
+    `observations`: track_id, issue_id, method, model, model_version, receipt, receipt_ok BOOLEAN (its
+    content is the recorded one), media_sha, start_ms, end_ms, whole BOOLEAN (of the whole audio).
     `stages`: track_id, issue_id, pos, stage, model, assessment.
+
+    A local recogniser's observation must hold the issue whole. Saved receipts hold it together, model
+    by model; only there may a whole-audio receipt end up to `tail_ms` before the media's end.
     """
     key = ["track_id", "issue_id"]
     want = issues.select(*key, F.col("start_ms").alias("_s"), F.col("end_ms").alias("_e"), "duration_ms",
                          F.col("media_sha").alias("_m"), F.col("interval_sha").alias("_h"))
-    # Recognition only has to reach the physical end of the media, with a small tolerance.
-    need = want.withColumn("_e", F.when(F.col("_e") == F.col("duration_ms"), F.col("_e") - tail_ms).otherwise(F.col("_e")))
-    held = observations.join(need.select(*key, "_s", "_e"), key).where((F.col("start_ms") <= F.col("_s")) & (F.col("end_ms") >= F.col("_e")))
-    models = held.groupBy(*key).agg(F.count_distinct("model").alias("_models"), F.count_distinct("receipt").alias("_receipts"))
-    filled = (F.trim("model") != "") & (F.trim("assessment") != "")
+    told = lambda *names: functools.reduce(lambda a, b: a & b, [F.coalesce(F.trim(n) != "", F.lit(False)) for n in names])
+
+    seen = observations.join(want, key).join(results.select(*key, "route"), key)
+    shared = told("model", "receipt") & F.col("receipt_ok") & (F.col("media_sha") == F.col("_m"))
+    local = shared & (F.col("method") == "local_asr") & told("model_version") & (F.col("start_ms") <= F.col("_s")) & (F.col("end_ms") >= F.col("_e"))
+    saved = shared & (F.col("method") == "hosted_asr") & (F.col("start_ms") >= 0) & (F.col("start_ms") < F.col("end_ms"))
+    usable = F.when(F.col("route") == "local_asr_agent", local).otherwise(saved)
+    facts = seen.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.bool_and(F.coalesce(usable, F.lit(False))).alias("_usable"),
+        F.count_distinct("model").alias("_models"), F.count_distinct("receipt").alias("_receipts"))
+
+    hosted = seen.where(F.col("route") == "saved_asr_agent")
+    audio = hosted.where("whole").groupBy(*key, "model").agg(F.max("end_ms").alias("_audio"))
+    far = reach(hosted, issues, key).join(want.select(*key, "_e", "duration_ms"), key).join(audio, [*key, "model"], "left")
+    tail = (F.col("_audio") == F.col("reach_ms")) & (F.col("_e") == F.col("duration_ms")) & (F.col("_e") - F.col("reach_ms") <= tail_ms)
+    whole = far.groupBy(*key).agg(F.bool_and((F.col("reach_ms") >= F.col("_e")) | F.coalesce(tail, F.lit(False))).alias("_whole"))
+
     right = ((F.col("pos") == 0) & (F.col("stage") == "independent")) | ((F.col("pos") == 1) & (F.col("stage") == "comparison"))
-    steps = stages.groupBy(*key).agg(F.count(F.lit(1)).alias("_stages"), F.bool_and(F.coalesce(filled & right, F.lit(False))).alias("_right"))
-    joined = results.join(want, key).join(models, key, "left").join(steps, key, "left")
+    steps = stages.groupBy(*key).agg(F.count(F.lit(1)).alias("_stages"), F.bool_and(F.coalesce(told("model", "assessment") & right, F.lit(False))).alias("_right"))
+
+    joined = results.join(want, key).join(facts, key, "left").join(whole, key, "left").join(steps, key, "left")
     current = ((F.col("media_sha") == F.col("_m")) & (F.col("interval_sha") == F.col("_h")) & (F.col("start_ms") <= F.col("_s"))
                & (F.col("end_ms") >= F.col("_e")) & F.col("status").isin("supported", "corrected", "model_artifact"))
-    local = F.col("route").isin("local_asr_agent", "saved_asr_agent")
-    twice = (F.coalesce("_models", F.lit(0)) >= 2) & (F.coalesce("_receipts", F.lit(0)) >= 2)
+    agent = F.coalesce(F.col("route").isin("local_asr_agent", "saved_asr_agent"), F.lit(False))
+    judged = told("reviewer", "reason") & F.coalesce(~F.col("heard_original"), F.lit(False)) & (F.coalesce("_n", F.lit(0)) >= 2)
+    twice = (F.col("_models") >= 2) & (F.col("_receipts") >= 2)
     staged = (F.coalesce("_stages", F.lit(0)) == 2) & F.coalesce("_right", F.lit(False))
     error = (F.when(~F.coalesce(current, F.lit(False)), "stale_or_uncertain")
-             .when(local & ~twice, "needs_two_models_and_receipts").when(~local & ~staged, "needs_two_ordered_stages"))
+             .when(agent & ~judged, "needs_agent_judgment")
+             .when(agent & ~F.coalesce("_usable", F.lit(False)), "observation_unusable")
+             .when(agent & ~F.coalesce(twice, F.lit(False)), "needs_two_models_and_receipts")
+             .when((F.col("route") == "saved_asr_agent") & ~F.coalesce("_whole", F.lit(False)), "interval_not_covered")
+             .when(~agent & ~staged, "needs_two_ordered_stages"))
     return joined.select(*key, error.alias("error")).where(F.col("error").isNotNull())
 
 

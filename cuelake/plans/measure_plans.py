@@ -249,10 +249,13 @@ def verdict_tally_a20(t):
     return ms.verdict_tally(units(t), assessed(t))
 
 
-@plan("corroborated_a23", """
-, o AS (SELECT track_id, 'a' AS model, 'a' || cue_id AS receipt, start_ms-1000 AS start_ms, end_ms+1000 AS end_ms FROM edited UNION ALL SELECT track_id, 'b', 'b' || cue_id, start_ms-1500, end_ms+1500 FROM speech)
-SELECT c.track_id, c.cue_id, count(DISTINCT model) AS models, count(DISTINCT receipt) AS receipts, count(DISTINCT model) >= 2 AND count(DISTINCT receipt) >= 2 AS ok
-FROM cues c LEFT JOIN o ON o.track_id=c.track_id AND o.start_ms <= c.start_ms AND o.end_ms >= c.end_ms GROUP BY 1, 2""")
+OBSERVED = """o AS (SELECT track_id, 'a' AS model, 'a' || cue_id AS receipt, start_ms-1000 AS start_ms, end_ms+1000 AS end_ms FROM edited UNION ALL SELECT track_id, 'b', 'b' || cue_id, start_ms-1500, end_ms+1500 FROM speech)"""
+
+
+@plan("corroborated_a23", f""", {OBSERVED}, {MERGE.format(out="om", by="track_id, model", src="SELECT track_id, model, start_ms, end_ms FROM o")},
+h AS (SELECT DISTINCT c.track_id, c.cue_id, m.model, c.start_ms, c.end_ms FROM cues c JOIN om m ON m.track_id=c.track_id AND m.start_ms <= c.start_ms AND m.end_ms >= c.end_ms),
+n AS (SELECT h.track_id, h.cue_id, count(DISTINCT h.model) AS models, count(DISTINCT receipt) AS receipts FROM h JOIN o ON o.track_id=h.track_id AND o.model=h.model AND o.start_ms < h.end_ms AND o.end_ms > h.start_ms GROUP BY 1, 2)
+SELECT c.track_id, c.cue_id, coalesce(models, 0) AS models, coalesce(receipts, 0) AS receipts, coalesce(models, 0) >= 2 AND coalesce(receipts, 0) >= 2 AS ok FROM cues c LEFT JOIN n ON n.track_id=c.track_id AND n.cue_id=c.cue_id""")
 def corroborated_a23(t):
     one = t.edited.select("track_id", F.lit("a").alias("model"), F.concat(F.lit("a"), "cue_id").alias("receipt"), (F.col("start_ms") - 1000).alias("start_ms"), (F.col("end_ms") + 1000).alias("end_ms"))
     two = t.speech.select("track_id", F.lit("b").alias("model"), F.concat(F.lit("b"), "cue_id").alias("receipt"), (F.col("start_ms") - 1500).alias("start_ms"), (F.col("end_ms") + 1500).alias("end_ms"))
@@ -263,9 +266,9 @@ MODEL_COVER = MERGE.format(out="mc", by="track_id, model", src="""SELECT track_i
  UNION ALL SELECT track_id, 'voice', start_ms, end_ms FROM speech""")
 
 
-@plan("covering_j28", f""", {MODEL_COVER}, md AS (SELECT DISTINCT track_id, 'whisper' AS model FROM heard UNION SELECT DISTINCT track_id, 'voice' FROM speech)
-SELECT c.track_id, c.cue_id, md.model, bool_or(mc.track_id IS NOT NULL) AS covered FROM cues c JOIN md ON md.track_id=c.track_id
-LEFT JOIN mc ON mc.track_id=c.track_id AND mc.model=md.model AND mc.start_ms <= c.start_ms AND mc.end_ms >= c.end_ms GROUP BY 1, 2, 3""")
+@plan("covering_j28", f""", {MODEL_COVER}
+SELECT c.track_id, c.cue_id, mc.model, bool_or(mc.start_ms <= c.start_ms AND mc.end_ms >= c.end_ms) AS covered FROM cues c JOIN mc ON mc.track_id=c.track_id
+ AND mc.start_ms < c.end_ms AND mc.end_ms > c.start_ms GROUP BY 1, 2, 3""")
 def covering_j28(t):
     items = t.heard.select("track_id", F.lit("whisper").alias("model"), "start_ms", "end_ms", "text").unionByName(
         t.speech.select("track_id", F.lit("voice").alias("model"), "start_ms", "end_ms", F.lit("x").alias("text")))
@@ -276,11 +279,9 @@ REVIEWS = """rv AS (SELECT track_id, 'independent' AS stage, 'm' || cue_id % 2 A
 
 
 @plan("combine_reviews_a29", f""", {REVIEWS}, {MERGE.format(out='rc', by='track_id, stage', src='SELECT track_id, stage, start_ms, end_ms FROM rv')},
-sg AS (SELECT DISTINCT track_id, stage FROM rv),
-ls AS (SELECT c.track_id, sg.stage, c.cue_id, coalesce(string_agg(DISTINCT a.model, ', ' ORDER BY a.model), '') AS models, count(a.model) AS reviews FROM cues c JOIN sg ON sg.track_id=c.track_id
- LEFT JOIN rv a ON a.track_id=c.track_id AND a.stage=sg.stage AND a.start_ms < c.end_ms AND a.end_ms > c.start_ms GROUP BY 1, 2, 3),
-cv AS (SELECT c.track_id, sg.stage, c.cue_id, bool_or(rc.track_id IS NOT NULL) AS covered FROM cues c JOIN sg ON sg.track_id=c.track_id
- LEFT JOIN rc ON rc.track_id=c.track_id AND rc.stage=sg.stage AND rc.start_ms <= c.start_ms AND rc.end_ms >= c.end_ms GROUP BY 1, 2, 3)
+ls AS (SELECT c.track_id, a.stage, c.cue_id, string_agg(DISTINCT a.model, ', ' ORDER BY a.model) AS models, count(*) AS reviews FROM cues c JOIN rv a ON a.track_id=c.track_id AND a.start_ms < c.end_ms AND a.end_ms > c.start_ms GROUP BY 1, 2, 3),
+cv AS (SELECT c.track_id, rc.stage, c.cue_id, bool_or(rc.start_ms <= c.start_ms AND rc.end_ms >= c.end_ms) AS covered FROM cues c
+ JOIN rc ON rc.track_id=c.track_id AND rc.start_ms < c.end_ms AND rc.end_ms > c.start_ms GROUP BY 1, 2, 3)
 SELECT ls.track_id, ls.stage, ls.cue_id, models, reviews, covered FROM ls JOIN cv ON cv.track_id=ls.track_id AND cv.stage=ls.stage AND cv.cue_id=ls.cue_id""")
 def combine_reviews_a29(t):
     rows = t.speech.select("track_id", F.lit("independent").alias("stage"), F.concat(F.lit("m"), F.col("cue_id") % 2).alias("model"), "start_ms", "end_ms").unionByName(

@@ -345,23 +345,43 @@ def evidence_errors_t18(t):
 
 
 @plan("review_errors_t15", """
-, q AS (SELECT c.*, duration_ms, sha256(text) AS h, contains(text,'q') AS local FROM cues c JOIN media USING (track_id)),
-r AS (SELECT q.*, start_ms - 100 AS rs, end_ms + CASE WHEN contains(text,'k') THEN -10 ELSE 100 END AS re, CASE WHEN contains(text,'z') THEN 'uncertain' ELSE 'supported' END AS status, CASE WHEN contains(text,'w') THEN 'x' ELSE h END AS rh FROM q),
-o AS (SELECT track_id, cue_id, 'a' AS model, start_ms - 10 AS s, end_ms - 40 AS e FROM cues UNION ALL SELECT track_id, cue_id, 'b', start_ms, end_ms + CASE WHEN length(text) % 2 = 0 THEN 5 ELSE -60 END FROM cues),
-n AS (SELECT q.track_id, q.cue_id, count(DISTINCT model) AS m FROM q JOIN o ON o.track_id=q.track_id AND o.cue_id=q.cue_id AND o.s <= q.start_ms AND o.e >= CASE WHEN q.end_ms=duration_ms THEN q.end_ms-50 ELSE q.end_ms END GROUP BY 1, 2)
-SELECT r.track_id, r.cue_id AS issue_id, CASE WHEN NOT (rh=h AND rs <= start_ms AND re >= end_ms AND status='supported') THEN 'stale_or_uncertain' WHEN local AND coalesce(m,0) < 2 THEN 'needs_two_models_and_receipts' ELSE 'needs_two_ordered_stages' END AS error
-FROM r LEFT JOIN n ON n.track_id=r.track_id AND n.cue_id=r.cue_id
-WHERE NOT (rh=h AND rs <= start_ms AND re >= end_ms AND status='supported') OR (local AND coalesce(m,0) < 2) OR (NOT local AND length(text) < 40)""")
+, q AS (SELECT c.*, CASE WHEN cue_id % 2 = 0 THEN end_ms ELSE duration_ms END AS dur, cue_id % 3 AS route, start_ms + (end_ms - start_ms) // 2 AS mid,
+ cue_id % 19 = 0 OR cue_id % 23 = 0 OR cue_id % 29 = 0 AS stale, cue_id % 17 = 0 OR cue_id % 31 = 0 AS unjudged FROM cues c JOIN media USING (track_id)),
+o AS (SELECT track_id, cue_id, 'a' AS model, 'a1' AS receipt, greatest(start_ms - 10, 0) AS start_ms, CASE WHEN route = 1 THEN mid ELSE end_ms + 10 END AS end_ms, false AS whole FROM q
+ UNION ALL SELECT track_id, cue_id, 'a', 'a2', CASE WHEN route <> 1 THEN start_ms WHEN cue_id % 7 = 0 THEN mid + 5 ELSE mid END, end_ms, false FROM q
+ UNION ALL SELECT track_id, cue_id, CASE WHEN cue_id % 13 = 0 THEN 'a' ELSE 'b' END, 'b1', CASE WHEN route = 1 AND cue_id % 5 > 2 THEN 0 ELSE start_ms END,
+  CASE WHEN route <> 1 AND cue_id % 5 = 0 THEN end_ms - 60 WHEN route = 1 AND cue_id % 5 = 3 THEN end_ms - 30 WHEN route = 1 AND cue_id % 5 = 4 THEN end_ms - 70 ELSE end_ms + 5 END, route = 1 AND cue_id % 5 > 2 FROM q),
+u AS (SELECT q.track_id, q.cue_id, bool_and(q.cue_id % 37 <> 0 AND q.cue_id % 41 <> 0 AND (q.route = 1 AND o.start_ms < o.end_ms OR q.route = 0 AND q.cue_id % 11 <> 0 AND o.start_ms <= q.start_ms AND o.end_ms >= q.end_ms)) AS usable,
+ count(DISTINCT model) AS models FROM q JOIN o ON o.track_id=q.track_id AND o.cue_id=q.cue_id GROUP BY 1, 2), """ + MERGE.format(out="om", by="track_id, cue_id, model", src="SELECT track_id, cue_id, model, start_ms, end_ms FROM o") + """,
+rr AS (SELECT q.track_id, q.cue_id, q.end_ms, q.dur, m.model, greatest(q.start_ms, coalesce(max(m.end_ms) FILTER (m.start_ms <= q.start_ms), 0)) AS reach FROM q JOIN om m ON m.track_id=q.track_id AND m.cue_id=q.cue_id GROUP BY q.track_id, q.cue_id, q.end_ms, q.dur, q.start_ms, m.model),
+w AS (SELECT rr.track_id, rr.cue_id, bool_and(reach >= rr.end_ms OR coalesce(reach = au.e AND rr.end_ms = rr.dur AND rr.end_ms - reach <= 50, false)) AS ok FROM rr
+ LEFT JOIN (SELECT track_id, cue_id, model, max(end_ms) AS e FROM o WHERE whole GROUP BY 1, 2, 3) au ON au.track_id=rr.track_id AND au.cue_id=rr.cue_id AND au.model=rr.model GROUP BY 1, 2),
+v AS (SELECT q.track_id, q.cue_id AS issue_id, CASE WHEN stale THEN 'stale_or_uncertain' WHEN route < 2 AND unjudged THEN 'needs_agent_judgment' WHEN route < 2 AND NOT usable THEN 'observation_unusable'
+ WHEN route < 2 AND models < 2 THEN 'needs_two_models_and_receipts' WHEN route = 1 AND NOT w.ok THEN 'interval_not_covered' WHEN route = 2 AND length(text) < 40 THEN 'needs_two_ordered_stages' END AS error
+ FROM q JOIN u ON u.track_id=q.track_id AND u.cue_id=q.cue_id JOIN w ON w.track_id=q.track_id AND w.cue_id=q.cue_id)
+SELECT * FROM v WHERE error IS NOT NULL""")
 def review_errors_t15(t):
-    base = t.cues.join(t.media, "track_id").select("track_id", F.col("cue_id").alias("issue_id"), "start_ms", "end_ms", "duration_ms", F.lit("v").alias("media_sha"), F.sha2("text", 256).alias("interval_sha"), "text")
+    n = F.col("issue_id")
+    every = lambda k: n % k == 0
+    base = t.cues.join(t.media, "track_id").select(
+        "track_id", F.col("cue_id").alias("issue_id"), "start_ms", "end_ms", F.when(F.col("cue_id") % 2 == 0, F.col("end_ms")).otherwise(F.col("duration_ms")).alias("duration_ms"),
+        F.lit("v").alias("media_sha"), F.sha2("text", 256).alias("interval_sha"), "text")
+    route = F.when(every(3), "local_asr_agent").when(n % 3 == 1, "saved_asr_agent").otherwise("provider")
     results = base.select(
-        "track_id", "issue_id", (F.col("start_ms") - 100).alias("start_ms"), (F.col("end_ms") + F.when(has("text", "k"), -10).otherwise(100)).alias("end_ms"),
-        F.when(has("text", "z"), "uncertain").otherwise("supported").alias("status"), F.when(has("text", "q"), "local_asr_agent").otherwise("provider").alias("route"), "media_sha",
-        F.when(has("text", "w"), "x").otherwise(F.col("interval_sha")).alias("interval_sha"))
-    obs = base.select("track_id", "issue_id", F.explode(F.array(
-        F.struct(F.lit("a").alias("model"), (F.col("start_ms") - 10).alias("start_ms"), (F.col("end_ms") - 40).alias("end_ms")),
-        F.struct(F.lit("b").alias("model"), F.col("start_ms"), (F.col("end_ms") + F.when(F.length("text") % 2 == 0, 5).otherwise(-60)).alias("end_ms")))).alias("_o"))
-    obs = obs.select("track_id", "issue_id", "_o.model", F.col("_o.model").alias("receipt"), "_o.start_ms", "_o.end_ms")
+        "track_id", "issue_id", (F.col("start_ms") - 100).alias("start_ms"), (F.col("end_ms") + F.when(every(19), -10).otherwise(100)).alias("end_ms"),
+        F.when(every(23), "uncertain").otherwise("supported").alias("status"), route.alias("route"), "media_sha",
+        F.when(every(29), "x").otherwise(F.col("interval_sha")).alias("interval_sha"),
+        F.when(every(17), " ").otherwise("agent").alias("reviewer"), F.lit("heard twice").alias("reason"), every(31).alias("heard_original"))
+    saved, mid = n % 3 == 1, F.col("start_ms") + F.expr("(end_ms - start_ms) div 2")
+    late = F.when(~saved & every(5), -60).when(saved & (n % 5 == 3), -30).when(saved & (n % 5 == 4), -70).otherwise(5)
+    row = lambda model, receipt, first, last, whole: F.struct(
+        model.alias("model"), F.lit(receipt).alias("receipt"), first.alias("start_ms"), last.alias("end_ms"), whole.alias("whole"))
+    obs = base.select("track_id", "issue_id", "media_sha", F.explode(F.array(
+        row(F.lit("a"), "a1", F.greatest(F.col("start_ms") - 10, F.lit(0)), F.when(saved, mid).otherwise(F.col("end_ms") + 10), F.lit(False)),
+        row(F.lit("a"), "a2", F.when(~saved, F.col("start_ms")).when(every(7), mid + 5).otherwise(mid), F.col("end_ms"), F.lit(False)),
+        row(F.when(every(13), "a").otherwise("b"), "b1", F.when(saved & (n % 5 > 2), 0).otherwise(F.col("start_ms")), F.col("end_ms") + late, saved & (n % 5 > 2)))).alias("_o"))
+    obs = obs.select("track_id", "issue_id", "media_sha", "_o.*", F.when(every(37), "other").when(saved, "hosted_asr").otherwise("local_asr").alias("method"),
+                     F.when(every(11), " ").otherwise("1").alias("model_version"), (~every(41)).alias("receipt_ok"))
     stages = base.select("track_id", "issue_id", F.posexplode(F.array(F.lit("independent"), F.when(F.length("text") < 40, "again").otherwise("comparison"))).alias("pos", "stage"), F.lit("m").alias("model"), F.lit("heard").alias("assessment"))
     return rl.review_errors(results, base.drop("text"), obs, stages)
 
