@@ -35,6 +35,8 @@ ROWS = 64  # read together
 FLUSH = 1 << 21  # keys sent together
 FLUSH_BYTES = 1 << 26  # of segments sent together
 MARK_BITS = 24
+SHARED = 1 << 18  # shared keys, about, to a part
+LEVEL = 3  # of compression, for what is shuffled
 
 
 def mix(x, y):
@@ -105,7 +107,7 @@ def _groups(batch, method, length):
 
 
 def _runs(group, method, length):
-    """Runs of windows with one key: (key, route, base, item of the group, first window, windows)."""
+    """Runs of windows with one key: (key, route, base, tag, item of the group, first window, windows)."""
     import numpy as np
 
     sizes = np.array([len(g[3]) for g in group])
@@ -115,17 +117,17 @@ def _runs(group, method, length):
     item = np.repeat(np.arange(len(group)), sizes + 1)[:n]
     where = np.flatnonzero(np.arange(n) - starts[item] + length <= sizes[item])
     if not len(where):
-        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4)
+        return (np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 5)
     new = np.concatenate(([True], (base[1:] != base[:-1]) | (part[1:] != part[:-1]) | (item[1:] != item[:-1])))
     opens = new[where]
     opens[0] = True
     first = np.flatnonzero(opens)
     head = where[first]
-    return *named(head), base[head], item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
+    return *named(head), base[head], method.tags(base[head], head), item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
 
 
 def shared_filter(rows: DataFrame, method, length: int):
-    """Filter of the anchor keys that two documents or more hold."""
+    """(filter of the anchor keys that two documents or more hold, number of these keys)"""
     import numpy as np
 
     wide = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -147,7 +149,7 @@ def shared_filter(rows: DataFrame, method, length: int):
 
         for part in parts:
             for group in _groups(part, method, length):
-                keys, _, _, item, _, _ = _runs(group, method, length)
+                keys, _, _, _, item, _, _ = _runs(group, method, length)
                 docs = np.array([g[0] for g in group], np.int64)[item]
                 held.append(_per_key(keys >> np.uint64(64 - KEY_BITS), docs, docs))
                 n += len(held[-1][0])
@@ -168,37 +170,38 @@ def shared_filter(rows: DataFrame, method, length: int):
             np.bitwise_or.at(out, word - at * size, mask)
         import zstandard
 
-        return pa.table({"part": pa.array([at], pa.int32()), "bits": pa.array([zstandard.compress(out.tobytes())], pa.binary())})
+        return pa.table({"part": pa.array([at], pa.int32()), "n": pa.array([len(shared)], pa.int64()), "bits": pa.array([zstandard.compress(out.tobytes())], pa.binary())})
 
     import zstandard
 
     sent = rows.mapInArrow(send, "part int, k binary, low binary, more binary")
-    slices = sent.groupBy("part").applyInArrow(meet, "part int, bits binary").collect()
+    slices = sent.groupBy("part").applyInArrow(meet, "part int, n long, bits binary").collect()
     size = (1 << FILTER_BITS) // 8 >> split
     whole = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for row in slices:
         whole[row["part"] * size : (row["part"] + 1) * size] = np.frombuffer(zstandard.decompress(bytes(row["bits"])), np.uint8)
-    return whole
+    return whole, sum(row["n"] for row in slices)
 
 
 #: Of a text for the shuffle, and back.
 def packed(text: str) -> bytes:
     import zstandard
 
-    return zstandard.compress(text.encode("utf-8", "surrogatepass"), 1)
+    return zstandard.compress(text.encode("utf-8", "surrogatepass"), LEVEL)
 
 
-SEGMENTS = "part int, id long, doc_id long, mark int, start long, bodies binary, ids binary, low binary, more binary"
+SEGMENTS = "part int, id long, doc_id long, mark int, start long, bodies binary, tags binary, low binary, more binary"
 
 
-def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
+def segments(rows: DataFrame, method, length: int, bits, shared: int) -> DataFrame:
     """Places of candidate segments, one a row, and their distinct contents, packed by part.
 
-    A segment is named by its part and a 64-bit hash of its content.
+    A segment is named by its part and a 64-bit hash of its content. Parts follow the number of
+    shared keys, so that one holds about as much whatever the corpus.
     """
     spark = rows.sparkSession
     filled = spark.sparkContext.broadcast(bits)
-    parts_n = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts_n = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), shared // SHARED)
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
     names = [x.split()[0] for x in SEGMENTS.split(", ")]
 
@@ -212,8 +215,8 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
         def contents():
             for part, bodies in held.items():
                 docs = np.array(list(bodies.values()), np.int64)
-                ids = np.array([xxhash.xxh3_64_intdigest(b) for b in bodies], np.uint64)
-                yield [part, None, None, None, None, zstandard.compress(method.split.join(bodies), 1), _squeezed(ids), _squeezed(np.ascontiguousarray(docs[:, 0]).view(np.uint64)), _squeezed((docs[:, 1] - docs[:, 0]).view(np.uint64))]
+                packs = [zstandard.compress(x, LEVEL) for x in (method.split.join(bodies), docs[:, 2].astype(np.uint8).tobytes())]
+                yield [part, None, None, None, None, *packs, _squeezed(np.ascontiguousarray(docs[:, 0]).view(np.uint64)), _squeezed((docs[:, 1] - docs[:, 0]).view(np.uint64))]
 
         def batch(out):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
@@ -221,7 +224,7 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
         room = FLUSH_BYTES
         for part in parts:
             for group in _groups(part, method, length):
-                keys, route, base_at, item, first, count = _runs(group, method, length)
+                keys, route, base_at, tag, item, first, count = _runs(group, method, length)
                 hit = np.ones(len(keys), bool)
                 for word, mask in _bits(keys >> np.uint64(64 - KEY_BITS)):
                     hit &= (full[word] & mask) != 0
@@ -232,7 +235,7 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
                 total = np.add.reduceat(count[at], head) if len(at) else count[:0]
                 at = at[head]
                 out = []
-                for where, i, a, n in zip((route[at] % np.uint64(parts_n)).tolist(), item[at].tolist(), first[at].tolist(), total.tolist(), strict=True):
+                for where, t, i, a, n in zip((route[at] % np.uint64(parts_n)).tolist(), tag[at].tolist(), item[at].tolist(), first[at].tolist(), total.tolist(), strict=True):
                     doc, mark, base, units = group[i]
                     body = method.body(units[a : a + n + length - 1])
                     digest = xxhash.xxh3_64_intdigest(body)
@@ -240,10 +243,10 @@ def segments(rows: DataFrame, method, length: int, bits) -> DataFrame:
                     bodies = held.setdefault(where, {})
                     seen = bodies.get(body)
                     if seen is None:
-                        bodies[body] = (doc, doc)
+                        bodies[body] = (doc, doc, t)
                         room -= len(body) + 100
                     else:
-                        bodies[body] = (min(seen[0], doc), max(seen[1], doc))
+                        bodies[body] = (min(seen[0], doc), max(seen[1], doc), t)
                 if out:
                     yield batch(out)
                 if room <= 0:
@@ -272,29 +275,34 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
     docs: (doc_id, text); mark is a hash of the text, for rows that repeat an id.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
-    found = stage(segments(rows, method, length, shared_filter(rows, method, length)), "segments")
+    found = stage(segments(rows, method, length, *shared_filter(rows, method, length)), "segments")
 
     def resolve(table):
         import numpy as np
-
+        import xxhash
         import zstandard
 
         bodies: dict[bytes, list] = {}
-        for packed_bodies, ids, low, more in zip(*(table.column(c).to_pylist() for c in ("bodies", "ids", "low", "more")), strict=True):
+        for packed_bodies, tags, low, more in zip(*(table.column(c).to_pylist() for c in ("bodies", "tags", "low", "more")), strict=True):
             low = _widened(low).view(np.int64)
-            for body, name, a, d in zip(zstandard.decompress(packed_bodies).split(method.split), _widened(ids).view(np.int64).tolist(), low.tolist(), _widened(more).view(np.int64).tolist(), strict=True):
-                row = bodies.setdefault(body, [name, a, a + d])
+            for body, tag, a, d in zip(zstandard.decompress(packed_bodies).split(method.split), zstandard.decompress(tags), low.tolist(), _widened(more).view(np.int64).tolist(), strict=True):
+                row = bodies.setdefault(body, [tag, a, a + d])
                 row[1], row[2] = min(row[1], a), max(row[2], a + d)
-        names, lows, highs = zip(*bodies.values(), strict=True)
-        answers = method.resolve(list(bodies), np.array(lows, np.int64), length)
-        keep = [k for k, least in enumerate(answers) if least.min() < highs[k]]
-        part = table.column("part")[0].as_py()
-        size = [len(answers[k]) for k in keep]
+        tags, lows, highs = (np.array(x, np.int64) for x in zip(*bodies.values(), strict=True))
+        names = np.array([xxhash.xxh3_64_intdigest(b) for b in bodies], np.uint64).view(np.int64)
+        least, sizes = method.resolve(list(bodies), tags, lows, length)
+        begin = np.cumsum(sizes) - sizes
+        low, high = np.minimum.reduceat(least, begin), np.maximum.reduceat(least, begin)
+        keep = np.flatnonzero(low < highs)
         # One number stands for an answer that is the same for all windows of a segment.
-        short = [answers[k][:1] if (answers[k] == answers[k][0]).all() else answers[k] for k in keep]
-        return pa.table({"part": pa.array([part] * len(keep), pa.int32()), "id": pa.array([names[k] for k in keep], pa.int64()), "n": pa.array(size, pa.int32()), "least": pa.array(short, pa.list_(pa.int64()))})
+        short = np.where(low == high, 1, sizes)[keep]
+        edges = np.append(0, np.cumsum(short))
+        at = np.repeat(begin[keep] - edges[:-1], short) + np.arange(edges[-1])
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(least[at], pa.int64()))
+        part = table.column("part")[0].as_py()
+        return pa.table({"part": pa.array(np.full(len(keep), part), pa.int32()), "id": pa.array(names[keep], pa.int64()), "n": pa.array(sizes[keep], pa.int32()), "least": lists})
 
-    answers = found.where("bodies IS NOT NULL").select("part", "bodies", "ids", "low", "more").groupBy("part").applyInArrow(resolve, "part int, id long, n int, least array<long>")
+    answers = found.where("bodies IS NOT NULL").select("part", "bodies", "tags", "low", "more").groupBy("part").applyInArrow(resolve, "part int, id long, n int, least array<long>")
     places = found.where("bodies IS NULL").select("part", "id", "doc_id", "mark", "start").join(answers, ["part", "id"]).where(F.array_min("least") < F.col("doc_id"))
 
     def spans(parts):
@@ -354,26 +362,30 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
     return texts.join(lost, ["doc_id", "mark"]).mapInArrow(keep, "doc_id long, mark int, n_removed long, n_spans long, kept string").distinct()
 
 
-def ranks(codes, length: int, step: int = 1):
+def ranks(codes, length: int, step: int = 1, rest=None):
     """(number of the string of `length` units from each place, places in the order of the numbers):
     equal strings have equal numbers; past the end counts as 0.
 
-    codes stand for `step` units each; exact doubling to `length`.
+    codes stand for `step` units each; exact doubling to `length`. rest: units before a string ends,
+    which codes take into account; with it, places of equal strings keep their order.
     """
     import numpy as np
 
-    def numbered(key):
-        order = np.argsort(key)
+    def numbered(key, kind=None):
+        order = np.argsort(key, kind=kind)
         ordered = key[order]
         rank = np.empty(len(key), np.uint64)
         rank[order] = np.cumsum(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         return rank, order
 
-    rank, order = numbered(codes)
+    stable = None if rest is None else "stable"
+    rank, order = numbered(codes, stable if step >= length else None)
     while step < length:
         ahead = min(step, length - step)
         later = np.zeros_like(rank)
         later[: max(0, len(rank) - ahead)] = rank[ahead:]
-        rank, order = numbered(rank * np.uint64(len(rank) + 2) + later)
+        if rest is not None:
+            later[rest <= ahead] = 0
         step += ahead
+        rank, order = numbered(rank * np.uint64(len(rank) + 2) + later, stable if step >= length else None)
     return rank, order

@@ -1,11 +1,15 @@
 """Substring dedup over bytes by run-length indexes.
 
-Candidate segments that share an anchor meet in one task, of bounded size, and there make a
-collection: its Burrows-Wheeler transform, sorted to the match length, is kept as runs, with the
-smallest document sampled at the start of every interval of equal contexts. Matching statistics of
-every segment are streamed through it from right to left: a step extends the match by one byte
-(backward search on the runs) and cuts it to the match length (the interval of contexts around it);
-a match of full length reads the sample, and is marked where a smaller document has it.
+Candidate segments that share an anchor meet in one task. A segment alone under its anchor shares
+no window with another. Of the others, those of the smallest documents, one of each anchor, make a
+collection: its Burrows-Wheeler transform is kept as runs, with the
+text place sampled at both ends of every run, and the smallest document of every interval of equal
+contexts. The segments behind are streamed through it from right to left. A step extends the match
+by one byte (backward search on the runs); where it breaks off, the match goes on from the nearer
+end of the next run of that byte, by the length which the text at the sampled place shares with it.
+A match of full length reads the interval's document. Segments with windows still open make the next
+collection (twice as many of each anchor, again by smallest documents), until none is open: rounds
+follow the logarithm of the most segments of an anchor.
 
 The anchor of a window is its minimizer, the byte string of `GRAM` bytes with the least hash,
 leftmost of equals; its key for the filter takes in half of the remaining bytes behind it or, where the window ends
@@ -30,69 +34,97 @@ GRAM = 16
 PLACE_BITS = 24  # of a byte among those worked on together
 
 END = 0xFF  # no byte of UTF-8
+POWERS = [1 << 8 * k for k in range(1, 8)]
 
 
 class RunIndex:
-    """Run-compressed transform of a byte collection, its contexts sorted to `length` bytes."""
+    """Run-compressed transform of a byte collection.
 
-    def __init__(self, text, documents, real, length: int):
-        """documents: of each byte; real: places where a whole string of `length` begins."""
+    Contexts are sorted to the end of their part, equal ones by part: a step from a row leads to the row
+    of the place before, so that places are known from the samples on. Kept of a run: byte, first row, size, and the places of the text at its first and last row. Kept
+    of an interval of contexts that share `length` bytes: first row and smallest document.
+    """
+
+    def __init__(self, text, documents, length: int):
+        """documents: of each byte; every part of the text ends with END."""
         import numpy as np
 
         n = len(text)
-        kind = np.int32 if (n + 1) << 8 < 1 << 31 else np.int64  # holds a byte and a place
-        wide = np.concatenate((text, np.zeros(8, np.uint8))).astype(np.uint64)
-        eight = np.zeros(n, np.uint64)
+        wide = np.concatenate((text, np.zeros(length + 16, np.uint8))).astype(np.uint64)
+        self.eight = np.zeros(n + length + 8, np.uint64)  # bytes from every place on, first byte highest
         for k in range(8):
-            eight = (eight << np.uint64(8)) | wide[k : k + n]
-        rank, order = repeats.ranks(eight, length, 8)
-        ordered = rank[order]
-        self.starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))  # of the intervals
-        value = np.where(real, documents, np.iinfo(np.int64).max)[order]
-        self.sample = np.minimum.reduceat(value, self.starts)
+            self.eight = (self.eight << np.uint64(8)) | wide[k : k + len(self.eight)]
+        self.n, self.length = n, length
+        ends = np.flatnonzero(text == END)
+        rest = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n) + 1  # bytes to the end of the part
+        short = self.eight[:n] >> (8 * np.maximum(8 - rest, 0)).astype(np.uint64) << (8 * np.maximum(8 - rest, 0)).astype(np.uint64)
+        _, order = repeats.ranks(short, int(rest.max()), 8, rest)
+        interval = np.concatenate(([True], self.shared(order[:-1], order[1:]) < length))
+        self.starts = np.flatnonzero(interval)
+        self.sample = np.minimum.reduceat(documents[order], self.starts)
+        self.own = np.empty(n, np.int64)  # of the collection's own places
+        self.own[order] = self.sample[np.cumsum(interval) - 1]
+        self.top = order[0]
         before = text[order - 1]  # the transform; the first byte is preceded by the last
         head = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
-        byte, size = before[head], np.diff(np.append(head, n))
-        by = np.argsort(byte, kind="stable")  # runs of each byte, in order
-        self.n, self.key, self.size = n, byte[by].astype(kind) * (n + 1) + head[by].astype(kind), size[by].astype(kind)
-        total = np.cumsum(size[by]) - size[by]
-        counts = np.bincount(text, minlength=256)
-        self.less = (np.cumsum(counts) - counts).astype(kind)
-        self.so_far, self.first = total.astype(kind), np.searchsorted(self.key, (np.arange(256) * (n + 1)).astype(kind))
-        self.base = np.append(self.so_far, kind(n))[self.first]
-        self.begin = head[by].astype(kind)
-        self.starts = self.starts.astype(kind)
-
-    def rank(self, byte, place):
-        """How often `byte` stands in the transform before `place`."""
+        size = np.diff(np.append(head, n))
+        by = np.argsort(before[head], kind="stable")  # runs of each byte, in order
+        self.byte = np.append(before[head[by]].astype(np.int64), 256)  # none past the last run
+        self.begin, self.size = np.append(head[by], n), np.append(size[by], 0)
+        self.key = self.byte[:-1] * (n + 1) + self.begin[:-1]
+        self.so_far = np.cumsum(self.size) - self.size  # rows before a run, bytes in order: where a step leads
+        self.front, self.tail = np.append(order[head[by]], 0), np.append(order[head[by] + size[by] - 1], 0)
+
+    def shared(self, a, b):
+        """Length that the texts at two places share, up to `length`."""
         import numpy as np
 
-        at = np.searchsorted(self.key, byte * (self.n + 1) + place) - 1
-        some = at >= self.first[byte]
-        at = np.maximum(at, 0)
-        return np.where(some, self.so_far[at] - self.base[byte] + np.minimum(place - self.begin[at], self.size[at]), 0)
+        out, open_, powers = np.zeros(len(a), np.int64), np.arange(len(a)), np.array(POWERS, np.uint64)
+        for k in range(0, self.length, 8):
+            differ = self.eight[a[open_] + k] ^ self.eight[b[open_] + k]
+            out[open_] += np.where(differ == 0, 8, 7 - np.searchsorted(powers, differ, "right"))
+            open_ = open_[differ == 0]
+            if not len(open_):
+                break
+        return np.minimum(out, self.length)
 
-    def stream(self, text, last, stop, length: int):
+    def stream(self, text, last, stop):
         """Matching statistics, cut to `length`, of many strings at once, from byte `last` back to
-        `stop`: (place, sample) wherever the match has full length.
-
-        What is streamed is part of the collection, so no match breaks off, and the lower end of an
-        interval tells it."""
+        `stop`: (place, document) wherever the match has full length."""
         import numpy as np
 
-        low, size = np.zeros(len(last), self.key.dtype), np.zeros(len(last), np.int64)
         at, stop = last.copy(), stop.copy()
+        row, place, size = np.zeros(len(at), np.int64), np.full(len(at), self.top), np.zeros(len(at), np.int64)
         while len(at):
-            byte = text[at].astype(low.dtype)
-            low = self.less[byte] + self.rank(byte, low)
-            size = np.minimum(size + 1, length)
-            full = np.flatnonzero(size == length)
+            byte = text[at].astype(np.int64)
+            run = np.searchsorted(self.key, byte * (self.n + 1) + row, "right") - 1
+            here = (run >= 0) & (self.byte[run] == byte)
+            broken = np.flatnonzero(~here | (row >= self.begin[run] + self.size[run]))
+            if len(broken):
+                above, below, old = run[broken], run[broken] + 1, place[broken]
+                none = np.full(len(broken), -1)
+                up, down = none.copy(), none.copy()
+                ok = np.flatnonzero(here[broken])
+                up[ok] = self.shared(self.tail[above[ok]], old[ok])
+                ok = np.flatnonzero(self.byte[below] == byte[broken])
+                down[ok] = self.shared(self.front[below[ok]], old[ok])
+                high = up >= down
+                run[broken] = np.where(high, above, below)
+                row[broken] = np.where(high, self.begin[above] + self.size[above] - 1, self.begin[below])
+                place[broken] = np.where(high, self.tail[above], self.front[below])
+                size[broken] = np.minimum(size[broken], np.maximum(up, down))  # -1: the byte is nowhere
+            row = self.so_far[run] + row - self.begin[run]
+            place = place - 1
+            size = np.minimum(size + 1, self.length)
+            lost = np.flatnonzero(size == 0)
+            row[lost], place[lost] = 0, self.top
+            full = np.flatnonzero(size == self.length)
             if len(full):
-                inside = np.searchsorted(self.starts, low[full], "right") - 1
-                low[full] = self.starts[inside]
-                yield at[full], self.sample[inside]
+                yield at[full], self.sample[np.searchsorted(self.starts, row[full], "right") - 1]
             more = at > stop
-            low, size, at, stop = low[more], size[more], at[more] - 1, stop[more]
+            if not more.all():
+                row, place, size, at, stop = row[more], place[more], size[more], at[more], stop[more]
+            at = at - 1
 
 
 class Bytes:
@@ -140,20 +172,53 @@ class Bytes:
         return at, front.astype(np.int64), named
 
     @staticmethod
-    def resolve(bodies: list[bytes], docs, length: int):
-        """For every window of each body: the smallest document that holds it."""
+    def tags(base, place):
+        return base - place  # of a segment: where its anchor stands
+
+    @staticmethod
+    def resolve(bodies: list[bytes], tags, docs, length: int):
+        """(smallest document that holds it, for every window of all bodies; windows of each)"""
         import numpy as np
 
         sizes = np.array([len(b) for b in bodies])
-        text = np.frombuffer(b"".join(b + bytes([END]) for b in bodies), np.uint8)
-        owner = np.repeat(np.arange(len(bodies)), sizes + 1)
-        starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        real = np.arange(len(text)) - starts[owner] + length <= sizes[owner]
-        index = RunIndex(text, docs[owner], real, length)
+        joined = bytes([END]).join([*bodies, b""])
+        text = np.frombuffer(joined, np.uint8)
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        eight = np.ndarray((len(joined) - 7,), "<u8", joined, strides=(1,))
+        one, two = eight[starts + tags], eight[starts + tags + 8]  # the anchor, GRAM bytes
+        order = np.lexsort((docs, two, one))
+        new = np.concatenate(([True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])))
+        first = np.flatnonzero(new)
+        nth = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
         least = np.full(len(text), np.iinfo(np.int64).max)
-        for place, sample in index.stream(text, starts + sizes - 1, starts, length):
-            least[place] = sample
-        return [least[a : a + n] for a, n in zip(starts.tolist(), (sizes - length + 1).tolist(), strict=True)]
+        windows = sizes - length + 1
+
+        def places(of, n):
+            """First n[k] places of each body, body by body."""
+            return np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+        leaders = order[first]
+        least[places(leaders, windows[leaders])] = np.repeat(docs[leaders], windows[leaders])
+        alone = np.repeat(np.diff(np.append(first, len(order))) == 1, np.diff(np.append(first, len(order))))
+        order, nth = order[~alone], nth[~alone]
+        # Whole anchors, about AT_ONCE bytes at a time.
+        heads = np.flatnonzero(nth == 0)
+        lot = np.repeat((np.cumsum(sizes[order]) // repeats.AT_ONCE)[heads], np.diff(np.append(heads, len(order))))
+        for cut in np.split(np.arange(len(order)), np.flatnonzero(np.diff(lot)) + 1):
+            some, level = order[cut], np.frexp(nth[cut] + 1.0)[1] - 1  # 1, 2, 4, ... of an anchor
+            while len(some):
+                now = level == level.min()
+                held, some, level = some[now], some[~now], level[~now]
+                at = places(held, sizes[held] + 1)
+                index = RunIndex(text[at], np.repeat(docs[held], sizes[held] + 1), length)
+                least[at] = np.minimum(least[at], index.own)
+                for place, document in index.stream(text, starts[some] + sizes[some] - 1, starts[some]):
+                    least[place] = np.minimum(least[place], document)
+                if len(some):
+                    open_ = np.maximum.reduceat(least[places(some, windows[some])], np.cumsum(windows[some]) - windows[some]) == np.iinfo(np.int64).max
+                    some, level = some[open_], level[open_]
+        at = np.arange(len(bodies))
+        return least[places(at, windows)], windows
 
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -48,14 +48,15 @@ def removed(docs, units, join, length=50):
     """Brute force of the two substring operators: {doc_id: (units, removed, spans, hash)}."""
     every = [(d, units(t)) for d, t in docs]
     first = {}
+    whole = bytes if every and isinstance(every[0][1], bytes) else tuple
     for d, u in every:
         for i in range(len(u) - length + 1):
-            first[tuple(u[i : i + length])] = min(d, first.get(tuple(u[i : i + length]), d))
+            first[whole(u[i : i + length])] = min(d, first.get(whole(u[i : i + length]), d))
     out = {}
     for d, u in every:
         lost = [False] * len(u)
         for i in range(len(u) - length + 1):
-            if first[tuple(u[i : i + length])] < d:
+            if first[whole(u[i : i + length])] < d:
                 lost[i : i + length] = [True] * length
         spans = sum(x and not (i and lost[i - 1]) for i, x in enumerate(lost))
         out[d] = (len(u), sum(lost), spans, hashlib.sha256(join(x for x, gone in zip(u, lost) if not gone)).hexdigest())
@@ -77,12 +78,24 @@ def test_runs_and_periods(spark):
 
 
 def test_bytes_against_brute_force(spark, documents):
-    docs = documents[:60] + [(1000, "é" * 80), (1001, "zz" + "é" * 60), (1002, "ab" * 100)]
+    docs = documents + [(10**6 + k, f"{k} under one anchor " + 'the same thirty-four bytes of text' + f" and then {k % 7} {k}" * 4) for k in range(300)]  # a hot anchor
+    docs += [(1000 * 1000 + 1000, "é" * 80), (1001001, "zz" + "é" * 60), (1001002, "ab" * 100)]
     want = removed(docs, lambda t: t.encode(), bytes)
     got = rindex.dedup_bytes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
 
 
+def test_matching_statistics():
+    import numpy as np
+
+    held, asked = [b"banana bandana", b"an anagram, a nap", b"nab a banana"], b"a bandanab, an anagram bana"
+    text = b"".join(x + b"\xff" for x in held)
+    index = rindex.RunIndex(np.frombuffer(text, np.uint8), np.repeat([5, 3, 4], [len(x) + 1 for x in held]), 4)
+    got = {int(p): int(d) for at, docs in index.stream(np.frombuffer(asked, np.uint8), np.array([len(asked) - 1]), np.array([0])) for p, d in zip(at, docs)}
+    own = [(5, held[0]), (3, held[1]), (4, held[2])]
+    assert got == {i: min(d for d, x in own if asked[i : i + 4] in x) for i in range(len(asked) - 3) if any(asked[i : i + 4] in x for x in held)}
+
+
 def test_simhash_groups(spark, documents):
     got = simhash.op9_simhash(spark, FOLDER).collect()
     prints = {r.doc_id: int(r.fingerprint, 16) for r in got}
