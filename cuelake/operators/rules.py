@@ -304,6 +304,14 @@ def unresolved(issues: DataFrame, decisions: DataFrame) -> DataFrame:
     return joined.where(is_open).select(*issues.columns)
 
 
+def queue_blockers(pending: DataFrame) -> DataFrame:
+    """What pending issues hold up, one row each: (track_id, check) with `pending` for every issue,
+    `urgent` for a severe one, `coverage` for a question of speech coverage. One pass over the queue."""
+    severe = F.coalesce(F.col("end_ms") - F.col("start_ms") >= _lookup(URGENT_MS, F.col("kind")), F.lit(False))
+    checks = F.array(F.lit("pending"), F.when(severe, "urgent"), F.when(F.col("kind").isin("subtitle_gap", "possible_speech_gap"), "coverage"))
+    return pending.select("track_id", F.explode(F.array_compact(checks)).alias("check"))
+
+
 # Fixed outcome and disposition names of an audio decision.
 OUTCOMES = ["relevant_speech", "unintelligible_speech", "music_without_relevant_words", "nonverbal_sound", "silence"]
 DISPOSITIONS = ["source_supported", "model_artifact", "repaired", "no_relevant_speech"]

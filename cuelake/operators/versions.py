@@ -194,3 +194,12 @@ def timing_evidence_errors(decisions: DataFrame, evidence: DataFrame) -> DataFra
 
 def current_rows(rows: DataFrame, current: DataFrame, key: Sequence[str], sha: str = "sha") -> DataFrame:
     return stale(rows, current, key, sha, keep=True)
+
+
+def stale_tracks(reviewed: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Tracks whose rows differ, as a set, from the reviewed ones; a track in one table only differs too."""
+    def version(df, name):
+        return df.groupBy("track_id").agg(set_hash(row_hash(*columns)).alias(name))
+
+    joined = version(reviewed, "_r").join(version(current, "_c"), "track_id", "full")
+    return joined.where(~F.col("_r").eqNullSafe(F.col("_c"))).select("track_id")

@@ -289,31 +289,6 @@ def combine_reviews_a29(t):
     return ms.combine_reviews(rows, t.cues, T, ["cue_id"])
 
 
-@plan("release_gate_a24", f""", {LINKS_SQL}, {ASSESSED},
-b AS (SELECT e.track_id, 'timing' AS "check" FROM edited e JOIN media USING (track_id) WHERE e.end_ms > duration_ms
- UNION ALL SELECT track_id, 'timing' FROM (SELECT *, lag(end_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS pe FROM edited) WHERE pe > start_ms
- UNION ALL SELECT track_id, 'links' FROM cues c WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.track_id=c.track_id AND l.unit_id=c.cue_id)
- UNION ALL SELECT track_id, 'links' FROM target c WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.track_id=c.track_id AND l.translation_id=c.cue_id)
- UNION ALL SELECT track_id, 'meaning' FROM asd WHERE verdict <> 'correct' AND NOT settled)
-SELECT m.track_id, count(b.track_id) AS blockers, coalesce(string_agg(DISTINCT b.check, ',' ORDER BY b.check), '') AS checks, count(b.track_id)=0 AS passed FROM media m LEFT JOIN b ON b.track_id=m.track_id GROUP BY 1""")
-def release_gate_a24(t):
-    named = lambda df, name: df.withColumn("check", F.lit(name))
-    return ms.release_gate(t.media, [
-        named(sq.validate(t.edited, t.media), "timing"),
-        named(lk.link_gaps(units(t), translated(t), lk.link_tracks(t.cues, t.target)), "links"),
-        named(assessed(t).where((F.col("verdict") != "correct") & ~F.col("settled")), "meaning")])
-
-
-@plan("episode_summary_a25", f""", {GAPS}
-SELECT track_id, (SELECT count(*) FROM cues c WHERE c.track_id=m.track_id) AS cues, (SELECT count(*) FROM gaps c WHERE c.track_id=m.track_id) AS gaps,
- (SELECT count(*) FROM cues c WHERE c.track_id=m.track_id AND end_ms-start_ms > 8000) AS long_cues,
- (SELECT count(*) FROM (SELECT *, lag(end_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS pe FROM cues) c WHERE c.track_id=m.track_id AND pe > start_ms) AS overlaps FROM media m""")
-def episode_summary_a25(t):
-    return ms.episode_summary(t.media, {
-        "cues": t.cues, "gaps": iv.gaps(t.cues, t.media), "long_cues": ms.long_cues(t.cues),
-        "overlaps": iv.overlaps(t.cues, id_chunk("cue_id"))})
-
-
 @plan("mapped_events_s15", """
 , ev AS (SELECT vec_id AS clip_id, k AS event_id, CASE label % 2 WHEN 0 THEN 'speech' ELSE 'music' END AS label, 0.05+0.1*k AS first_s, 0.2+0.1*k AS last_s FROM embeddings, range(3) r(k)),
 fr AS (SELECT vec_id AS clip_id, CASE label % 2 WHEN 0 THEN 'speech' ELSE 'music' END AS label, unnest(embedding) AS p, generate_subscripts(embedding, 1) - 1 AS frame_no FROM embeddings)

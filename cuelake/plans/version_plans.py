@@ -4,14 +4,18 @@ from pyspark.sql import functions as F
 
 from cuelake.functions import row_hash
 from cuelake.functions.base import idiv
+from cuelake.operators import linking as lk
+from cuelake.operators import measures as ms
 from cuelake.operators import rules as rl
 from cuelake.operators import sequences as sq
 from cuelake.operators import versions as vs
 from cuelake.operators.ordered import id_chunk, scan
-from cuelake.plans.measure_plans import has
-from cuelake.plans.registry import plan
-from cuelake.plans.rule_plans import SMALL, issues, row_sha
+from cuelake.plans.link_plans import LINKS_SQL, translated, units
+from cuelake.plans.measure_plans import ASSESSED, assessed, has
+from cuelake.plans.registry import CHECKS, plan
+from cuelake.plans.rule_plans import SMALL, decision_errors_t11, grouping_pending_t12, issues, pending_issues_j17, row_sha, translation_audit_t7, unresolved_issues_j29
 from cuelake.plans.scalar_plans import set_hash_sql
+from cuelake.plans.sequence_plans import layout_overlap_w9, scan_contiguity_w10
 
 T = ["track_id"]
 
@@ -209,3 +213,51 @@ def open_work_a25(t):
     long = issues(t).where(F.col("end_ms") - F.col("start_ms") >= 10_000)
     # Tracks per kind by two grouped counts: the first one combines, so no wide distinct set.
     return rl.ordered(long.groupBy("kind", "track_id").agg(F.count(F.lit(1)).alias("_n")).groupBy("kind").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("tracks")), "kind")
+
+
+def rows_sql(name, check):
+    return f"SELECT track_id, '{check}' AS \"check\" FROM ({CHECKS[name]})"
+
+
+LATE = """SELECT e.track_id, 'timing' AS "check" FROM {src} e JOIN media USING (track_id) WHERE e.end_ms > duration_ms
+ UNION ALL SELECT track_id, 'timing' FROM (SELECT *, lag(end_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS pe FROM {src}) WHERE pe > start_ms"""
+
+
+@plan("release_gate_a24", f""", {LINKS_SQL}, {ASSESSED},
+p AS ({CHECKS["pending_issues_j17"]}),
+b AS ({LATE.format(src="edited")} UNION ALL {LATE.format(src="target")}
+ UNION ALL SELECT track_id, 'links' FROM cues c WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.track_id=c.track_id AND l.unit_id=c.cue_id)
+ UNION ALL SELECT track_id, 'links' FROM target c WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.track_id=c.track_id AND l.translation_id=c.cue_id)
+ UNION ALL SELECT track_id, 'meaning' FROM asd WHERE verdict <> 'correct' AND NOT settled
+ UNION ALL SELECT DISTINCT coalesce(c.track_id, e.track_id), 'source' FROM cues c FULL JOIN edited e ON c.track_id=e.track_id AND c.cue_id=e.cue_id AND c.start_ms=e.start_ms AND c.end_ms=e.end_ms AND c.text=e.text WHERE c.track_id IS NULL OR e.track_id IS NULL
+ UNION ALL {rows_sql("decision_errors_t11", "audio")} UNION ALL {rows_sql("scan_contiguity_w10", "scan")} UNION ALL {rows_sql("layout_overlap_w9", "layout")}
+ UNION ALL {rows_sql("grouping_pending_t12", "grouping")} UNION ALL {rows_sql("unresolved_issues_j29", "unresolved")}
+ UNION ALL SELECT track_id, 'pending' FROM p
+ UNION ALL SELECT track_id, 'urgent' FROM p WHERE end_ms-start_ms >= CASE kind WHEN 'long_cue' THEN 20000 WHEN 'repetition' THEN 30000 WHEN 'subtitle_gap' THEN 30000 END
+ UNION ALL SELECT track_id, 'coverage' FROM p WHERE kind IN ('subtitle_gap','possible_speech_gap'))
+SELECT m.track_id, count(b.track_id) AS blockers, coalesce(string_agg(DISTINCT b.check, ',' ORDER BY b.check), '') AS checks, count(b.track_id)=0 AS passed FROM media m LEFT JOIN b ON b.track_id=m.track_id GROUP BY 1""")
+def release_gate_a24(t):
+    named = lambda df, name: df.withColumn("check", F.lit(name))
+    return ms.release_gate(t.media, [
+        named(sq.validate(t.edited, t.media), "timing"), named(sq.validate(t.target, t.media), "timing"),
+        named(lk.link_gaps(units(t), translated(t), lk.link_tracks(t.cues, t.target)), "links"),
+        named(assessed(t).where((F.col("verdict") != "correct") & ~F.col("settled")), "meaning"),
+        named(vs.stale_tracks(t.cues, t.edited, ["cue_id", "start_ms", "end_ms", "text"]), "source"),
+        named(decision_errors_t11(t), "audio"), named(scan_contiguity_w10(t), "scan"), named(layout_overlap_w9(t), "layout"),
+        named(grouping_pending_t12(t), "grouping"), named(unresolved_issues_j29(t), "unresolved"),
+        rl.queue_blockers(pending_issues_j17(t))])
+
+
+@plan("episode_summary_a25", f"""
+, parts AS (SELECT track_id, 'cues' AS p FROM cues UNION ALL SELECT track_id, kind FROM ({CHECKS["pending_issues_j17"]}) UNION ALL {rows_sql("decision_errors_t11", "audio_questions")} UNION ALL {rows_sql("translation_audit_t7", "translation_flags")}
+ UNION ALL {rows_sql("layout_overlap_w9", "layout_overlaps")} UNION ALL {rows_sql("scan_contiguity_w10", "scan_errors")})
+SELECT m.track_id, {", ".join(f"count(*) FILTER (p='{k}') AS {n}" for k, n in (("cues", "cues"), ("subtitle_gap", "gaps"), ("long_cue", "long_cues"), ("overlap", "overlaps"), ("repetition", "repetitions"), ("audio_questions", "audio_questions"), ("translation_flags", "translation_flags"), ("layout_overlaps", "layout_overlaps"), ("scan_errors", "scan_errors")))}
+FROM media m LEFT JOIN parts ON parts.track_id=m.track_id GROUP BY 1""")
+def episode_summary_a25(t):
+    # Issues are counted by kind ahead of the union; every other report comes as rows.
+    kinds = {"gaps": "subtitle_gap", "long_cues": "long_cue", "overlaps": "overlap", "repetitions": "repetition"}
+    counted = pending_issues_j17(t).groupBy("track_id").agg(*[F.count_if(F.col("kind") == kind).alias(name) for name, kind in kinds.items()])
+    rest = ms.episode_summary(t.media, {
+        "cues": t.cues, "audio_questions": decision_errors_t11(t), "translation_flags": translation_audit_t7(t),
+        "layout_overlaps": layout_overlap_w9(t), "scan_errors": scan_contiguity_w10(t)})
+    return rest.join(counted, "track_id", "left").select(*rest.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in kinds])

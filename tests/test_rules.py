@@ -238,3 +238,20 @@ def test_moved_words_are_no_repair(spark):
     names = spark.createDataFrame([("Mecnun",)], "name string")
     edits_ = spark.createDataFrame([(1, "Necnun geldi dün", "Mecnun geldi dün"), (2, "geldi dün Necnun", "dün geldi Mecnun"), (3, "geldi dün", "dün geldi")], "edit_id long, old string, new string")
     assert {r.edit_id: r.accepted for r in sc.repair_gate(edits_, names).collect()} == {1: True, 2: False, 3: False}
+
+
+def test_release_blockers(spark):
+    pending = spark.createDataFrame([(1, "subtitle_gap", 0, 30_000), (1, "subtitle_gap", 0, 29_999), (2, "possible_speech_gap", 0, 90_000), (2, "long_cue", 0, 20_000), (3, "overlap", 0, 5)],
+                                    "track_id long, kind string, start_ms long, end_ms long")
+    got = sorted(map(tuple, rl.queue_blockers(pending).collect()))
+    assert got == sorted([(1, "pending")] * 2 + [(1, "urgent")] + [(1, "coverage")] * 2 + [(2, "pending")] * 2 + [(2, "coverage"), (2, "urgent"), (3, "pending")])
+    assert rl.queue_blockers(pending.limit(0)).collect() == []
+
+    cues = [(1, 1, 0, 9, "a"), (1, 2, 9, 12, None), (2, 1, 0, 9, "a"), (3, 1, 0, 9, "a"), (5, 1, 0, 9, "a"), (5, 1, 0, 9, "a")]
+    now = [(1, 2, 9, 12, None), (1, 1, 0, 9, "a"), (2, 1, 0, 9, "b"), (4, 1, 0, 9, "a"), (5, 1, 0, 9, "a")]
+    stale = vs.stale_tracks(spark.createDataFrame(cues, CUE), spark.createDataFrame(now, CUE), ["cue_id", "start_ms", "end_ms", "text"])
+    assert {r.track_id for r in stale.collect()} >= {2, 3, 4} and 1 not in {r.track_id for r in stale.collect()}
+
+    tracks = spark.createDataFrame([(1,), (3,), (9,)], "track_id long")
+    gate = {r.track_id: (r.blockers, r.checks, r.passed) for r in ms.release_gate(tracks, [rl.queue_blockers(pending)]).collect()}
+    assert gate == {1: (5, "coverage,pending,urgent", False), 3: (1, "pending", False), 9: (0, "", True)}
