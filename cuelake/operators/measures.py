@@ -106,23 +106,6 @@ def throughput(runs: DataFrame, by: Sequence[str]) -> DataFrame:
 
 # --- text agreement -------------------------------------------------------------------------
 
-def word_agreement(heard: DataFrame, written: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Shared words with multiplicity over heard words, per key; both sides have key and text.
-
-    Works on exploded words, so texts of a key may come in many rows and are never joined up.
-    """
-    key = list(key)
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*key, F.explode(letter_tokens("text")).alias("word")).groupBy(*key, "word").agg(
-            F.count(F.lit(1)).alias(name))
-
-    both = counted(heard, "h").join(counted(written, "w"), [*key, "word"], "left")
-    total = both.groupBy(*key).agg(
-        F.sum("h").alias("heard_words"), F.sum(F.least("h", F.coalesce("w", F.lit(0)))).alias("shared_words"))
-    return total.withColumn("agreement", F.round(F.col("shared_words") / F.col("heard_words"), 3))
-
-
 def window_words(windows: DataFrame, cues: DataFrame) -> DataFrame:
     """Cue texts that show in each recogniser window, one row per pair."""
     slim = cues.select("track_id", "cue_id", "text", F.col("start_ms").alias("r_start"), F.col("end_ms").alias("r_end"))

@@ -7,6 +7,7 @@ from cuelake.operators import intervals as iv
 from cuelake.operators import ledger as lg
 from cuelake.operators import linking as lk
 from cuelake.operators import measures as ms
+from cuelake.operators import scoring as sc
 from cuelake.operators import sequences as sq
 from cuelake.operators.ordered import id_chunk
 from cuelake.plans.interval_plans import GAPS, MERGE
@@ -93,8 +94,7 @@ ww AS (SELECT track_id, start_ms, word, count(*) AS w FROM pw GROUP BY ALL)
 SELECT hw.track_id, hw.start_ms, CAST(sum(h) AS BIGINT) AS heard_words, CAST(sum(least(h, coalesce(w, 0))) AS BIGINT) AS shared_words,
  round(sum(least(h, coalesce(w, 0)))::DOUBLE / sum(h)::DOUBLE, 3) AS agreement FROM hw LEFT JOIN ww ON hw.track_id=ww.track_id AND hw.start_ms=ww.start_ms AND hw.word=ww.word GROUP BY 1, 2""")
 def word_agreement_a4(t):
-    shown = ms.window_words(t.heard, t.target).select("track_id", "start_ms", "text")
-    return ms.word_agreement(t.heard.select("track_id", "start_ms", "text"), shown, ["track_id", "start_ms"])
+    return sc.word_agreement(ms.window_text(t.heard, t.target)).select("track_id", "start_ms", "heard_words", "shared_words", "agreement")
 
 
 @plan("window_text_j5", """
