@@ -120,9 +120,9 @@ def window_text(windows: DataFrame, cues: DataFrame) -> DataFrame:
         "cue_text", F.coalesce("cue_text", F.lit("")))
 
 
-def _distance(heard: list, written: list) -> int:
-    """Word edits between two word lists. Common ends are cut off; of the rest, one column of the edit
-    table at a time is held as two bit sets (where it rises and where it falls), one bit a word."""
+def _distance(heard: Sequence, written: Sequence) -> int:
+    """Edits between two sequences of words or characters. Common ends are cut off; of the rest, one column of the edit
+    table at a time is held as two bit sets (where it rises and where it falls), one bit an element."""
     m = min(len(heard), len(written))
     front = next((i for i in range(m) if heard[i] != written[i]), m)
     back = next((i for i in range(m - front) if heard[-1 - i] != written[-1 - i]), m - front)

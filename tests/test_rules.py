@@ -1,9 +1,11 @@
 import itertools
 import math
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cuelake.operators import ledger as lg
 from cuelake.operators import measures as ms
@@ -287,3 +289,18 @@ def test_words_stay_in_their_window(spark):
     for frame in (diff, agreement, sc.classify_window(df)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning" not in plan and "Join" not in plan and "Sort " not in plan
+
+
+def test_edits_of_long_texts(spark):
+    """A text of 60,000 characters (half a minute in the whole edit table), one inside another, and random
+    pairs around the length where the way of counting changes, against the built-in distance."""
+    rng = random.Random(6)
+    line = lambda n: "".join(rng.choices("abcdeğ ", k=n))
+    pairs = [(line(n), line(m)) for n in (0, 1, 60, 141, 142, 300) for m in (0, 1, 141, 142, 400)]
+    pairs += [(p[50:90], p) for p in (line(500),)] + [(p, p[2:200]) for p in (line(500),)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate([*pairs, (None, "a"), ("a", None)])], "i long, a string, b string")
+    assert df.where(~sc.text_edits(F.col("a"), F.col("b")).eqNullSafe(F.levenshtein("a", "b"))).collect() == []
+    long = line(60_000)
+    begun = time.time()
+    got = spark.createDataFrame([(long, long[::-1]), (long, long[:30_000] + "z" + long[30_001:])], "a string, b string").select(sc.text_edits(F.col("a"), F.col("b")).alias("n")).collect()
+    assert got[1].n == 1 and 0 < got[0].n < 60_000 and time.time() - begun < 20
