@@ -240,11 +240,12 @@ def stale(rows: DataFrame, current: DataFrame, key: Sequence[str], sha: str = "s
 def bind_flags(flags: DataFrame, items: DataFrame, facts: DataFrame) -> DataFrame:
     """Hash of flag, item and alignment facts, so a decision expires when any of them changes.
 
-    `items` and `facts` carry one hash per (track_id, language, item_id): item_sha, fact_sha.
+    `items` and `facts` carry one hash per (track_id, language, item_id): item_sha, fact_sha. A measure
+    without an integer (the infinite speed of a cue of no length) counts as none.
     """
     key = ["track_id", "language", "item_id"]
     joined = flags.join(items, key, "left").join(facts, key, "left")
-    return joined.withColumn("binding", row_hash("language", "item_id", "kind", F.col("measure").cast("bigint"), "item_sha", "fact_sha")).drop("item_sha", "fact_sha")
+    return joined.withColumn("binding", row_hash("language", "item_id", "kind", F.col("measure").try_cast("bigint"), "item_sha", "fact_sha")).drop("item_sha", "fact_sha")
 
 
 def open_flags(bound: DataFrame, decisions: DataFrame) -> DataFrame:
