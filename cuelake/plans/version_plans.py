@@ -220,7 +220,8 @@ def rows_sql(name, check):
 
 
 LATE = """SELECT e.track_id, 'timing' AS "check" FROM {src} e JOIN media USING (track_id) WHERE e.end_ms > duration_ms
- UNION ALL SELECT track_id, 'timing' FROM (SELECT *, lag(end_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS pe FROM {src}) WHERE pe > start_ms"""
+ UNION ALL SELECT track_id, 'timing' FROM (SELECT *, lag(end_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS pe FROM {src}) WHERE pe > start_ms
+ UNION ALL SELECT track_id, 'timing' FROM (SELECT *, lag(start_ms) OVER (PARTITION BY track_id ORDER BY cue_id) AS ps FROM {src}) WHERE ps > start_ms"""
 
 
 @plan("release_gate_a24", f""", {LINKS_SQL}, {ASSESSED},

@@ -9,7 +9,9 @@ import duckdb
 import pytest
 
 from compare import compare, engine
+from cuelake.operators import sequences as sq
 from cuelake.plans import all_checks, all_plans
+from cuelake.sources.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 PLANS, CHECKS = all_plans(), all_checks()
@@ -56,3 +58,16 @@ def test_units_of_no_length(spark, tmp_path):
     # No integer for that measure: SQL refuses the cast here, the query binds the flag without one.
     for name in ("flag_binding_t13", "open_flags_t13"):
         assert {("fast_cue", 3)} <= {(r.kind, r.item_id) for r in PLANS[name](spark, str(tmp_path)).collect()}
+
+
+def test_gate_counts_cues_out_of_order(spark, tmp_path):
+    """Target cue 5 of track 72 starts ahead of cue 4: one blocker more than their overlap (the SQL left it out)."""
+    rows = [(72, "a first line\nand a second one\nthe third one\nab\nand a fifth line"), (73, "another trac\nof two lines")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/parts")
+    part = next(tmp_path.glob("parts/*.parquet"))
+    (tmp_path / "documents.parquet").symlink_to(part)
+    t = Tables(spark, str(tmp_path))
+    assert (72, 5, "out_of_order") in {tuple(r) for r in sq.validate(t.target, t.media).collect()}
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{part}'")
+    assert compare(spark, db, str(tmp_path), "release_gate_a24", PLANS["release_gate_a24"], CHECKS["release_gate_a24"])[0] == ""
