@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline  # noqa: E402
+from cuelake.llm import simhash  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 EXTRA = ["row", "mark", "nth", "label", "share", "languages", "_row", "_kept", "node", "component_id", "root", "hashes"]
@@ -68,3 +70,18 @@ def test_language_and_mix(spark, docs):
     mixed = stage_named("mix")(spark, docs, FOLDER)
     assert mixed.count() > 0
     assert stage_named("mix")(spark, docs.where("false"), FOLDER).collect() == []
+
+
+def test_near_duplicates_by_simhash(spark):
+    """Two texts within three bits whose five-word sets are too unlike (two changed words of 40) leave one row."""
+    words = [f"w{k}" for k in range(400)]
+    rng = random.Random(3)
+    base = next(b for b in iter(lambda: rng.sample(words, 40), None) if bin((simhash.simhash(" ".join(b)) ^ simhash.simhash(" ".join(changed(b)))) & (1 << 64) - 1).count("1") <= 3)
+    texts = [(2, " ".join(base)), (1, " ".join(changed(base))), (3, PROSE)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted(r.component_id for r in simhash.similar_groups(docs).collect()) == [1, 2, 3]
+    assert sorted(r.doc_id for r in stage_named("near duplicates")(spark, docs, FOLDER).collect()) == [1, 3]
+
+
+def changed(words):
+    return [w + "x" if k in (15, 30) else w for k, w in enumerate(words)]
