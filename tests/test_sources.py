@@ -5,6 +5,7 @@ import uuid
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cuelake.operators.ledger import decide_reservations, ledger_status, settle_usage
@@ -187,3 +188,23 @@ def test_receipts_refresh_only_touched_tracks(spark):
     seen = []
     flows.refresh_gaps(cues, lambda df, epoch: seen.extend((epoch, r.obs_id) for r in df.collect()))(batch, 3)
     assert seen == [(3, 5)]
+
+
+def test_cues_are_staged_from_small_files(spark, tmp_path):
+    # One file of one row group is one task; a shuffle of it would be held by that task, too.
+    from cuelake.session import DEALT_ROWS
+    from cuelake.sources.tables import Tables
+
+    words = ["", "short", "a line of many words", "quite a long line with q", "wide enough to stay here"]
+    docs = spark.range(2 * DEALT_ROWS + 1).select(F.col("id").alias("doc_id"), F.array_join(F.transform(
+        F.sequence(F.lit(0), F.lit(6)), lambda at: F.element_at(F.array(*map(F.lit, words)), (1 + (F.col("id") + at * at) % len(words)).cast("int"))), "\n").alias("text"))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tables(spark, str(tmp_path))
+    seen = []
+    parse = t.parsed_cues
+    t.parsed_cues = lambda df: seen.append(len(df.inputFiles())) or parse(df)
+    assert t.cues.count() > 0 and seen[0] == 3
+    assert "Exchange" not in t.renumbered._jdf.queryExecution().executedPlan().toString()
+    order = Window.partitionBy("track_id").orderBy("cue_id")
+    numbered = t.edited.withColumn("cue_id", F.row_number().over(order).cast("bigint"))
+    assert sorted(map(tuple, t.renumbered.collect())) == sorted(map(tuple, numbered.collect()))
