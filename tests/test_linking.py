@@ -106,3 +106,16 @@ def test_speech_in_gap(spark):
                                 "track_id long, obs_id long, kind string, start_ms long, end_ms long")
     got = lk.speech_in_gaps(obs, version(spark, (500, 1500, "x"))).collect()
     assert [(r.obs_id, r.kind) for r in got] == [(1, "possible_speech_gap")]
+
+
+def test_words_differ_by_group(spark):
+    a = version(spark, (0, 1, "one two"), (1, 2, " three  one"), (2, 3, " "))
+    same = version(spark, (0, 1, "one"), (1, 2, "two\nthree"), (2, 4, "one"))
+    for other, n in [(same, 0), (version(spark, (0, 1, "two one three one")), 1), (version(spark, (0, 1, "one two three")), 1), (version(spark, (0, 1, " ")), 1)]:
+        assert lk.words_differ(a, other, ["track_id"], "cue_id").count() == n
+        assert lk.word_mismatches(a, other, ["track_id"], "cue_id").count() == n
+    nothing = version(spark, (0, 1, "\n"))
+    assert lk.words_differ(nothing, version(spark, (0, 1, " ")), ["track_id"], "cue_id").count() == 0
+    # Each text moves once: the plan shuffles no row per word.
+    plan = lk.words_differ(a, same, ["track_id"], "cue_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "word_no" not in plan and plan.count("RepartitionByExpression") == 4
