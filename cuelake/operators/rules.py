@@ -47,7 +47,7 @@ def review_queue(
         _issue(ms.long_cues(cues), "long_cue", "cue_id"),
         _issue(iv.overlaps(cues, id_chunk("cue_id")), "overlap", "left_id", "right_id"),
         _issue(iv.gaps(cues, media), "subtitle_gap", or_word("previous_cue", "start"), or_word("next_cue", "end")),
-        _issue(sq.runs(cues), "repetition", "first_id", "last_id"),
+        _issue(sq.runs(cues, with_text=False), "repetition", "first_id", "last_id"),
     ]
     if shifted is not None:
         parts.append(_issue(lk.reference_only(cues, shifted), "reference_only", "ref_id"))
@@ -121,7 +121,7 @@ def translation_audit(source: DataFrame, target: DataFrame, max_cps: float = 25,
         flag(iv.uncovered_cues(s, t), "source_without_target", "source", "cue_id")
         .unionByName(flag(iv.uncovered_cues(t, s), "target_without_source", "target", "cue_id"))
         .unionByName(flag(grouped, "many_source_cues_one_target", "target", "target_id"))
-        .unionByName(flag(sq.runs(target), "repeated_target", "target", "first_id"))
+        .unionByName(flag(sq.runs(target, with_text=False), "repeated_target", "target", "first_id"))
         .unionByName(fast(source, "source")).unionByName(fast(target, "target"))
         .unionByName(flag(ms.long_cues(target, long_ms), "long_target_cue", "target", "cue_id")))
 

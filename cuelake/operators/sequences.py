@@ -18,15 +18,21 @@ from cuelake.session import cut_lineage
 TRACK = ["track_id"]
 
 
-def runs(cues: DataFrame, at_least: int = 3, min_length: int = 8) -> DataFrame:
-    """Adjacent cues with one normalised text; a run is named by its first and last cue."""
-    slim = cues.select("track_id", "cue_id", "start_ms", "end_ms", norm_text("text").alias("norm"))
+def runs(cues: DataFrame, at_least: int = 3, min_length: int = 8, with_text: bool = True) -> DataFrame:
+    """Adjacent cues with one normalised text; a run is named by its first and last cue.
+
+    Without the text (`norm`) only its hash and length travel through the scans.
+    """
+    norm = norm_text("text")
+    kept = {"norm": norm} if with_text else {}
+    slim = cues.select("track_id", "cue_id", "start_ms", "end_ms", F.unhex(F.sha2(norm, 256)).alias("_sha"), F.length(norm).alias("_length"),
+                       *[value.alias(name) for name, value in kept.items()])
     # Neighbours compare by hash, so no text travels in the edge rows of the scan.
-    found = islands(slim, TRACK, ["cue_id"], id_chunk("cue_id"), F.sha2("norm", 256),
-                    first={"first_id": "cue_id", "start_ms": "start_ms", "norm": "norm"},
+    found = islands(slim, TRACK, ["cue_id"], id_chunk("cue_id"), "_sha",
+                    first={"first_id": "cue_id", "start_ms": "start_ms", "_length": "_length", **{name: name for name in kept}},
                     last={"last_id": "cue_id", "end_ms": "end_ms"})
-    return found.where((F.col("n_rows") >= at_least) & (F.length("norm") >= min_length)).select(
-        "track_id", "first_id", "last_id", "start_ms", "end_ms", "n_rows", "norm")
+    return found.where((F.col("n_rows") >= at_least) & (F.col("_length") >= min_length)).select(
+        "track_id", "first_id", "last_id", "start_ms", "end_ms", "n_rows", *kept)
 
 
 def longest_run(cues: DataFrame) -> DataFrame:

@@ -141,3 +141,11 @@ def test_grouping_shuffles_are_kept(spark):
     df = spark.createDataFrame([(1, i, 10) for i in range(1, 102)], "track_id long, row_no long, weight long")
     text = sq.greedy_batches(df, ["track_id"], 100, 5000)._jdf.queryExecution().executedPlan().toString()
     assert text.count("hashpartitioning(xxhash64(") >= 2
+
+
+def test_runs_without_text_move_none(spark):
+    cues = spark.createDataFrame([(1, i, 1000 * i, 1000 * i + 900, "Same line again" if 3 <= i < 8 else f"line {i} alone") for i in range(1, 12)],
+                                 "track_id long, cue_id long, start_ms long, end_ms long, text string")
+    slim = sq.runs(cues, with_text=False)
+    assert [tuple(r) for r in slim.collect()] == [tuple(r)[:-1] for r in sq.runs(cues).collect()] == [(1, 3, 7, 3000, 7900, 5)]
+    assert "norm" not in slim._jdf.queryExecution().executedPlan().toString()
