@@ -160,7 +160,8 @@ r AS (SELECT *, list_reduce(list_prepend({'n': 0::BIGINT, 'l': 0::BIGINT, 'm': 0
 SELECT track_id, cue_id, z.n AS lines, x <> '' AND NOT contains(x, '<') AND NOT contains(x, '>') AND length(x) <= budget AND z.n <= 2 AND z.m <= 42 AS fits FROM r""")
 def fits_layout_p22(t):
     flat = F.trim(F.regexp_replace("text", r"[\r\n]", " "))
-    return t.cues.select("track_id", "cue_id", fn.wrapped_lines(flat)["lines"].cast("bigint").alias("lines"), fn.fits_layout("text", fn.char_budget("start_ms", "end_ms")).alias("fits"))
+    rows = t.cues.withColumn("shape", fn.wrapped_lines(flat))
+    return rows.select("track_id", "cue_id", F.col("shape.lines").cast("bigint").alias("lines"), fn.fits_layout("text", fn.char_budget("start_ms", "end_ms"), shape="shape").alias("fits"))
 
 
 @plan("char_budget_p23", "SELECT track_id, cue_id, (end_ms-start_ms)*20//1000 AS budget FROM target WHERE length(replace(text, chr(10), ' ')) * 1000 > 20 * (end_ms-start_ms)")
