@@ -119,3 +119,14 @@ def test_words_differ_by_group(spark):
     # Each text moves once: the plan shuffles no row per word.
     plan = lk.words_differ(a, same, ["track_id"], "cue_id")._jdf.queryExecution().optimizedPlan().toString()
     assert "word_no" not in plan and plan.count("RepartitionByExpression") == 4
+
+
+def test_speech_in_gap_across_buckets(spark):
+    # Words at, over and beside the border of a minute, of no length, and without a time.
+    words = [(1, 59_000, 59_500), (2, 59_900, 60_000), (3, 59_900, 60_100), (4, 60_000, 60_000), (5, 61_000, 181_000), (6, 200_000, 201_000), (7, None, None), (8, -500, 20), (9, 119_990, 120_005)]
+    obs = spark.createDataFrame([(1, i, "asr", s, e) for i, s, e in words], "track_id long, obs_id long, kind string, start_ms long, end_ms long")
+    cues = [(59_950, 60_050), (120_000, 120_010), (10, 30), (199_000, 200_000)]
+    alone = lk.speech_in_gaps(obs, version(spark, *[(s, e, "x") for s, e in cues]))
+    free = {i for i, s, e in words if s is None or not any(a < e and b > s for a, b in cues)}
+    assert sorted(r.obs_id for r in alone.collect()) == sorted(free) == [1, 6, 7]
+    assert alone._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 2
