@@ -5,7 +5,8 @@ numbers. Equal fingerprints collapse before any pair is looked for. Two fingerpr
 `max_distance` bits agree, in at least one of `max_distance // 2 + 1` segments, up to one bit:
 every fingerprint looks up its segment values and their one-bit neighbours in the table of
 segment values, and whole distances decide. A fingerprint has a bounded number of neighbours
-within three bits (43,744), so links grow with the distinct fingerprints and not with copies.
+within three bits (43,744), so links grow with the distinct fingerprints and not with copies. Crowds of
+near copies are joined first, over the values next to them, so their pairs are not listed either.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero, which
 links like any other; repeated rows come back as often as they come in; a row whose doc_id is null
@@ -19,8 +20,9 @@ of five-word shingles. A radius of bits that reaches 0.8 leaves no segment long
 key only: that of their two smallest shared hashes. Before the sets themselves decide, two sketches
 drop the unlike: parities of 512 shingle classes, of which two sets differ in no more than the
 shingles that only one of them has (an exact bound), and, for large sets, SimHash of 256 bits.
-Equal sets collapse first. Then every row of a key is compared with the key's first, and only rows
-of a key that this leaves in different groups are compared with each other.
+Equal sets collapse first. Then every row of a key is compared with the key's first, those left in other
+groups with one dealt by hash for each key (so a crowd meets up to 28 of its own), and only rows of
+a key that this leaves in different groups are compared with each other.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ SKETCH = 8
 #: Fingerprints of 256 bits of sets of MANY shingles or more; at 0.8, 39 bits differ (deviation 6),
 #: and fewer than 1 in 1,000,000 such pairs lie beyond FAR.
 FAR, MANY = 72, 64
+#: Words of the table that tells which shingle sets have a candidate partner.
+SIEVE = 1 << 18
 PRINTS, PARITIES, FEW = [f"f{k}" for k in range(4)], [f"o{k}" for k in range(8)], [f"k{k}" for k in range(SKETCH)]
 
 
@@ -75,12 +79,8 @@ def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batches, "doc_id long, fp long")
 
 
-def near_pairs(fps: DataFrame, max_distance: int = 3) -> DataFrame:
-    """(u, v): distinct fingerprints u > v at `max_distance` bits or fewer.
-
-    A pair one bit apart in a segment is looked up from the side that has a zero there, so each
-    ball holds only the zeros flipped to one, and the value itself.
-    """
+def segment_table(fps: DataFrame, max_distance: int) -> DataFrame:
+    """The rows of `fps`, one for each segment: part, its size in bits, value."""
     n = max_distance // 2 + 1
     cuts = [64 * k // n for k in range(n + 1)]
     parts = []
@@ -89,22 +89,59 @@ def near_pairs(fps: DataFrame, max_distance: int = 3) -> DataFrame:
         mask = (1 << size) - 1
         value = F.shiftrightunsigned("fp", cuts[k])
         parts.append(F.struct(F.lit(k).alias("part"), F.lit(size).alias("size"), (value if size == 64 else value.bitwiseAND(F.lit(mask))).alias("value")))
-    table = fps.select("fp", F.explode(F.array(*parts)).alias("s")).select("fp", "s.*")
+    return fps.withColumn("s", F.explode(F.array(*parts))).select(*fps.columns, "s.*")
+
+
+def crowded_links(fps: DataFrame, max_distance: int) -> DataFrame:
+    """(u, v): some links within two bits, 64 a fingerprint at most, among those that share a segment with another.
+
+    Two fingerprints next to one 64-bit value are within two bits of each other, so each is linked
+    with the smallest next to that value: a crowd of near copies is joined without its pairs.
+    """
+    table = segment_table(fps, max_distance)
+    crowds = table.groupBy("part", "value").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).where("a <> b")
+    crowd = table.join(crowds, ["part", "value"], "left_semi").select("fp").distinct()
+    balls = crowd.select("fp", F.explode(F.expr("concat(array(fp), transform(sequence(0, 63), k -> fp ^ shiftleft(1L, k)))")).alias("hub"))
+    least = balls.groupBy("hub").agg(F.min("fp").alias("v"), F.max("fp").alias("w")).where("v <> w").select("hub", "v")
+    return balls.join(least, "hub").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+
+
+def near_pairs(fps: DataFrame, max_distance: int = 3) -> DataFrame:
+    """(u, v): distinct fingerprints u > v at `max_distance` bits or fewer; with a column `group`, only
+    those that are not of one group.
+
+    A pair one bit apart in a segment is looked up from the side that has a zero there, so each
+    ball holds only the zeros flipped to one, and the value itself (first).
+    """
+    table = segment_table(fps if "group" in fps.columns else fps.withColumn("group", F.lit(None).cast("long")), max_distance)
     ball = F.expr("concat(array(value), transform(filter(sequence(0, size - 1), k -> (shiftrightunsigned(value, k) & 1L) = 0L), k -> value | shiftleft(1L, k)))")
-    probes = table.select(F.col("fp").alias("own"), "part", "value", F.explode(ball).alias("probe"))
+    probes = table.select(F.col("fp").alias("own"), "group", "part", F.posexplode(ball).alias("flipped", "probe"))
     hit = probes.alias("p").join(
         table.alias("t"),
         (F.col("p.part") == F.col("t.part")) & (F.col("p.probe") == F.col("t.value"))
+        & F.coalesce(F.col("p.group") != F.col("t.group"), F.lit(True))
         & (F.bit_count(F.col("p.own").bitwiseXOR(F.col("t.fp"))) <= max_distance)
-        & ((F.col("p.probe") != F.col("p.value")) | (F.col("p.own") < F.col("t.fp"))),
+        & ((F.col("p.flipped") > 0) | (F.col("p.own") < F.col("t.fp"))),
     )
     return hit.select(F.greatest("own", "fp").alias("u"), F.least("own", "fp").alias("v")).distinct()
 
 
+def print_groups(fps: DataFrame, max_distance: int) -> DataFrame:
+    """(node, root): components of the distinct fingerprints `fps`, linked at `max_distance` bits or fewer.
+
+    Crowds are joined first; all other links are looked up between what that leaves apart.
+    """
+    if max_distance < 2:
+        return components(near_pairs(fps, max_distance))
+    crowds = components(crowded_links(fps, max_distance)).select(F.col("node").alias("fp"), F.col("root").alias("group"))
+    apart = near_pairs(fps.join(crowds, "fp", "left"), max_distance)
+    return components(apart.union(crowds.select(F.col("fp").alias("u"), F.col("group").alias("v"))))
+
+
 def near_groups(docs: DataFrame, width: int = 3, seed: int = 42, max_distance: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id is the smallest id reachable."""
     fps = stage(fingerprints(docs, width, seed), "fps")
-    roots = components(near_pairs(fps.select("fp").distinct(), max_distance))
+    roots = print_groups(fps.select("fp").distinct(), max_distance)
     smallest = fps.groupBy("fp").agg(F.min("doc_id").alias("low")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     smallest = smallest.withColumn("root", F.coalesce("root", "fp"))
     low = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -173,10 +210,20 @@ def text_mark():
     return F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
 
 
+def sieve(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """`rows` without most of those whose node is not among `nodes`: a table of `SIEVE` words of 64 bits at
+    most, the same at any scale, goes to every task, so the others are never shuffled."""
+    word = F.shiftrightunsigned("node", 6).bitwiseAND(F.lit(SIEVE - 1))
+    words = nodes.select(word.alias("word"), F.expr("shiftleft(1L, cast(node & 63 AS int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    held = rows.join(F.broadcast(words), word == F.col("word"))
+    return held.where("(shiftrightunsigned(bits, cast(node & 63 AS int)) & 1L) = 1L").select(*rows.columns)
+
+
 def alike(pairs: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The (u, v) of `pairs` whose shingle sets have a similarity of 0.8 or more, and the staged table they are read from."""
-    own = sets.select("node", "hashes").join(pairs.select("u").union(pairs.select("v")).distinct(), F.col("node") == F.col("u"), "left_semi").dropDuplicates(["node"])
-    own = stage(own, "alike")  # sets without a partner move once at most
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    own = sieve(sets.select("node", "hashes"), nodes).join(nodes, "node").dropDuplicates(["node"])  # a semi join would be moved below the sieve
+    own = stage(own, "alike")  # sets without a partner hardly move
     both = pairs.join(own.select(F.col("node").alias("u"), F.col("hashes").alias("a")), "u").join(own.select(F.col("node").alias("v"), F.col("hashes").alias("b")), "v")
     return both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v"), own
 
@@ -205,29 +252,42 @@ def similar_groups(docs: DataFrame, bits: int | None = None) -> DataFrame:
         own = [F.slice(F.array(*[f"{t}.{k}" for k in FEW]), F.lit(1), F.col(f"{t}.upto")) for t in (a, b)]
         return F.size(F.array_intersect(*own)) == 2
 
-    lead = met.where("node <> lead").select("lead", "node", *marks[:-SKETCH]).distinct().alias("x").join(nodes.alias("y"), F.col("x.lead") == F.col("y.node")).where(near("x", "y"))
-    leads = stage(lead.select(F.col("x.node").alias("u"), F.col("lead").alias("v")), "leads")
-    close, own = alike(leads, sets)
-    links = stage(close, "firsts")
-    unstage(own)
-    unstage(leads)
-    rooted = met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("lead")
-    split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-    rooted = stage(rooted.join(split, "key"), "rooted")
+    def groups_after(rows, links):
+        """(node, root) of the nodes that the links of `rows`, pairs of node and lead, and `links` join."""
+        lead = rows.select("lead", "node", *marks[:-SKETCH]).distinct().alias("x").join(nodes.alias("y"), F.col("x.lead") == F.col("y.node")).where(near("x", "y"))
+        leads = stage(lead.select(F.col("x.node").alias("u"), F.col("lead").alias("v")), "leads")
+        close, own = alike(leads, sets)
+        roots = components(close if links is None else close.union(links))
+        unstage(own)
+        unstage(leads)
+        return roots
+
+    def split_keys(rows, roots):
+        """The rows of keys that hold several groups, with their roots, and a lead of each key dealt by hash."""
+        rooted = rows.drop("root", "lead").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        dealt = F.xxhash64("key", "node")
+        split = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.min_by("node", dealt).alias("lead"), F.min_by("root", dealt).alias("lead_root"))
+        return stage(rooted.drop("lead_root").join(split.where("r <> s").select("key", "lead", "lead_root"), "key"), "rooted")
+
+    first = groups_after(met.where("node <> lead"), None)
+    rooted = split_keys(met, first)
     unstage(met)
-    rest = rooted.alias("x").join(rooted.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near("x", "y") & first_meeting("x", "y"))
-    rest = stage(rest.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), "rest")
+    forest = groups_after(rooted.where("root <> lead_root"), first.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    left = split_keys(rooted, forest)
     unstage(rooted)
+    rest = left.alias("x").join(left.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near("x", "y") & first_meeting("x", "y"))
+    rest = stage(rest.select(F.col("x.node").alias("u"), F.col("y.node").alias("v")), "rest")
+    unstage(left)
     more, own = alike(rest, sets)
-    found = links.union(more)
+    found = forest.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more)
     if bits is not None:
         prints = sets.select("fp", "node").distinct()
-        touching = components(near_pairs(prints.select("fp").distinct(), bits)).withColumnRenamed("node", "fp")
+        touching = print_groups(prints.select("fp").distinct(), bits).withColumnRenamed("node", "fp")
         linked = prints.join(touching, "fp", "left").select("node", F.coalesce("root", "fp").alias("print"))
-        first = linked.groupBy("print").agg(F.min("node").alias("v"))
-        found = found.union(linked.join(first, "print").select(F.col("node").alias("u"), "v"))
+        low = linked.groupBy("print").agg(F.min("node").alias("v"))
+        found = found.union(linked.join(low, "print").select(F.col("node").alias("u"), "v"))
     roots = components(found)
-    for table in (own, rest, links):
+    for table in (own, rest):
         unstage(table)
     smallest = sets.groupBy("node").agg(F.min("doc_id").alias("low")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = smallest.groupBy("root").agg(F.min("low").alias("component_id"))

@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import corpus_pipeline  # noqa: E402
 from cuelake.llm import simhash  # noqa: E402
+from cuelake.llm.common import components  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 EXTRA = ["row", "mark", "nth", "label", "share", "languages", "_row", "_kept", "node", "component_id", "root", "hashes"]
@@ -85,3 +86,54 @@ def test_near_duplicates_by_simhash(spark):
 
 def changed(words):
     return [w + "x" if k in (15, 30) else w for k, w in enumerate(words)]
+
+
+def test_a_crowd_of_near_copies_is_not_paired(spark, monkeypatch):
+    """Copies that are alike in about half of their pairs: the pairs left for the last comparison stay few."""
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(120)]
+    texts = [" ".join(w + f"y{k}" if at in set(rng.sample(range(20, 100), 2)) else w for at, w in enumerate(words)) for k in range(150)]
+    counts, plain = {}, simhash.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "stage", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    sets = [{" ".join(t.split()[i : i + 5]) for i in range(116)} for t in texts]
+    assert got == rooted(range(150), lambda a, b: len(sets[a] & sets[b]) * 9 >= (len(sets[a]) + len(sets[b])) * 4)
+    assert counts["rest"] <= 150
+
+
+def test_crowded_fingerprints_are_not_paired(spark):
+    rng = random.Random(5)
+    crowds = [(rng.getrandbits(64), rng.sample(range(64), 14)) for _ in range(3)]  # near copies differ in the bits nearest to a tie
+    values = sorted({b ^ sum(1 << k for k in rng.sample(bits, rng.randrange(4))) for b, bits in crowds for _ in range(300)} | {rng.getrandbits(64) for _ in range(50)})
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    fps = spark.createDataFrame([(v,) for v in signed], "fp long")
+    want = rooted(signed, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 3)
+    got = {r.node: r.root for r in simhash.print_groups(fps, 3).collect()}
+    assert {v: got.get(v, v) for v in signed} == want
+    crowds = components(simhash.crowded_links(fps, 3)).select(F.col("node").alias("fp"), F.col("root").alias("group"))
+    every, left = simhash.near_pairs(fps, 3).count(), simhash.near_pairs(fps.join(crowds, "fp", "left"), 3).count()
+    assert every > 10 * len(signed) and left <= len(signed)
+
+
+def rooted(nodes, linked):
+    """Node: smallest node reachable, by brute force."""
+    nodes, root = list(nodes), {n: n for n in nodes}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for i, a in enumerate(nodes):
+        for b in nodes[:i]:
+            if linked(a, b):
+                x, y = sorted((top(a), top(b)))
+                root[y] = x
+    return {n: top(n) for n in nodes}
