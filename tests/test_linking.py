@@ -62,6 +62,17 @@ def test_short_identical_cues_link_by_id_and_time(spark):
     assert got == [(1, 1, "same_cue"), (2, 2, "same_cue")]
 
 
+def test_carry_ids_reads_each_version_once(spark, tmp_path):
+    """What the first stage leaves is kept, so no later stage reads and moves the versions again."""
+    old = spark.createDataFrame([(1, 1, 0, 900, "a"), (1, 2, 1000, 1900, "b"), (1, 3, 2000, 2900, "c"), (1, 4, 3000, 3900, "d")], "track_id long, cue_id long, start_ms long, end_ms long, text string")
+    new = spark.createDataFrame([(1, 1, 0, 900, "a"), (1, 2, 2000, 2900, "c"), (1, 3, 3000, 3900, "e"), (1, 4, 90000, 90900, "d")], old.schema)
+    for name, df in (("old", old), ("new", new)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    out = lk.carry_ids(spark.read.parquet(f"{tmp_path}/old"), spark.read.parquet(f"{tmp_path}/new"))
+    assert sorted((r.new_id, r.old_id, r.stage) for r in out.collect()) == [(1, 1, "same_cue"), (2, 3, "exact_text"), (3, 4, "edges")]
+    assert "parquet" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_carry_ids_needs_one_candidate_on_both_sides(spark):
     old = version(spark, (0, 900, "a"), (2000, 2900, "b"), (4000, 4900, "same"), (4300, 5000, "same"), (9000, 9900, "z"))
     new = spark.createDataFrame([(1, 1, 100, 900, "a"), (1, 7, 2400, 3300, "b"), (1, 8, 4050, 4950, "same"), (1, 9, 9100, 9950, "other")], CUE)
