@@ -84,3 +84,15 @@ def test_receipts_do_not_write_the_words(spark):
     tables = Tables(spark, FOLDER)
     registry.PLANS["receipts_s10"](tables)
     assert "words" not in tables.__dict__
+
+
+def test_listings_keep_empty_and_null_apart(spark, tmp_path):
+    """Empty texts and sources came back as null, and null characters inside quotes were lost."""
+    texts = [None, "", " ", '"', '""', "\\", "\r\n", "a\0b", 'a\0",\n\0"', "\ufeff", "null", ',"\r', " x\n"]
+    rows = [(at if at else None, text, *pair) for at, (text, pair) in enumerate((x, p) for x in texts for p in [("de", "web"), (None, None), ("", ""), ("en", "\0")])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/parts")
+    part = next(tmp_path.glob("parts/*.parquet"))
+    (tmp_path / "documents.parquet").symlink_to(part)
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{part}'")
+    assert compare(spark, db, str(tmp_path), "listings_s8", PLANS["listings_s8"], CHECKS["listings_s8"])[0] == ""
