@@ -86,10 +86,17 @@ def _bits(keys):
         yield block * (1 << (BLOCK_BITS - 3)) + (bit >> 3), np.left_shift(1, bit & 7).astype(np.uint8)
 
 
-def _groups(batch, method, length):
-    """Documents of an Arrow batch (doc_id, mark, text), cut and gathered to about AT_ONCE units:
-    lists of (doc_id, mark, first unit, units), pieces overlapping by length - 1."""
+def _groups(batch, method, length, heads=None):
+    """Documents of an Arrow batch (doc_id, mark, text, bit), cut and gathered to about AT_ONCE units:
+    lists of (doc_id, mark, first unit, units), pieces overlapping by length - 1. Of heads, a bitmap:
+    documents without their bit are left out."""
     group, room = [], AT_ONCE
+    if heads is not None:
+        import numpy as np
+
+        bits = batch.column(3).to_numpy()
+        batch = batch.take(pa.array(np.flatnonzero(heads.value[bits >> 3] >> (bits & 7).astype(np.uint8) & 1)))
+    batch = batch.select([0, 1, 2])
     few = (batch.slice(k, ROWS) for k in range(0, batch.num_rows, ROWS))
     for doc, mark, text in (row for rows in few for row in zip(*(c.to_pylist() for c in rows.columns), strict=True)):
         if doc is None or not text:
@@ -126,7 +133,7 @@ def _runs(group, method, length):
     return *named(head), base[head], method.tags(base[head], head), item[head], head - starts[item[head]], np.diff(np.append(first, len(where)))
 
 
-def shared_filter(rows: DataFrame, method, length: int):
+def shared_filter(rows: DataFrame, method, length: int, heads=None):
     """(filter of the anchor keys that two documents or more hold, number of these keys)"""
     import numpy as np
 
@@ -148,7 +155,7 @@ def shared_filter(rows: DataFrame, method, length: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows_out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "k", "low", "more"])
 
         for part in parts:
-            for group in _groups(part, method, length):
+            for group in _groups(part, method, length, heads):
                 keys, _, _, _, item, _, _ = _runs(group, method, length)
                 docs = np.array([g[0] for g in group], np.int64)[item]
                 held.append(_per_key(keys >> np.uint64(64 - KEY_BITS), docs, docs))
@@ -193,7 +200,7 @@ def packed(text: str) -> bytes:
 SEGMENTS = "part int, id long, doc_id long, mark int, start long, bodies binary, tags binary, low binary, more binary"
 
 
-def segments(rows: DataFrame, method, length: int, bits, shared: int) -> DataFrame:
+def segments(rows: DataFrame, method, length: int, bits, shared: int, heads=None) -> DataFrame:
     """Places of candidate segments, one a row, and their distinct contents, packed by part.
 
     A segment is named by its part and a 64-bit hash of its content. Parts follow the number of
@@ -223,7 +230,7 @@ def segments(rows: DataFrame, method, length: int, bits, shared: int) -> DataFra
 
         room = FLUSH_BYTES
         for part in parts:
-            for group in _groups(part, method, length):
+            for group in _groups(part, method, length, heads):
                 keys, route, base_at, tag, item, first, count = _runs(group, method, length)
                 hit = np.ones(len(keys), bool)
                 for word, mask in _bits(keys >> np.uint64(64 - KEY_BITS)):
@@ -269,13 +276,34 @@ def marked(doc: int, start: int, least, length: int) -> list[tuple[int, int]]:
     return list(zip((start + at[np.concatenate(([0], cut + 1))]).tolist(), (start + at[np.append(cut, len(at) - 1)] + length).tolist(), strict=True))
 
 
-def removals(docs: DataFrame, method, length: int) -> DataFrame:
+def bitmap(names: DataFrame) -> dict[int, bytes]:
+    """Bits of fixed number that stand for (doc_id, mark), in slices by number."""
+    bits = names.select((_bit() + 1).alias("bit"))
+    maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    return {r["k"] - 1: bytes(r["map"]) for r in maps.collect()}
+
+
+def _bit():
+    return F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << MARK_BITS))
+
+
+def removals(docs: DataFrame, method, length: int, heads: DataFrame | None = None) -> DataFrame:
     """(doc_id, mark, n_removed, n_spans, kept_sha256) of the documents that lose something.
 
-    docs: (doc_id, text); mark is a hash of the text, for rows that repeat an id.
+    docs: (doc_id, text); mark is a hash of the text, for rows that repeat an id. heads, (doc_id, mark):
+    documents to go through, where the others are known to hold no window before them (a few of the
+    others may be gone through as well).
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text")
-    found = stage(segments(rows, method, length, *shared_filter(rows, method, length)), "segments")
+    import numpy as np
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), "text").withColumn("bit", _bit())
+    wanted = None
+    if heads is not None:
+        flat = np.zeros((1 << MARK_BITS) // 8, np.uint8)
+        for k, part in bitmap(heads).items():
+            flat[k * len(part) : (k + 1) * len(part)] = np.frombuffer(part, np.uint8)
+        wanted = rows.sparkSession.sparkContext.broadcast(flat)
+    found = stage(segments(rows, method, length, *shared_filter(rows, method, length, wanted), wanted), "segments")
 
     def resolve(table):
         import numpy as np
@@ -320,9 +348,7 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
     lost = places.select("doc_id", "mark", "start", "n", "least").mapInArrow(spans, "doc_id long, mark int, a long, b long")
     lost = stage(lost.groupBy("doc_id", "mark").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans")), "spans")
     # A bitmap of fixed size keeps most of the texts that lose nothing out of the shuffle.
-    bit = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << MARK_BITS))
-    maps = lost.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
-    losing = rows.sparkSession.sparkContext.broadcast({r["k"] - 1: bytes(r["map"]) for r in maps.collect()})
+    losing = rows.sparkSession.sparkContext.broadcast(bitmap(lost))
 
     def pack(parts):
         for part in parts:
@@ -334,7 +360,7 @@ def removals(docs: DataFrame, method, length: int) -> DataFrame:
             kept = part.take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array([packed(t) for t in kept.column(2).to_pylist()], pa.binary())], names=["doc_id", "mark", "body"])
 
-    texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("bit", bit).mapInArrow(pack, "doc_id long, mark int, body binary")
+    texts = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInArrow(pack, "doc_id long, mark int, body binary")
 
     def keep(parts):
         import zstandard

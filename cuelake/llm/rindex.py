@@ -1,5 +1,6 @@
 """Substring dedup over bytes by run-length indexes.
 
+Of documents with equal texts only those of the smallest id take part: the others are removed whole.
 Candidate segments that share an anchor meet in one task. A segment alone under its anchor shares
 no window with another. Of the others, those of the smallest documents, one of each anchor, make a
 collection: its Burrows-Wheeler transform is kept as runs, with the
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuelake.llm import repeats
-from cuelake.llm.common import read
+from cuelake.llm.common import read, stage, unstage
 
 LENGTH = 50
 GRAM = 16
@@ -225,9 +226,21 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row."""
     text = F.coalesce("text", F.lit("")).cast("binary")
     base = docs.select(F.col("doc_id").cast("long"), F.hash("text").alias("mark"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"))
-    lost = repeats.removals(docs, Bytes, length)
+    texts = stage(base, "texts")
+    able = texts.where((F.col("n_bytes") >= length) & F.col("doc_id").isNotNull())
+    # Of equal texts only those of the smallest id are gone through: the others lose every byte, and no window starts in them first.
+    copied = stage(able.groupBy("whole").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("whole", "first"), "copied")
+    base = stage(texts.join(copied, "whole", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))).drop("first"), "documents")
+    unstage(texts)
+    unstage(copied)
+    heads = base.where(~F.col("copy") & (F.col("n_bytes") >= length) & F.col("doc_id").isNotNull()).select("doc_id", "mark")
+    lost = repeats.removals(docs, Bytes, length, heads)
     joined = base.join(lost, ["doc_id", "mark"], "left")
-    return joined.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept", "whole").alias("kept_sha256"))
+    copy = F.col("copy")
+    return joined.select(
+        "doc_id", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0))).alias("n_spans"),
+        F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"))
 
 
 def op7_rindex(spark: SparkSession, sf_dir: str) -> DataFrame:

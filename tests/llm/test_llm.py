@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import sys
 
 import pytest
@@ -339,3 +340,31 @@ def test_words_of_a_window_share_an_anchor():
             assert seen.setdefault(tuple(words[k : k + 50]), (key[k], route[k])) == (key[k], route[k])
     codes = recompression.Words.codes([recompression.Words.units(" ".join(pool))])
     assert len(set(codes.tolist())) == len(pool) + 1
+
+
+def test_copies_of_whole_texts_are_not_gone_through(spark, monkeypatch):
+    """Equal texts were cut, shuffled and searched once a copy; short, null and repeated ids keep their rules."""
+    rnd = random.Random(5)
+    word = lambda n: "".join(rnd.choices("abcé ", k=n))
+    one, two, short = word(300), word(200), word(20)
+    docs = [(7, one), (3, one), (9, one), (3, one), (None, one), (4, two + one[100:220]), (5, two), (8, two), (2, short), (1, short), (6, None), (10, ""), (11, word(400))]
+    sent = []
+    keep = rindex.repeats.removals
+    monkeypatch.setattr(rindex.repeats, "removals", lambda rows, method, length, heads: sent.extend(heads.collect()) or keep(rows, method, length, heads))
+    got = rindex.dedup_bytes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in sent) == [3, 3, 4, 5, 11]
+    held = {}
+    for doc, text in docs:
+        body = (text or "").encode()
+        for at in range(len(body) - 49 if doc is not None else 0):
+            held[body[at : at + 50]] = min(held.get(body[at : at + 50], doc), doc)
+    wanted = []
+    for doc, text in docs:
+        body = (text or "").encode()
+        lost = [False] * len(body)
+        for at in range(len(body) - 49 if doc is not None else 0):
+            if held[body[at : at + 50]] < doc:
+                lost[at : at + 50] = [True] * 50
+        kept = bytes(b for b, gone in zip(body, lost, strict=True) if not gone)
+        wanted.append((doc, len(body), sum(lost), sum(x and not y for x, y in zip(lost, [False, *lost], strict=False)), hashlib.sha256(kept).hexdigest()))
+    assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
