@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -368,13 +369,19 @@ def release_gate(tracks: DataFrame, blockers: Sequence[DataFrame]) -> DataFrame:
 
     Blockers (track_id, check) are counted before they meet; the list holds check names only.
     """
-    every = None
-    for part in blockers:
-        slim = part.select("track_id", "check")
-        every = slim if every is None else every.unionByName(slim)
-    counted = every.groupBy("track_id", "check").agg(F.count(F.lit(1)).alias("_n"))
-    listed = counted.groupBy("track_id").agg(
-        F.sum("_n").alias("blockers"), F.array_join(F.array_sort(F.collect_list("check")), ",").alias("checks"))
+    return gate_of_counts(tracks, [blocker_counts(blockers)])
+
+
+def blocker_counts(blockers: Sequence[DataFrame]) -> DataFrame:
+    """(track_id, check, n): how many blockers of a check a track has."""
+    every = reduce(DataFrame.unionByName, [part.select("track_id", "check") for part in blockers])
+    return every.groupBy("track_id", "check").agg(F.count(F.lit(1)).alias("n"))
+
+
+def gate_of_counts(tracks: DataFrame, counts: Sequence[DataFrame]) -> DataFrame:
+    """The release gate, of blockers counted in several parts."""
+    listed = reduce(DataFrame.unionByName, counts).groupBy("track_id").agg(
+        F.sum("n").alias("blockers"), F.array_join(F.array_sort(F.collect_set("check")), ",").alias("checks"))
     return tracks.select("track_id").join(listed, "track_id", "left").select(
         "track_id", F.coalesce("blockers", F.lit(0)).alias("blockers"), F.coalesce("checks", F.lit("")).alias("checks"),
         F.col("blockers").isNull().alias("passed"))

@@ -209,8 +209,16 @@ dc AS (SELECT track_id, issue_id, kind, start_ms, end_ms, CASE (start_ms // 100)
  UNION ALL SELECT track_id, kind || ':earlier-' || start_ms, kind, start_ms, end_ms, CASE WHEN end_ms % 2 = 0 THEN 'reviewed' ELSE 'unresolved' END, interval_sha, start_ms + 1 FROM ii WHERE end_ms-start_ms >= 15000)"""
 
 
+def dated_issues(t):
+    return issues(t).withColumn("interval_sha", row_hash("start_ms", "end_ms"))
+
+
 def decided(t):
-    found = issues(t).withColumn("interval_sha", row_hash("start_ms", "end_ms"))
+    found = dated_issues(t)
+    return found, decisions_on(found)
+
+
+def decisions_on(found):
     length = F.col("end_ms") - F.col("start_ms")
     turn = idiv(F.col("start_ms"), 100) % 3
     first = F.struct(
@@ -221,7 +229,7 @@ def decided(t):
         F.when(F.col("end_ms") % 2 == 0, "reviewed").otherwise("unresolved").alias("status"), "interval_sha", (F.col("start_ms") + 1).alias("seq"))
     made = found.select("track_id", "kind", "start_ms", "end_ms", F.explode(F.array_compact(F.array(
         F.when(length >= 10_000, first), F.when(length >= 15_000, again)))).alias("_d"))
-    return found, made.select("track_id", "_d.issue_id", "kind", "start_ms", "end_ms", "_d.status", "_d.interval_sha", "_d.seq")
+    return made.select("track_id", "_d.issue_id", "kind", "start_ms", "end_ms", "_d.status", "_d.interval_sha", "_d.seq")
 
 
 LAST = """l_id AS (SELECT track_id, issue_id, arg_max({'kind': kind, 's': start_ms, 'e': end_ms, 'status': status, 'sha': interval_sha}, seq) AS d FROM dc GROUP BY 1, 2),
@@ -256,7 +264,10 @@ SELECT ii.track_id, ii.issue_id, ii.kind, ii.start_ms, ii.end_ms FROM ii LEFT JO
 LEFT JOIN ls ON ls.track_id=ii.track_id AND ls.kind=ii.kind AND ls.start_ms=ii.start_ms AND ls.end_ms=ii.end_ms
 WHERE coalesce(li.st='unresolved', false) OR coalesce(ls.st='unresolved', false)""")
 def unresolved_issues_j29(t):
-    found, decisions = decided(t)
+    return still_unresolved(*decided(t))
+
+
+def still_unresolved(found, decisions):
     # A third of the decisions names no interval.
     whole = F.col("end_ms") % 3 != 0
     return rl.unresolved(found, decisions.withColumn("start_ms", F.when(whole, F.col("start_ms"))).withColumn("end_ms", F.when(whole, F.col("end_ms")))).drop("interval_sha")

@@ -13,9 +13,10 @@ from cuelake.operators.ordered import id_chunk, scan
 from cuelake.plans.link_plans import LINKS_SQL, translated, units
 from cuelake.plans.measure_plans import ASSESSED, assessed, has
 from cuelake.plans.registry import CHECKS, plan
-from cuelake.plans.rule_plans import SMALL, decision_errors_t11, grouping_pending_t12, issues, pending_issues_j17, row_sha, translation_audit_t7, unresolved_issues_j29
+from cuelake.plans.rule_plans import SMALL, dated_issues, decision_errors_t11, decisions_on, grouping_pending_t12, issues, pending_issues_j17, row_sha, still_unresolved, translation_audit_t7
 from cuelake.plans.scalar_plans import set_hash_sql
 from cuelake.plans.sequence_plans import layout_overlap_w9, scan_contiguity_w10
+from cuelake.session import settled
 
 T = ["track_id"]
 
@@ -238,15 +239,19 @@ b AS ({LATE.format(src="edited")} UNION ALL {LATE.format(src="target")}
  UNION ALL SELECT track_id, 'coverage' FROM p WHERE kind IN ('subtitle_gap','possible_speech_gap'))
 SELECT m.track_id, count(b.track_id) AS blockers, coalesce(string_agg(DISTINCT b.check, ',' ORDER BY b.check), '') AS checks, count(b.track_id)=0 AS passed FROM media m LEFT JOIN b ON b.track_id=m.track_id GROUP BY 1""")
 def release_gate_a24(t):
+    """Blockers are counted a few checks at a time, so that the shuffles of all checks are never on disk together."""
     named = lambda df, name: df.withColumn("check", F.lit(name))
-    return ms.release_gate(t.media, [
-        named(sq.validate(t.edited, t.media), "timing"), named(sq.validate(t.target, t.media), "timing"),
-        named(lk.link_gaps(units(t), translated(t), lk.link_tracks(t.cues, t.target)), "links"),
-        named(assessed(t).where((F.col("verdict") != "correct") & ~F.col("settled")), "meaning"),
-        named(vs.stale_tracks(t.cues, t.edited, ["cue_id", "start_ms", "end_ms", "text"]), "source"),
-        named(decision_errors_t11(t), "audio"), named(scan_contiguity_w10(t), "scan"), named(layout_overlap_w9(t), "layout"),
-        named(grouping_pending_t12(t), "grouping"), named(unresolved_issues_j29(t), "unresolved"),
-        rl.queue_blockers(pending_issues_j17(t))])
+    found = settled(dated_issues(t), "issues")
+    steps = [
+        [rl.queue_blockers(rl.pending(found, decisions_on(found)))],
+        [named(still_unresolved(found, decisions_on(found)), "unresolved")],
+        [named(sq.validate(t.edited, t.media), "timing"), named(sq.validate(t.target, t.media), "timing")],
+        [named(lk.link_gaps(units(t), translated(t), lk.link_tracks(t.cues, t.target)), "links"),
+         named(assessed(t).where((F.col("verdict") != "correct") & ~F.col("settled")), "meaning")],
+        [named(vs.stale_tracks(t.cues, t.edited, ["cue_id", "start_ms", "end_ms", "text"]), "source")],
+        [named(decision_errors_t11(t), "audio")],
+        [named(scan_contiguity_w10(t), "scan"), named(layout_overlap_w9(t), "layout"), named(grouping_pending_t12(t), "grouping")]]
+    return ms.gate_of_counts(t.media, [settled(ms.blocker_counts(step), "blockers") for step in steps])
 
 
 @plan("episode_summary_a25", f"""
